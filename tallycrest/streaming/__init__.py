@@ -1,0 +1 @@
+"""Empty on purpose: every pipeline this library covers is a batch job."""
