@@ -58,5 +58,9 @@ def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
 def one_hot(df: DataFrame, column: str, categories: Sequence[str], prefix: str = "") -> DataFrame:
     """Add a 0/1 column per listed category; null and unlisted values give all zeros."""
     return df.withColumns(
-        {f"{prefix}{c}".lower(): F.when(F.col(column) == c, 1).otherwise(0) for c in categories}
+        {one_hot_name(c, prefix): F.when(F.col(column) == c, 1).otherwise(0) for c in categories}
     )
+
+
+def one_hot_name(category: str, prefix: str = "") -> str:
+    return f"{prefix}{category}".lower().replace(" ", "_")

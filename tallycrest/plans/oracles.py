@@ -128,6 +128,180 @@ SELECT p.* EXCLUDE (sector), master_sector, customer_type, g.opportunity_amt, g.
 FROM profile p JOIN (SELECT customer_id, opportunity_amt, backlog FROM gated) g USING (customer_id)
 LEFT JOIN sector_map m ON p.sector = m.sector"""
 
+# --- rep path
+
+PARTS["rep_scores_raw"] = """
+SELECT sales_id, CAST(year(efftive_date) AS INTEGER) AS year_id, CAST(month(efftive_date) AS INTEGER) AS month,
+       count(*) AS lines, CAST(sum(CAST(abs(eur) AS DECIMAL(18,4))) AS DOUBLE) AS total,
+       count(*) FILTER (WHERE tran_type = 'Shipment') AS shipments,
+       coalesce(CAST(sum(CAST(abs(eur) AS DECIMAL(18,4))) FILTER (WHERE tran_type = 'Shipment') AS DOUBLE), 0) AS eur
+FROM sales WHERE year(efftive_date) > 1995 GROUP BY 1, 2, 3"""
+PARTS["rep_edges"] = """
+SELECT quantile_cont(CAST(lines AS DOUBLE), [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS f,
+       quantile_cont(total, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS m
+FROM rep_scores_raw"""
+PARTS["rep_scores"] = """
+SELECT r.*,
+    CAST(greatest(0, len(list_filter(list_distinct(f), lambda e: e < lines)) - 1) AS INTEGER) AS frequency,
+    CAST(greatest(0, len(list_filter(list_distinct(m), lambda e: e < total)) - 1) AS INTEGER) AS monetary
+FROM rep_scores_raw r, rep_edges"""
+PARTS["rep_backlog"] = """
+SELECT sales_id, CAST(year(efftive_date) AS INTEGER) AS year_id, CAST(month(efftive_date) AS INTEGER) AS month,
+       CAST(sum(CAST(eur AS DECIMAL(18,4))) AS DOUBLE) AS backlog
+FROM backlog_history GROUP BY 1, 2, 3"""
+PARTS["rep_sales"] = """
+SELECT sales_id, year_id, month, eur, monetary, frequency, coalesce(backlog, 0) AS backlog
+FROM rep_scores LEFT JOIN rep_backlog USING (sales_id, year_id, month) WHERE shipments > 0"""
+PARTS["quota"] = """
+SELECT l_suppkey AS sales_id, s_name AS sales_name, CAST(year(l_shipdate) AS INTEGER) AS year_id,
+       CAST(month(l_shipdate) AS INTEGER) AS month,
+       CAST(sum(CAST(l_quantity * p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / 1000.0 AS amount,
+       r_name AS master_sector, n_name AS fact_entity
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY ALL"""
+PARTS["quota_m"] = """
+SELECT sales_id, year_id, month, CAST(sum(CAST(amount * 1000 AS DECIMAL(18,4))) AS DOUBLE) AS amount,
+       min(master_sector) AS master_sector, min(fact_entity) AS fact_entity, max(sales_name) AS sales_name
+FROM quota GROUP BY ALL"""
+PARTS["quota_sales"] = """
+SELECT q.*, s.eur, s.monetary, s.frequency, s.backlog
+FROM quota_m q LEFT JOIN rep_sales s USING (sales_id, year_id, month)"""
+PARTS["filled"] = """
+SELECT * REPLACE (
+  coalesce(eur, avg(eur) OVER (PARTITION BY sales_id)) AS eur,
+  coalesce(CAST(monetary AS DOUBLE), avg(monetary) OVER (PARTITION BY sales_id)) AS monetary,
+  coalesce(CAST(frequency AS DOUBLE), avg(frequency) OVER (PARTITION BY sales_id)) AS frequency)
+FROM quota_sales"""
+PARTS["leads"] = """
+SELECT CAST(TRY_CAST(sales_code_text AS DOUBLE) AS BIGINT) AS sales_id,
+       CAST(year(created_date) AS INTEGER) AS year_id, CAST(month(created_date) AS INTEGER) AS month,
+       count(*) AS leads, count(*) FILTER (WHERE probability = 100) * 100.0 / count(*) AS win_rate,
+       count(*) FILTER (WHERE probability >= 75) * 100.0 / count(*) AS partial_win_rate,
+       CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS opportunity_amount
+FROM opportunity WHERE TRY_CAST(sales_code_text AS DOUBLE) IS NOT NULL GROUP BY 1, 2, 3"""
+PARTS["growth"] = """
+SELECT sales_id, CASE WHEN f > 0 THEN pow(l / f, 1.0 / span) - 1 ELSE 0.0 END AS cagr FROM (
+  SELECT sales_id, arg_min(eur, year_id) AS f, arg_max(eur, year_id) AS l, max(year_id) - min(year_id) AS span
+  FROM (SELECT sales_id, year_id, CAST(sum(CAST(eur AS DECIMAL(18,4))) AS DOUBLE) AS eur
+        FROM rep_sales GROUP BY 1, 2) GROUP BY 1)
+WHERE span > 0"""
+PARTS["potential"] = """
+SELECT sales_id, cagr, CASE WHEN cagr >= (SELECT quantile_cont(cagr, 0.5) FROM growth) THEN 'High'
+  WHEN cagr >= (SELECT quantile_cont(cagr, 0.25) FROM growth) THEN 'Medium' ELSE 'Low' END AS growth_potential
+FROM growth"""
+PARTS["lagged"] = """
+SELECT f.*, p.eur AS lagged_eur, p.amount AS lagged_quota, p.monetary AS lagged_monetary,
+       p.frequency AS lagged_frequency
+FROM filled f LEFT JOIN filled p ON f.sales_id = p.sales_id AND f.year_id = p.year_id + 1 AND f.month = p.month"""
+PARTS["opened"] = """
+SELECT *, CASE WHEN month >= 8 AND year_id = (SELECT max(year_id) FROM quota_sales) THEN NULL
+               WHEN month < 8 THEN coalesce(eur, 0) ELSE eur END AS known,
+       row_number() OVER (PARTITION BY sales_id ORDER BY year_id, month) AS pos
+FROM quota_sales"""
+PARTS["sides"] = """
+SELECT *, last_value(CASE WHEN known IS NOT NULL THEN pos END IGNORE NULLS) OVER l AS at0,
+       last_value(known IGNORE NULLS) OVER l AS v0,
+       first_value(CASE WHEN known IS NOT NULL THEN pos END IGNORE NULLS) OVER r AS at1,
+       first_value(known IGNORE NULLS) OVER r AS v1
+FROM opened
+WINDOW l AS (PARTITION BY sales_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       r AS (PARTITION BY sales_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+PARTS["interpolated"] = """
+SELECT * EXCLUDE (known, pos, at0, v0, at1, v1) REPLACE (
+  CASE WHEN known IS NOT NULL THEN known WHEN at1 IS NULL THEN v0 WHEN at0 IS NULL THEN v1
+       ELSE v0 + (v1 - v0) * (pos - at0) / (at1 - at0) END AS eur)
+FROM sides"""
+PARTS["spreads"] = """
+SELECT sales_id, avg(amount) AS historical_mean, stddev_samp(amount) AS spread FROM quota_m GROUP BY 1"""
+PARTS["train_raw"] = """
+SELECT l.sales_id, l.year_id, l.month, l.amount, l.master_sector, coalesce(l.backlog, 0) AS backlog,
+       coalesce(l.monetary, 0) AS monetary, coalesce(l.frequency, 0) AS frequency,
+       coalesce(lagged_eur, 0) AS lagged_eur, coalesce(lagged_quota, 0) AS lagged_quota,
+       coalesce(lagged_monetary, 0) AS lagged_monetary, coalesce(lagged_frequency, 0) AS lagged_frequency,
+       historical_mean, coalesce(spread, 0) AS spread, coalesce(w.win_rate, 0) AS win_rate,
+       coalesce(w.partial_win_rate, 0) AS partial_win_rate,
+       coalesce(b.partial_win_rate, 0) AS lagged_partial_win_rate,
+       coalesce(b.opportunity_amount, 0) AS lagged_opportunity_amount
+FROM lagged l JOIN spreads USING (sales_id)
+LEFT JOIN leads w ON l.sales_id = w.sales_id AND l.year_id = w.year_id AND l.month = w.month
+LEFT JOIN (SELECT quota_m.sales_id, quota_m.year_id, quota_m.month, partial_win_rate, opportunity_amount
+           FROM leads JOIN quota_m USING (sales_id, year_id, month)) b
+  ON l.sales_id = b.sales_id AND l.year_id = b.year_id + 1 AND l.month = b.month"""
+
+
+def _minmax(column: str, name: str | None = None, digits: int | None = None) -> str:
+    share = f"({column} - min({column}) OVER ()) / nullif(max({column}) OVER () - min({column}) OVER (), 0)"
+    return (f"round({share}, {digits})" if digits else share) + f" AS {name or column + '_std'}"
+
+
+SCALED = [
+    "monetary", "spread", "backlog", "historical_mean", "frequency", "lagged_eur", "lagged_quota",
+    "lagged_monetary", "lagged_frequency",
+]
+SECTOR_FLAGS = ", ".join(
+    f"CAST(master_sector = '{s}' AS INTEGER) AS {s.lower().replace(' ', '_')}"
+    for s in ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+)
+PARTS["train"] = f"""
+SELECT * EXCLUDE (master_sector), {SECTOR_FLAGS}, {", ".join(_minmax(c) for c in SCALED)} FROM train_raw"""
+
+PARTS["infer_raw"] = """
+SELECT i.sales_id, sales_name, CAST(i.year_id + 1 AS INTEGER) AS year_id, i.month, coalesce(eur, 0) AS eur, i.amount,
+       coalesce(monetary, 0) AS monetary, coalesce(frequency, 0) AS frequency, historical_mean,
+       coalesce(spread, 0) AS spread, coalesce(partial_win_rate, 0) AS partial_win_rate,
+       master_sector, fact_entity, coalesce(growth_potential, 'Low') AS growth_potential, coalesce(cagr, 0) AS cagr,
+       f.backlog
+FROM interpolated_filled i JOIN spreads USING (sales_id)
+LEFT JOIN (SELECT sales_id, year_id, month, partial_win_rate FROM leads) w
+  ON i.sales_id = w.sales_id AND i.year_id = w.year_id AND i.month = w.month
+LEFT JOIN potential p ON i.sales_id = p.sales_id
+LEFT JOIN (SELECT sales_id, year(efftive_date) AS y, month(efftive_date) AS m,
+                  CAST(sum(CAST(abs(eur) AS DECIMAL(18,4))) AS DOUBLE) AS backlog
+           FROM future_backlog WHERE tran_type = 'Backlog' AND year(efftive_date) > 1995 GROUP BY 1, 2, 3) f
+  ON i.sales_id = f.sales_id AND i.year_id + 1 = f.y AND i.month = f.m
+WHERE i.year_id = (SELECT max(year_id) FROM quota_m)"""
+PARTS["interpolated_filled"] = """
+SELECT * EXCLUDE (backlog) REPLACE (
+  coalesce(CAST(monetary AS DOUBLE), avg(monetary) OVER (PARTITION BY sales_id)) AS monetary,
+  coalesce(CAST(frequency AS DOUBLE), avg(frequency) OVER (PARTITION BY sales_id)) AS frequency)
+FROM interpolated"""
+
+
+def _infer(column: str, name: str) -> str:
+    return f"coalesce({_minmax(column, 'x')[:-5]}, 0) AS {name}"
+
+
+PARTS["infer"] = f"""
+SELECT * EXCLUDE (monetary, frequency, historical_mean, spread, partial_win_rate, backlog), {SECTOR_FLAGS},
+  {_infer("eur", "lagged_eur_std")}, {_infer("amount", "lagged_quota_std")},
+  {_infer("monetary", "lagged_monetary_std")}, {_infer("frequency", "lagged_frequency_std")},
+  {_infer("spread", "spread_std")}, {_infer("historical_mean", "historical_mean_std")},
+  {_infer("backlog", "backlog_std")}
+FROM infer_raw"""
+PARTS["modelled"] = """
+SELECT sales_id, year_id, month, coalesce(eur, 0) AS eur, amount,
+       CASE WHEN sales_id % 4 = 0 THEN 'High' WHEN sales_id % 4 = 1 THEN 'Medium' ELSE 'Low' END AS growth_potential,
+       CASE WHEN month = 7 THEN 0.0 ELSE amount END * (1 + ((sales_id + month) % 13 - 6) / 20.0) AS with_backlog,
+       CASE WHEN month = 7 THEN 0.0 ELSE amount END * (1 + ((sales_id + month) % 7 - 3) / 10.0) AS without_backlog
+FROM (SELECT * REPLACE (CASE WHEN month = 5 THEN 0.0 ELSE amount END AS amount,
+                        CASE WHEN sales_id % 3 = 0 THEN eur / 1000 ELSE eur END AS eur) FROM quota_sales)"""
+PARTS["capped"] = """
+SELECT *, CASE WHEN 3 * eur < amount THEN eur * 1.04
+   WHEN (amount = 0 AND pred > 0) OR (amount <> 0 AND (pred - amount) / nullif(amount, 0) > 0.12) THEN amount * 1.05
+   ELSE pred END AS predicted_quota
+FROM (SELECT *, CASE WHEN eur = 0 AND amount = 0 THEN 0.0 ELSE (with_backlog + without_backlog) / 2 END AS pred
+      FROM modelled)"""
+PARTS["forecasts"] = """
+SELECT sales_id, year_id, month, amount AS y_true, amount * (1 + ((sales_id + month) % 13 - 6) / 9.7) AS y_pred
+FROM quota_m"""
+PARTS["year_stats"] = """
+SELECT year_id, avg((y_true - y_pred) * (y_true - y_pred)) AS mse, count(*) AS n, avg(x) AS xm,
+       var_pop(x) * count(*) AS ss, quantile_cont(b, 0.25) AS q1, quantile_cont(b, 0.75) AS q3
+FROM banded GROUP BY 1"""
+PARTS["banded"] = """
+SELECT f.*, lagged_quota_std AS x, backlog_std AS b FROM forecasts f JOIN train USING (sales_id, year_id, month)"""
+
 SQL: dict[str, str] = {}
 
 
@@ -179,6 +353,65 @@ SQL["map_sector"] = "SELECT customer_id, master_sector, customer_type FROM mappe
 SQL["customer_profile"] = "SELECT * REPLACE (round(purchase_variability, 6) AS purchase_variability) FROM profile"
 SQL["customer_features"] = "SELECT * REPLACE (round(purchase_variability, 6) AS purchase_variability) FROM features"
 
+SQL["rep_month_scores"] = "SELECT sales_id, year_id, month, lines, total, frequency, monetary FROM rep_scores"
+SQL["rep_month_sales"] = "SELECT * FROM rep_sales"
+SQL["quota_monthly"] = "SELECT * FROM quota_m"
+SQL["quota_vs_sales"] = "SELECT sales_id, year_id, month, amount, eur, backlog FROM quota_sales"
+SQL["group_mean_fill"] = """
+SELECT sales_id, year_id, month, round(eur, 2) AS eur, round(monetary, 6) AS monetary,
+       round(frequency, 6) AS frequency FROM filled"""
+SQL["quota_spread"] = """
+SELECT sales_id, round(historical_mean, 2) AS historical_mean, round(spread, 2) AS spread FROM spreads"""
+SQL["rep_win_rate"] = """
+SELECT sales_id, year_id, month, leads, win_rate, partial_win_rate, opportunity_amount
+FROM leads JOIN (SELECT sales_id, year_id, month FROM quota_m) USING (sales_id, year_id, month)"""
+SQL["rep_cagr"] = "SELECT sales_id, round(cagr, 8) AS cagr FROM growth"
+SQL["growth_potential"] = "SELECT sales_id, round(cagr, 8) AS cagr, growth_potential FROM potential"
+SQL["quota_lag12"] = """
+SELECT sales_id, year_id, month, round(lagged_eur, 2) AS lagged_eur, lagged_quota,
+       round(lagged_monetary, 6) AS lagged_monetary, round(lagged_frequency, 6) AS lagged_frequency FROM lagged"""
+SQL["fill_interpolate_eur"] = "SELECT sales_id, year_id, month, round(eur, 2) AS eur FROM interpolated"
+SQL["train_features"] = (
+    "SELECT * REPLACE (" + ", ".join(
+        f"round({c}, 6) AS {c}" for c in
+        [f"{c}_std" for c in SCALED] + ["monetary", "frequency", "lagged_monetary", "lagged_frequency", "win_rate",
+                                        "partial_win_rate", "lagged_partial_win_rate"]
+    ) + ", " + ", ".join(f"round({c}, 2) AS {c}" for c in ["historical_mean", "spread", "lagged_eur"])
+    + ") FROM train"
+)
+SQL["infer_features"] = (
+    "SELECT * REPLACE (" + ", ".join(
+        f"round({c}, 6) AS {c}" for c in
+        ["cagr", "lagged_eur_std", "lagged_quota_std", "lagged_monetary_std", "lagged_frequency_std", "spread_std",
+         "historical_mean_std", "backlog_std"]
+    ) + ", round(eur, 2) AS eur) FROM infer"
+)
+SQL["quota_rules"] = """
+SELECT sales_id, year_id, month, round(predicted_quota, 6) AS predicted_quota,
+       amount = 0 OR eur = 0 AS inactive_or_no_quota,
+       CASE growth_potential WHEN 'High' THEN 1.4::DOUBLE WHEN 'Medium' THEN 1.2::DOUBLE ELSE 1.0::DOUBLE END
+         AS growth_adjustment_weight
+FROM capped"""
+SQL["quota_rules_v1"] = """
+SELECT sales_id, year_id, month, round(CASE WHEN eur = 0 AND amount = 0 THEN 0.0 WHEN amount = 0 THEN eur * 1.02
+   WHEN eur < 10000 THEN eur * 1.015 ELSE (with_backlog + without_backlog) / 2 END, 6) AS predicted_quota
+FROM modelled"""
+SQL["ensemble_mean"] = """
+SELECT sales_id, year_id, month, round((with_backlog + without_backlog) / 2, 6) AS mean,
+       round(CASE WHEN eur = 0 AND amount = 0 THEN 0.0 ELSE (with_backlog + without_backlog) / 2 END, 6) AS mean_active
+FROM modelled"""
+SQL["quota_totals"] = """
+SELECT round(CAST(sum(CAST(predicted_quota AS DECIMAL(18,4))) AS DOUBLE), 0) AS predicted_quota,
+       round(CAST(sum(CAST(eur AS DECIMAL(18,4))) AS DOUBLE), 0) AS revenue,
+       round(CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE), 0) AS quota
+FROM capped"""
+SQL["prediction_interval"] = """
+SELECT sales_id, year_id, month, round(up, 2) AS y_upper, round(lo, 2) AS y_lower, round(y_pred + (up - y_pred), 2) AS y_adjusted
+FROM (SELECT b.*, y_pred + half + CASE WHEN b >= q3 THEN 0.05 * y_pred ELSE 0 END AS up,
+             y_pred - half + CASE WHEN b <= q1 THEN 0.05 * y_pred ELSE 0 END AS lo
+      FROM (SELECT banded.*, q1, q3, 0.32 * sqrt(mse * (1 + 1.0 / n + coalesce((x - xm) * (x - xm) / nullif(ss, 0), 0))) AS half
+            FROM banded JOIN year_stats USING (year_id)) b)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: build(body) for name, body in SQL.items()}

@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.operators import customers as cu
+from tallycrest.operators import quota_rules as rules
+from tallycrest.operators import reps
+from tallycrest.plans import quota as quota_plan
 from tallycrest.sources import tables
-from tallycrest.sources.testviews import TestViews
+from tallycrest.sources.testviews import CUSTOMER_TYPES, MASTER_SECTORS, TestViews
 
 AS_OF = dt.datetime(2002, 1, 1)
 CURRENT_YEAR = 2002
 CUTOFF = dt.datetime(1996, 1, 1)
 STALE_CUTOFF = dt.datetime(2001, 6, 1)
+HISTORY_END = dt.datetime(1999, 1, 1)
+MIN_YEAR = 1995
+MODELS = ["with_backlog", "without_backlog"]
+DRAWS = (0.05, 0.04)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,3 +136,178 @@ def customer_profile(v: TestViews) -> DataFrame:
 @query
 def customer_features(v: TestViews) -> DataFrame:
     return rounded(_features(v), 6, "purchase_variability")
+
+
+# --- rep features ------------------------------------------------------------------
+
+
+def _scores(v: TestViews) -> DataFrame:
+    return reps.rep_month_scores(v.sales(["sales_id", "efftive_date", "eur", "tran_type"]), MIN_YEAR)
+
+
+def _monthly_sales(v: TestViews) -> DataFrame:
+    backlog = v.sales(["sales_id", "eur", "efftive_date", "tran_type"]).filter(
+        (F.col("tran_type") == "Backlog") & (F.col("efftive_date") < F.lit(HISTORY_END))
+    )
+    return reps.rep_month_sales(_scores(v), backlog)
+
+
+def _quota_sales(v: TestViews) -> DataFrame:
+    return reps.quota_vs_sales(quota_monthly(v), _monthly_sales(v))
+
+
+def _filled(v: TestViews) -> DataFrame:
+    return reps.fill_by_rep_mean(_quota_sales(v), ["eur", "monetary", "frequency"])
+
+
+@query
+def rep_month_scores(v: TestViews) -> DataFrame:
+    return _scores(v).select(*reps.KEYS, "lines", "total", "frequency", "monetary")
+
+
+@query
+def rep_month_sales(v: TestViews) -> DataFrame:
+    return _monthly_sales(v)
+
+
+@query
+def quota_monthly(v: TestViews) -> DataFrame:
+    return reps.quota_monthly(v.quota())
+
+
+@query
+def quota_vs_sales(v: TestViews) -> DataFrame:
+    return _quota_sales(v).select(*reps.KEYS, "amount", "eur", "backlog")
+
+
+@query
+def group_mean_fill(v: TestViews) -> DataFrame:
+    filled = _filled(v).select(*reps.KEYS, "eur", "monetary", "frequency")
+    return rounded(rounded(filled, 2, "eur"), 6, "monetary", "frequency")
+
+
+@query
+def quota_spread(v: TestViews) -> DataFrame:
+    return rounded(reps.quota_spread(quota_monthly(v)), 2, "historical_mean", "spread")
+
+
+@query
+def rep_win_rate(v: TestViews) -> DataFrame:
+    return reps.rep_win_rate(quota_monthly(v), v.opportunity())
+
+
+@query
+def rep_cagr(v: TestViews) -> DataFrame:
+    return rounded(reps.rep_cagr(_monthly_sales(v)), 8, "cagr")
+
+
+@query
+def growth_potential(v: TestViews) -> DataFrame:
+    return rounded(reps.growth_potential(reps.rep_cagr(_monthly_sales(v))), 8, "cagr")
+
+
+@query
+def quota_lag12(v: TestViews) -> DataFrame:
+    lags = {"eur": "lagged_eur", "amount": "lagged_quota", "monetary": "lagged_monetary",
+            "frequency": "lagged_frequency"}
+    lagged = reps.lag_year(_filled(v), lags).select(*reps.KEYS, *lags.values())
+    return rounded(rounded(lagged, 2, "lagged_eur"), 6, "lagged_monetary", "lagged_frequency")
+
+
+@query
+def fill_interpolate_eur(v: TestViews) -> DataFrame:
+    return rounded(reps.interpolate_open_months(_quota_sales(v)).select(*reps.KEYS, "eur"), 2, "eur")
+
+
+def _train(v: TestViews) -> DataFrame:
+    return quota_plan.train_features(quota_monthly(v), _monthly_sales(v), v.opportunity(), MASTER_SECTORS)
+
+
+def _infer(v: TestViews) -> DataFrame:
+    return quota_plan.infer_features(
+        quota_monthly(v), _monthly_sales(v), v.opportunity(), v.future_backlog(), MASTER_SECTORS, MIN_YEAR
+    )
+
+
+@query
+def train_features(v: TestViews) -> DataFrame:
+    shares = [f"{c}_std" for c in quota_plan.TRAIN_SCALED]
+    rates = ["monetary", "frequency", "lagged_monetary", "lagged_frequency", "win_rate", "partial_win_rate",
+             "lagged_partial_win_rate"]
+    return rounded(rounded(_train(v), 6, *shares, *rates), 2, "historical_mean", "spread", "lagged_eur")
+
+
+@query
+def infer_features(v: TestViews) -> DataFrame:
+    return rounded(rounded(_infer(v), 6, "cagr", *quota_plan.INFER_SCALED.values()), 2, "eur")
+
+
+# --- quota rules -------------------------------------------------------------------
+
+
+def _modelled(v: TestViews) -> DataFrame:
+    """Quota rows with two made-up model outputs that reach every branch of the rules."""
+    rows = _quota_sales(v).withColumns(
+        {
+            "amount": F.when(F.col("month") == 5, 0.0).otherwise(F.col("amount")),
+            "eur": F.coalesce(
+                F.when(F.col("sales_id") % 3 == 0, F.col("eur") / 1000).otherwise(F.col("eur")), F.lit(0.0)
+            ),
+            "growth_potential": F.when(F.col("sales_id") % 4 == 0, "High")
+            .when(F.col("sales_id") % 4 == 1, "Medium").otherwise("Low"),
+        }
+    )
+    base = F.when(F.col("month") == 7, 0.0).otherwise(F.col("amount"))
+    code = F.col("sales_id") + F.col("month")
+    return rows.withColumns(
+        {
+            "with_backlog": base * (1 + (code % 13 - 6) / F.lit(20.0)),
+            "without_backlog": base * (1 + (code % 7 - 3) / F.lit(10.0)),
+        }
+    )
+
+
+def _capped(v: TestViews) -> DataFrame:
+    return rules.quota_flags(_modelled(v)).withColumn("predicted_quota", rules.capped_quota(MODELS, DRAWS))
+
+
+@query
+def quota_rules(v: TestViews) -> DataFrame:
+    flagged = _capped(v).select(
+        *reps.KEYS, "predicted_quota", "inactive_or_no_quota", "growth_adjustment_weight"
+    )
+    return rounded(flagged, 6, "predicted_quota")
+
+
+@query
+def quota_rules_v1(v: TestViews) -> DataFrame:
+    return _modelled(v).select(*reps.KEYS, F.round(rules.floor_quota(MODELS), 6).alias("predicted_quota"))
+
+
+@query
+def ensemble_mean(v: TestViews) -> DataFrame:
+    return _modelled(v).select(
+        *reps.KEYS,
+        F.round(rules.ensemble_mean(MODELS), 6).alias("mean"),
+        F.round(rules.ensemble_mean(MODELS, zero_inactive=True), 6).alias("mean_active"),
+    )
+
+
+@query
+def quota_totals(v: TestViews) -> DataFrame:
+    return rounded(rules.quota_totals(_capped(v)), 0, "predicted_quota", "revenue", "quota")
+
+
+def _forecasts(v: TestViews) -> DataFrame:
+    error = ((F.col("sales_id") + F.col("month")) % 13 - 6) / F.lit(9.7)
+    return quota_monthly(v).select(
+        *reps.KEYS, F.col("amount").alias("y_true"), (F.col("amount") * (1 + error)).alias("y_pred")
+    )
+
+
+@query
+def prediction_interval(v: TestViews) -> DataFrame:
+    features = _train(v).select(*reps.KEYS, "lagged_quota_std", "backlog_std")
+    banded = rules.prediction_interval(_forecasts(v).join(features, reps.KEYS), t_value=0.32)
+    return rounded(banded.select(*reps.KEYS, "y_upper", "y_lower", "y_adjusted"), 2,
+                   "y_upper", "y_lower", "y_adjusted")

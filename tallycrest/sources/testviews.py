@@ -24,6 +24,27 @@ SECTOR_ROWS = [
 CUSTOMER_TYPES = ["AOL", "CP", "KA"]
 MASTER_SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
+# The test tables' columns, declared so that no scan is spent on finding them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 
 class TestViews:
     """Views over the parquet tables of one scale-factor folder."""
@@ -35,7 +56,7 @@ class TestViews:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def customers(self) -> DataFrame:
         c, n = self.table("customer"), self.table("nation")
@@ -137,7 +158,8 @@ class TestViews:
         )
 
     def sector_map(self) -> DataFrame:
-        return self.spark.createDataFrame(SECTOR_ROWS, "sector string, master_sector string, customer_type string")
+        rows = ", ".join(f"('{s}', '{m}', '{t}')" for s, m, t in SECTOR_ROWS)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(sector, master_sector, customer_type)")
 
     def predictions(self) -> DataFrame:
         labels, docs = self.table("labels"), self.table("documents").select("doc_id", "n_chars")
