@@ -82,14 +82,19 @@ def _interpolated(prob: float) -> Column:
     return low + (high - low) * share
 
 
+def quantiles_of_ranks(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles per group from ranked values: ``n`` and array ``q``."""
+    return ranked.groupBy(*by).agg(
+        F.max("n").alias("n"), F.array(*[_interpolated(p) for p in probs]).alias("q")
+    )
+
+
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles: one row per (by..., metric) with ``n`` and array ``q``."""
     ranked = value_ranks(long_values(df, columns, by), [*by, "metric"])
-    return ranked.groupBy(*by, "metric").agg(
-        F.max("n").alias("n"), F.array(*[_interpolated(p) for p in probs]).alias("q")
-    )
+    return quantiles_of_ranks(ranked, probs, [*by, "metric"])
 
 
 def attach_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:

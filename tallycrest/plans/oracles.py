@@ -370,7 +370,7 @@ SQL["growth_potential"] = "SELECT sales_id, round(cagr, 8) AS cagr, growth_poten
 SQL["quota_lag12"] = """
 SELECT sales_id, year_id, month, round(lagged_eur, 2) AS lagged_eur, lagged_quota,
        round(lagged_monetary, 6) AS lagged_monetary, round(lagged_frequency, 6) AS lagged_frequency FROM lagged"""
-SQL["fill_interpolate_eur"] = "SELECT sales_id, year_id, month, round(eur, 2) AS eur FROM interpolated"
+SQL["fill_interpolate_eur"] = "SELECT sales_id, year_id, month, round(eur, 6) AS eur FROM interpolated"
 SQL["train_features"] = (
     "SELECT * REPLACE (" + ", ".join(
         f"round({c}, 6) AS {c}" for c in
@@ -394,7 +394,7 @@ SELECT sales_id, year_id, month, round(predicted_quota, 6) AS predicted_quota,
 FROM capped"""
 SQL["quota_rules_v1"] = """
 SELECT sales_id, year_id, month, round(CASE WHEN eur = 0 AND amount = 0 THEN 0.0 WHEN amount = 0 THEN eur * 1.02
-   WHEN eur < 10000 THEN eur * 1.015 ELSE (with_backlog + without_backlog) / 2 END, 6) AS predicted_quota
+   WHEN eur < 10000 THEN eur * 1.015 ELSE (with_backlog + without_backlog) / 2 END, 8) AS predicted_quota
 FROM modelled"""
 SQL["ensemble_mean"] = """
 SELECT sales_id, year_id, month, round((with_backlog + without_backlog) / 2, 6) AS mean,

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallycrest.functions.columns import argmax_name, money_sum
+from tallycrest.operators import binning, evaluate, explore, folds, neighbours, scaling
 from tallycrest.operators import customers as cu
 from tallycrest.operators import quota_rules as rules
 from tallycrest.operators import reps
+from tallycrest.plans import models, retention
 from tallycrest.plans import quota as quota_plan
-from tallycrest.sources import tables
+from tallycrest.session import scratch_dir
+from tallycrest.sources import sinks, tables
 from tallycrest.sources.testviews import CUSTOMER_TYPES, MASTER_SECTORS, TestViews
 
 AS_OF = dt.datetime(2002, 1, 1)
@@ -216,7 +221,7 @@ def quota_lag12(v: TestViews) -> DataFrame:
 
 @query
 def fill_interpolate_eur(v: TestViews) -> DataFrame:
-    return rounded(reps.interpolate_open_months(_quota_sales(v)).select(*reps.KEYS, "eur"), 2, "eur")
+    return rounded(reps.interpolate_open_months(_quota_sales(v)).select(*reps.KEYS, "eur"), 6, "eur")
 
 
 def _train(v: TestViews) -> DataFrame:
@@ -281,7 +286,7 @@ def quota_rules(v: TestViews) -> DataFrame:
 
 @query
 def quota_rules_v1(v: TestViews) -> DataFrame:
-    return _modelled(v).select(*reps.KEYS, F.round(rules.floor_quota(MODELS), 6).alias("predicted_quota"))
+    return _modelled(v).select(*reps.KEYS, F.round(rules.floor_quota(MODELS), 8).alias("predicted_quota"))
 
 
 @query
@@ -311,3 +316,383 @@ def prediction_interval(v: TestViews) -> DataFrame:
     banded = rules.prediction_interval(_forecasts(v).join(features, reps.KEYS), t_value=0.32)
     return rounded(banded.select(*reps.KEYS, "y_upper", "y_lower", "y_adjusted"), 2,
                    "y_upper", "y_lower", "y_adjusted")
+
+
+# --- preprocessing -----------------------------------------------------------------
+
+
+def _rfm(v: TestViews) -> DataFrame:
+    """Recency, frequency, monetary and quantity per customer, without scores."""
+    return (
+        shipments(v, "customer_id", "eur", "qty")
+        .groupBy("customer_id")
+        .agg(
+            F.max("order_date").alias("order_date"),
+            F.count("order_date").alias("frequency"),
+            money_sum("eur").alias("monetary"),
+            money_sum("qty").alias("qty"),
+        )
+        .withColumn("recency", F.datediff(F.lit(AS_OF), "order_date"))
+    )
+
+
+@query
+def outliers_z(v: TestViews) -> DataFrame:
+    kept = scaling.drop_outliers_z(_rfm(v), ["frequency", "monetary"], 2.0)
+    return kept.select("customer_id", "frequency", "monetary")
+
+
+@query
+def outliers_iqr(v: TestViews) -> DataFrame:
+    return scaling.drop_outliers_iqr(_rfm(v), "monetary").select("customer_id", "monetary")
+
+
+@query
+def standardize(v: TestViews) -> DataFrame:
+    columns = ["recency", "frequency", "monetary", "qty"]
+    return rounded(scaling.standardize(_rfm(v), columns).select("customer_id", *columns), 6, *columns)
+
+
+@query
+def minmax_scale(v: TestViews) -> DataFrame:
+    columns = ["recency", "frequency", "monetary", "qty"]
+    named = [f"{c}_std" for c in columns]
+    return rounded(scaling.minmax(_rfm(v), columns).select("customer_id", *named), 6, *named)
+
+
+def _types(v: TestViews) -> DataFrame:
+    return binning.one_hot(map_sector(v), "customer_type", CUSTOMER_TYPES, retention.TYPE_PREFIX)
+
+
+@query
+def one_hot(v: TestViews) -> DataFrame:
+    return _types(v).select("customer_id", *retention.type_columns(CUSTOMER_TYPES))
+
+
+@query
+def decode_onehot(v: TestViews) -> DataFrame:
+    return one_hot(v).select(
+        "customer_id", argmax_name(retention.type_columns(CUSTOMER_TYPES)).alias("customer_type")
+    )
+
+
+@query
+def label_encode(v: TestViews) -> DataFrame:
+    return binning.label_encode(churn_label(v), "label", "target_encoded")
+
+
+@query
+def denormalize(v: TestViews) -> DataFrame:
+    base = _rfm(v).select("customer_id", "qty")
+    scaled = scaling.standardize(base, ["qty"], "_scaled").drop("qty")
+    back = scaling.unstandardize(scaled, scaling.column_stats(base, ["qty"]), "qty", "qty_scaled", "qty")
+    return rounded(rounded(back, 6, "qty_scaled"), 4, "qty")
+
+
+@query
+def tomek_undersample(v: TestViews) -> DataFrame:
+    kept = neighbours.undersample(v.neighbours(), "customer_id", "features", "target_encoded")
+    return kept.select("customer_id", "target_encoded")
+
+
+@query
+def tomek_links(v: TestViews) -> DataFrame:
+    kept = neighbours.undersample(v.neighbours(), "customer_id", "features", "target_encoded", "tomek")
+    return kept.select("customer_id", "target_encoded")
+
+
+@query
+def inference_table(v: TestViews) -> DataFrame:
+    return retention.inference_table(_features(v), CUSTOMER_TYPES)
+
+
+@query
+def training_table(v: TestViews) -> DataFrame:
+    return retention.training_table(_features(v), CUSTOMER_TYPES)
+
+
+# --- exploration -------------------------------------------------------------------
+
+LABELS = ["churn", "retain"]
+
+
+def _labelled(v: TestViews) -> DataFrame:
+    """Customers with scores, label, master sector and account type."""
+    return cu.map_sector(_profile(v), v.sector_map())
+
+
+def _label_sector(v: TestViews) -> DataFrame:
+    """Label and segments only: the label needs no amounts."""
+    sectors = cu.map_sector(v.customers(), v.sector_map())
+    return churn_label(v).join(sectors, "customer_id")
+
+
+@query
+def label_share(v: TestViews) -> DataFrame:
+    return rounded(explore.label_share(churn_label(v), "label"), 6, "share")
+
+
+@query
+def churn_rate_by_segment(v: TestViews) -> DataFrame:
+    rates = explore.label_rates(_label_sector(v), "cust_country", "label", LABELS)
+    return rounded(rates, 6, *LABELS, "total")
+
+
+@query
+def pivot_counts(v: TestViews) -> DataFrame:
+    return explore.pivot_counts(_label_sector(v), "master_sector", "label", LABELS)
+
+
+@query
+def category_counts(v: TestViews) -> DataFrame:
+    return explore.category_counts(_label_sector(v), "customer_type", "label")
+
+
+@query
+def segment_profile(v: TestViews) -> DataFrame:
+    means = ["frequency", "recency", "monetary", "purchase_variability", "purchase_diversity"]
+    profile = explore.segment_profile(_labelled(v), "label", means, ["qty"])
+    return rounded(profile, 4, *[f"mean_{c}" for c in means])
+
+
+@query
+def monthly_trend(v: TestViews) -> DataFrame:
+    sums = {"monetary": money_sum("monetary"), "frequency": F.sum("frequency")}
+    return explore.monthly_trend(_rfm(v), "order_date", sums)
+
+
+@query
+def monthly_means(v: TestViews) -> DataFrame:
+    means = explore.monthly_means(_rfm(v), "order_date", ["monetary", "frequency"])
+    return rounded(means, 4, "mean_monetary", "mean_frequency")
+
+
+@query
+def consecutive_periods(v: TestViews) -> DataFrame:
+    orders = v.table("orders").select(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("order_date"))
+    return rounded(explore.consecutive_periods(orders, 3), 6, "percentage")
+
+
+@query
+def correlation_matrix(v: TestViews) -> DataFrame:
+    scored = cu.rfm_scores(_rfm(v))
+    table = explore.correlation_matrix(scored, ["frequency", "recency", "monetary", "qty", "rfm_score"])
+    return rounded(table, 6, "corr")
+
+
+@query
+def describe_numeric(v: TestViews) -> DataFrame:
+    table = explore.describe_numeric(_rfm(v), ["recency", "frequency", "monetary", "qty"])
+    return rounded(table, 4, "mean", "std", "q25", "q50", "q75")
+
+
+@query
+def histogram_by_group(v: TestViews) -> DataFrame:
+    rows = _rfm(v).join(v.customers().select("customer_id", "sector"), "customer_id")
+    return rounded(explore.histogram(rows, "qty", "sector"), 4, "bin_start")
+
+
+@query
+def box_summary(v: TestViews) -> DataFrame:
+    rows = _rfm(v).join(v.customers().select("customer_id", "sector"), "customer_id")
+    table = explore.box_summary(rows, ["recency", "frequency", "monetary"], "sector")
+    return rounded(table, 4, "q25", "q50", "q75", "low_whisker", "high_whisker")
+
+
+# --- evaluation --------------------------------------------------------------------
+
+
+@query
+def confusion_split(v: TestViews) -> DataFrame:
+    return evaluate.with_outcome(v.predictions()).select("customer_id", "outcome")
+
+
+@query
+def confusion_prob_stats(v: TestViews) -> DataFrame:
+    return rounded(evaluate.confusion_probabilities(v.predictions()), 6, "mean", "std")
+
+
+@query
+def segment_accuracy(v: TestViews) -> DataFrame:
+    return rounded(evaluate.segment_accuracy(v.predictions(), "customer_type"), 6, "correct_pct", "incorrect_pct")
+
+
+@query
+def classification_report(v: TestViews) -> DataFrame:
+    rows = v.predictions().withColumn("fold", F.col("customer_id") % 5)
+    return rounded(evaluate.classification_report(rows, "fold"), 6, "precision", "recall", "f1", "accuracy")
+
+
+@query
+def regression_metrics(v: TestViews) -> DataFrame:
+    table = evaluate.regression_metrics(_forecasts(v), ["year_id"])
+    return rounded(rounded(table, 1, "mse"), 6, "mae", "median_ape", "mean_ape", "r2")
+
+
+@query
+def forecast_bands(v: TestViews) -> DataFrame:
+    return rounded(evaluate.forecast_bands(_forecasts(v)), 6, "mean_error_below_70")
+
+
+TESTED = ["qty", "probability"]
+
+
+@query
+def t_test_bonferroni(v: TestViews) -> DataFrame:
+    wrong = F.col("predictions") != F.col("target_encoded")
+    return rounded(evaluate.t_statistics(v.predictions(), TESTED, wrong, ~wrong), 6, "t")
+
+
+@query
+def t_test_p_values(v: TestViews) -> DataFrame:
+    wrong = F.col("predictions") != F.col("target_encoded")
+    return evaluate.t_test_bonferroni(v.predictions(), TESTED, wrong, ~wrong)
+
+
+@query
+def mann_whitney(v: TestViews) -> DataFrame:
+    labelled = _rfm(v).join(churn_label(v), "customer_id")
+    table = evaluate.mann_whitney(labelled, ["monetary", "frequency", "recency", "qty"], "label", LABELS)
+    return rounded(table, 6, "z")
+
+
+@query
+def kruskal_wallis(v: TestViews) -> DataFrame:
+    rows = _rfm(v).join(cu.map_sector(v.customers(), v.sector_map()), "customer_id")
+    return rounded(
+        evaluate.kruskal_wallis(rows, ["monetary", "frequency", "recency"], "customer_type", CUSTOMER_TYPES), 6, "h"
+    )
+
+
+@query
+def rank_test_p_values(v: TestViews) -> DataFrame:
+    labelled = _rfm(v).join(churn_label(v), "customer_id")
+    return evaluate.rank_test(labelled, ["monetary", "frequency", "recency", "qty"], "label", LABELS)
+
+
+def _prediction_vectors(v: TestViews) -> DataFrame:
+    flags = [F.when(F.col("customer_type") == t, 1.0).otherwise(0.0) for t in CUSTOMER_TYPES]
+    return v.predictions().withColumn("vector", F.array(F.col("qty"), *flags))
+
+
+@query
+def error_distance(v: TestViews) -> DataFrame:
+    table = neighbours.error_distance(_prediction_vectors(v), "customer_id", "vector")
+    return rounded(table, 6, "min_distance", "avg_distance")
+
+
+@query
+def pca_2d(v: TestViews) -> DataFrame:
+    rows = binning.one_hot(v.predictions(), "customer_type", CUSTOMER_TYPES, retention.TYPE_PREFIX)
+    return models.principal_components(rows, "customer_id", ["qty", *retention.type_columns(CUSTOMER_TYPES)])
+
+
+# --- models ------------------------------------------------------------------------
+
+FEATURES = retention.model_features(CUSTOMER_TYPES)
+SECTOR_COLUMNS = [binning.one_hot_name(s) for s in MASTER_SECTORS]
+YEARS = [1998, 1999, 2000, 2001]
+SMALL_GBT = [{"maxIter": 5, "maxDepth": 3}, {"maxIter": 10, "maxDepth": 3}]
+
+
+@query
+def stratified_folds(v: TestViews) -> DataFrame:
+    rows = folds.add_folds(churn_label(v), "customer_id", 5, "label")
+    return rows.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def churn_gbt_cv(v: TestViews) -> DataFrame:
+    return models.churn_search(training_table(v), FEATURES, models.gbt_classifier(), SMALL_GBT, folds=2)[1]
+
+
+@query
+def churn_gbt_report(v: TestViews) -> DataFrame:
+    return models.churn_report(training_table(v), FEATURES, models.gbt_classifier(maxIter=5, maxDepth=3))
+
+
+@query
+def churn_mlp_cv(v: TestViews) -> DataFrame:
+    settings = [{"layers": [len(FEATURES), *hidden, 2]} for hidden in models.MLP_LAYERS[:2]]
+    stage = models.mlp_classifier(len(FEATURES), maxIter=20)
+    return models.churn_search(training_table(v), FEATURES, stage, settings, folds=2)[1]
+
+
+@query
+def churn_mlp_report(v: TestViews) -> DataFrame:
+    return models.churn_mlp_run(training_table(v), FEATURES, maxIter=20)
+
+
+@query
+def score_customers(v: TestViews) -> DataFrame:
+    stage = models.gbt_classifier(maxIter=5, maxDepth=3)
+    table = models.fitting_frame(training_table(v), "churn-train")
+    model = models.pipeline(FEATURES, stage).fit(table)
+    scored = models.score(model, retention.inference_table(_features(v), CUSTOMER_TYPES))
+    return retention.scored_output(scored, CUSTOMER_TYPES, retention.quantity_stats(_rfm(v)))
+
+
+@query
+def customer_value_features(v: TestViews) -> DataFrame:
+    return models.customer_value(training_table(v), customer_revenue(v))
+
+
+@query
+def customer_value_rf(v: TestViews) -> DataFrame:
+    return models.customer_value_metrics(customer_value_features(v), FEATURES, trees=20)
+
+
+@query
+def backtest_splits(v: TestViews) -> DataFrame:
+    rows = folds.backtest_splits(_train(v), YEARS, ["lagged_quota_std", "lagged_eur_std"])
+    return rows.select("test_year", "role", *reps.KEYS)
+
+
+@query
+def quota_backtest(v: TestViews) -> DataFrame:
+    return models.quota_backtest(_train(v), YEARS, SECTOR_COLUMNS, maxIter=5, maxDepth=3)
+
+
+@query
+def quota_ensemble(v: TestViews) -> DataFrame:
+    settings = [{"maxIter": 5, "maxDepth": 3}]
+    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS, settings))
+
+
+@query
+def quota_random_search(v: TestViews) -> DataFrame:
+    settings = models.sampled({"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]}, 2)
+    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS, settings, folds=2))
+
+
+@query
+def quota_predictions(v: TestViews) -> DataFrame:
+    return models.quota_predictions(_train(v), _infer(v), SECTOR_COLUMNS, maxIter=5, maxDepth=3)
+
+
+# --- sinks -------------------------------------------------------------------------
+
+
+@query
+def write_overwrite_append(v: TestViews) -> DataFrame:
+    """Replace a table, append to it, and read back what is there."""
+    path = f"{scratch_dir(v.spark)}/revenue-{uuid.uuid4().hex}"
+    revenue = customer_revenue(v)
+    sinks.write_table(revenue, path)
+    sinks.write_table(revenue, path)
+    sinks.write_table(revenue, path, overwrite=False)
+    return v.spark.read.parquet(path)
+
+
+@query
+def model_run_log(v: TestViews) -> DataFrame:
+    """Two runs in the log, with the shares of the two labels standing in for the metrics."""
+    path = f"{scratch_dir(v.spark)}/runs-{uuid.uuid4().hex}"
+    shares = {r["label"]: r["share"] for r in label_share(v).collect()}
+    for day, label in enumerate(LABELS, start=1):
+        sinks.append_run_log(v.spark, path, {
+            "training_date": f"2002-01-0{day} 00:00:00", "optimizer": "l-bfgs", "loss_function": "cross_entropy",
+            "hidden_layers": "64-32 units", "cross_validation": "Stratified 5 Fold", "accuracy": shares[label],
+            "loss": 1 - shares[label], "f1_score": shares[label],
+        })
+    return sinks.read_run_log(v.spark, path)
