@@ -302,6 +302,113 @@ FROM banded GROUP BY 1"""
 PARTS["banded"] = """
 SELECT f.*, lagged_quota_std AS x, backlog_std AS b FROM forecasts f JOIN train USING (sales_id, year_id, month)"""
 
+# --- preprocessing, exploration, evaluation
+
+PARTS["neighbours"] = """
+SELECT vec_id AS customer_id, CASE WHEN label < 7 THEN 1 ELSE 0 END AS target_encoded,
+       list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS features
+FROM embeddings"""
+PARTS["near_pairs"] = """
+SELECT a.customer_id AS a, b.customer_id AS b, a.target_encoded AS ca, b.target_encoded AS cb,
+       row_number() OVER (PARTITION BY a.customer_id ORDER BY
+         list_sum(list_transform(list_zip(a.features, b.features), lambda p: (p[1] - p[2]) * (p[1] - p[2]))),
+         b.customer_id) AS k
+FROM neighbours a JOIN neighbours b ON a.customer_id <> b.customer_id"""
+PARTS["types"] = """
+SELECT customer_id, CASE WHEN customer_type = 'AOL' THEN 1 ELSE 0 END AS customer_aol,
+       CASE WHEN customer_type = 'CP' THEN 1 ELSE 0 END AS customer_cp,
+       CASE WHEN customer_type = 'KA' THEN 1 ELSE 0 END AS customer_ka FROM mapped"""
+PARTS["inference"] = """
+SELECT customer_id, cust_country, round((frequency_score - avg(frequency_score) OVER ()) / stddev_pop(frequency_score) OVER (), 6) AS frequency_score,
+       round((monetary_score - avg(monetary_score) OVER ()) / stddev_pop(monetary_score) OVER (), 6) AS monetary_score,
+       round((rfm_score - avg(rfm_score) OVER ()) / stddev_pop(rfm_score) OVER (), 6) AS rfm_score,
+       round((qty - avg(qty) OVER ()) / stddev_pop(qty) OVER (), 6) AS qty,
+       round((opportunity_amt - avg(opportunity_amt) OVER ()) / stddev_pop(opportunity_amt) OVER (), 6) AS opportunity_amt,
+       round((backlog - avg(backlog) OVER ()) / stddev_pop(backlog) OVER (), 6) AS backlog,
+       coalesce(CAST(customer_type = 'AOL' AS INTEGER), 0) AS customer_aol,
+       coalesce(CAST(customer_type = 'CP' AS INTEGER), 0) AS customer_cp,
+       coalesce(CAST(customer_type = 'KA' AS INTEGER), 0) AS customer_ka, label
+FROM features"""
+PARTS["kept_customers"] = """
+SELECT * FROM features WHERE abs((monetary - (SELECT avg(monetary) FROM features))
+  / (SELECT stddev_samp(monetary) FROM features)) <= 2"""
+PARTS["encoded"] = PARTS["inference"].replace("label\nFROM features", "label, "
+    "CASE label WHEN 'churn' THEN 0 ELSE 1 END AS target_encoded\nFROM kept_customers")
+PARTS["class_sizes"] = "SELECT target_encoded AS c, count(*) AS n FROM encoded GROUP BY 1"
+PARTS["encoded_pairs"] = """
+SELECT a.customer_id AS a, a.target_encoded AS ca, b.target_encoded AS cb, row_number() OVER (
+         PARTITION BY a.customer_id ORDER BY
+         (a.frequency_score - b.frequency_score) ** 2 + (a.monetary_score - b.monetary_score) ** 2
+         + (a.rfm_score - b.rfm_score) ** 2 + (a.qty - b.qty) ** 2 + (a.opportunity_amt - b.opportunity_amt) ** 2
+         + (a.backlog - b.backlog) ** 2 + (a.customer_aol - b.customer_aol) ** 2
+         + (a.customer_cp - b.customer_cp) ** 2 + (a.customer_ka - b.customer_ka) ** 2, b.customer_id) AS k
+FROM encoded a JOIN encoded b ON a.customer_id <> b.customer_id"""
+PARTS["training"] = """
+SELECT e.* FROM encoded e
+WHERE (SELECT max(n) * 1.0 / sum(n) FROM class_sizes) <= 0.6
+   OR e.target_encoded <> (SELECT arg_max(c, n) FROM class_sizes)
+   OR e.customer_id NOT IN (SELECT a FROM encoded_pairs WHERE k = 2 AND ca <> cb)"""
+PARTS["label_sector"] = """
+SELECT c_custkey AS customer_id, label, n_name AS cust_country, c_mktsegment AS sector, master_sector, customer_type
+FROM labels_c JOIN customer ON c_custkey = labels_c.customer_id JOIN nation ON c_nationkey = n_nationkey
+JOIN mapped ON mapped.customer_id = c_custkey"""
+PARTS["predictions"] = """
+SELECT doc_id AS customer_id, quality AS target_encoded,
+       CASE WHEN n_chars % 5 = 0 THEN 1 - quality ELSE quality END AS predictions,
+       0.5::DOUBLE + (doc_id % 50) / 100.0::DOUBLE AS probability,
+       CASE doc_id % 3 WHEN 0 THEN 'KA' WHEN 1 THEN 'CP' ELSE 'AOL' END AS customer_type,
+       CAST(n_chars AS DOUBLE) AS qty
+FROM labels JOIN documents USING (doc_id)"""
+PARTS["outcomes"] = """
+SELECT *, CASE WHEN target_encoded = predictions THEN 'correct_' ELSE 'incorrect_' END || predictions AS outcome
+FROM predictions"""
+PARTS["spans"] = """
+SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders"""
+PARTS["cutoffs"] = """
+SELECT c, row_number() OVER (ORDER BY c) AS i FROM (
+  SELECT CAST(last_day(m) AS TIMESTAMP) + (lo - date_trunc('day', lo)) AS c, hi
+  FROM (SELECT unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 3 MONTH)) AS m, lo, hi FROM spans))
+WHERE c <= hi"""
+PARTS["pairs_p"] = "SELECT a.c AS s, b.c AS e FROM cutoffs a JOIN cutoffs b ON b.i = a.i + 1"
+PARTS["apes"] = """
+SELECT *, abs((y_true - y_pred) / nullif(y_true, 0)) * 100 AS ape FROM forecasts"""
+PARTS["labelled_totals"] = "SELECT totals.*, label FROM totals JOIN labels_c USING (customer_id)"
+PARTS["sector_totals"] = """
+SELECT totals.*, c_mktsegment AS sector, customer_type FROM totals
+JOIN customer ON c_custkey = totals.customer_id JOIN mapped ON mapped.customer_id = c_custkey"""
+
+
+def _long(source: str, columns: list[str], by: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {by}, '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM {source}" for c in columns
+    )
+
+
+PARTS["mw_long"] = _long("labelled_totals", ["monetary", "frequency", "recency", "qty"], "label")
+PARTS["mw_ranks"] = """
+SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY metric, value) - 1) / 2.0::DOUBLE AS r,
+       count(*) OVER (PARTITION BY metric, value) AS same
+FROM mw_long WINDOW w AS (PARTITION BY metric ORDER BY value)"""
+PARTS["mw_sums"] = """
+SELECT metric, count(*) AS n, count(*) FILTER (WHERE label = 'churn') AS n1,
+       count(*) FILTER (WHERE label = 'retain') AS n2, sum(r) FILTER (WHERE label = 'churn') AS r1,
+       sum(CAST(same AS DOUBLE) * same - 1) AS ties
+FROM mw_ranks GROUP BY metric"""
+PARTS["kw_long"] = _long(
+    "(SELECT * FROM sector_totals WHERE customer_type IS NOT NULL)", ["monetary", "frequency", "recency"],
+    "customer_type")
+PARTS["kw_ranks"] = PARTS["mw_ranks"].replace("mw_long", "kw_long")
+PARTS["kw_sums"] = """
+SELECT metric, sum(s * s / c) AS squares, sum(c) AS n, max(ties) AS ties FROM (
+  SELECT metric, customer_type, sum(r) AS s, count(*) AS c FROM kw_ranks GROUP BY 1, 2)
+JOIN (SELECT metric, sum(CAST(same AS DOUBLE) * same - 1) AS ties FROM kw_ranks GROUP BY 1) USING (metric)
+GROUP BY metric"""
+PARTS["box_long"] = _long("sector_totals", ["recency", "frequency", "monetary"], "sector")
+PARTS["box_quartiles"] = """
+SELECT sector, metric, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2,
+       quantile_cont(value, 0.75) AS q3 FROM box_long GROUP BY 1, 2"""
+PARTS["scored_rfm"] = "SELECT frequency, recency, monetary, qty, rfm_score FROM scored"
+
 SQL: dict[str, str] = {}
 
 
@@ -358,17 +465,17 @@ SQL["rep_month_sales"] = "SELECT * FROM rep_sales"
 SQL["quota_monthly"] = "SELECT * FROM quota_m"
 SQL["quota_vs_sales"] = "SELECT sales_id, year_id, month, amount, eur, backlog FROM quota_sales"
 SQL["group_mean_fill"] = """
-SELECT sales_id, year_id, month, round(eur, 2) AS eur, round(monetary, 6) AS monetary,
+SELECT sales_id, year_id, month, round(eur, 6) AS eur, round(monetary, 6) AS monetary,
        round(frequency, 6) AS frequency FROM filled"""
 SQL["quota_spread"] = """
-SELECT sales_id, round(historical_mean, 2) AS historical_mean, round(spread, 2) AS spread FROM spreads"""
+SELECT sales_id, round(historical_mean, 5) AS historical_mean, round(spread, 5) AS spread FROM spreads"""
 SQL["rep_win_rate"] = """
 SELECT sales_id, year_id, month, leads, win_rate, partial_win_rate, opportunity_amount
 FROM leads JOIN (SELECT sales_id, year_id, month FROM quota_m) USING (sales_id, year_id, month)"""
 SQL["rep_cagr"] = "SELECT sales_id, round(cagr, 8) AS cagr FROM growth"
 SQL["growth_potential"] = "SELECT sales_id, round(cagr, 8) AS cagr, growth_potential FROM potential"
 SQL["quota_lag12"] = """
-SELECT sales_id, year_id, month, round(lagged_eur, 2) AS lagged_eur, lagged_quota,
+SELECT sales_id, year_id, month, round(lagged_eur, 6) AS lagged_eur, lagged_quota,
        round(lagged_monetary, 6) AS lagged_monetary, round(lagged_frequency, 6) AS lagged_frequency FROM lagged"""
 SQL["fill_interpolate_eur"] = "SELECT sales_id, year_id, month, round(eur, 6) AS eur FROM interpolated"
 SQL["train_features"] = (
@@ -376,7 +483,7 @@ SQL["train_features"] = (
         f"round({c}, 6) AS {c}" for c in
         [f"{c}_std" for c in SCALED] + ["monetary", "frequency", "lagged_monetary", "lagged_frequency", "win_rate",
                                         "partial_win_rate", "lagged_partial_win_rate"]
-    ) + ", " + ", ".join(f"round({c}, 2) AS {c}" for c in ["historical_mean", "spread", "lagged_eur"])
+    ) + ", " + ", ".join(f"round({c}, 5) AS {c}" for c in ["historical_mean", "spread", "lagged_eur"])
     + ") FROM train"
 )
 SQL["infer_features"] = (
@@ -412,6 +519,150 @@ FROM (SELECT b.*, y_pred + half + CASE WHEN b >= q3 THEN 0.05 * y_pred ELSE 0 EN
       FROM (SELECT banded.*, q1, q3, 0.32 * sqrt(mse * (1 + 1.0 / n + coalesce((x - xm) * (x - xm) / nullif(ss, 0), 0))) AS half
             FROM banded JOIN year_stats USING (year_id)) b)"""
 
+_ZCOLS = ["recency", "frequency", "monetary", "qty"]
+SQL["outliers_z"] = """
+SELECT customer_id, frequency, monetary FROM totals, (
+  SELECT avg(frequency) AS fm, stddev_samp(frequency) AS fs, avg(monetary) AS mm, stddev_samp(monetary) AS ms FROM totals)
+WHERE abs((frequency - fm) / fs) <= 2 AND abs((monetary - mm) / ms) <= 2"""
+SQL["outliers_iqr"] = """
+SELECT customer_id, monetary FROM totals, (
+  SELECT quantile_cont(monetary, 0.25) AS a, quantile_cont(monetary, 0.75) AS b FROM totals)
+WHERE monetary BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)"""
+SQL["standardize"] = "SELECT customer_id, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in _ZCOLS) + " FROM totals"
+SQL["minmax_scale"] = "SELECT customer_id, " + ", ".join(_minmax(c, digits=6) for c in _ZCOLS) + " FROM totals"
+SQL["one_hot"] = "SELECT * FROM types"
+SQL["decode_onehot"] = """
+SELECT customer_id, CASE WHEN customer_aol >= customer_cp AND customer_aol >= customer_ka THEN 'customer_aol'
+  WHEN customer_cp >= customer_ka THEN 'customer_cp' ELSE 'customer_ka' END AS customer_type FROM types"""
+SQL["label_encode"] = """
+SELECT customer_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS target_encoded FROM labels_c"""
+SQL["denormalize"] = """
+SELECT customer_id, round((qty - avg(qty) OVER ()) / stddev_pop(qty) OVER (), 6) AS qty_scaled, round(qty, 4) AS qty
+FROM totals"""
+SQL["tomek_undersample"] = """
+SELECT customer_id, target_encoded FROM neighbours WHERE target_encoded = 0
+  OR customer_id NOT IN (SELECT a FROM near_pairs WHERE k = 2 AND ca = 1 AND cb = 0)"""
+SQL["tomek_links"] = """
+SELECT customer_id, target_encoded FROM neighbours WHERE target_encoded = 0
+  OR customer_id NOT IN (SELECT x.a FROM near_pairs x JOIN near_pairs y ON x.a = y.b AND x.b = y.a
+                         WHERE x.k = 1 AND y.k = 1 AND x.ca = 1 AND x.cb = 0)"""
+SQL["inference_table"] = "SELECT * FROM inference"
+SQL["training_table"] = "SELECT * FROM training"
+SQL["label_share"] = """
+SELECT label, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM labels_c GROUP BY label"""
+SQL["churn_rate_by_segment"] = """
+SELECT cust_country, round(c, 6) AS churn, round(r, 6) AS retain, round(c + r, 6) AS total FROM (
+  SELECT cust_country, count(*) FILTER (WHERE label = 'churn') / count(*) AS c,
+         count(*) FILTER (WHERE label = 'retain') / count(*) AS r FROM label_sector GROUP BY 1)"""
+SQL["pivot_counts"] = """
+SELECT master_sector, count(*) FILTER (WHERE label = 'churn') AS churn,
+       count(*) FILTER (WHERE label = 'retain') AS retain
+FROM label_sector WHERE master_sector IS NOT NULL GROUP BY 1"""
+SQL["category_counts"] = "SELECT customer_type, label, count(*) AS n FROM label_sector GROUP BY 1, 2"
+SQL["segment_profile"] = """
+SELECT label, count(*) AS n, round(avg(frequency), 4) AS mean_frequency, round(avg(recency), 4) AS mean_recency,
+       round(avg(monetary), 4) AS mean_monetary, round(avg(purchase_variability), 4) AS mean_purchase_variability,
+       round(avg(purchase_diversity), 4) AS mean_purchase_diversity, sum(qty) AS sum_qty FROM profile GROUP BY 1"""
+SQL["monthly_trend"] = """
+SELECT CAST(m AS DATE) AS month, coalesce(s, 0) AS monetary, CAST(coalesce(f, 0) AS BIGINT) AS frequency
+FROM (SELECT unnest(generate_series(date_trunc('month', min(order_date)), date_trunc('month', max(order_date)),
+                                    INTERVAL 1 MONTH)) AS m FROM totals)
+LEFT JOIN (SELECT date_trunc('month', order_date) AS k, CAST(sum(CAST(monetary AS DECIMAL(18,4))) AS DOUBLE) AS s,
+                  sum(frequency) AS f FROM totals GROUP BY 1) ON m = k"""
+SQL["monthly_means"] = """
+SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,
+       round(avg(monetary), 4) AS mean_monetary, round(avg(frequency), 4) AS mean_frequency FROM totals GROUP BY 1, 2"""
+SQL["consecutive_periods"] = """
+SELECT 3 AS period_months, customers, n AS consecutive_customers, round(n * 100.0 / customers, 6) AS percentage FROM (
+  SELECT count(DISTINCT a.o_custkey) AS n FROM orders a
+  JOIN pairs_p ON a.o_orderdate >= s AND a.o_orderdate < e + INTERVAL 1 DAY
+  JOIN orders b ON b.o_custkey = a.o_custkey AND b.o_orderdate >= e
+   AND b.o_orderdate < e + INTERVAL 3 MONTH + INTERVAL 1 DAY),
+  (SELECT count(DISTINCT o_custkey) AS customers FROM orders)"""
+SQL["correlation_matrix"] = " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, "
+    + ("1.0::DOUBLE AS corr" if a == b else f"round(corr({a}, {b}), 6) AS corr FROM scored_rfm")
+    for a in ["frequency", "recency", "monetary", "qty", "rfm_score"]
+    for b in ["frequency", "recency", "monetary", "qty", "rfm_score"])
+SQL["describe_numeric"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+    f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q / 100}), 4) AS q{q}" for q in (25, 50, 75))
+    + " FROM totals" for c in _ZCOLS)
+SQL["histogram_by_group"] = """
+SELECT sector, CAST(b AS INTEGER) AS bin, round(lo + b * (hi - lo) / 10, 4) AS bin_start, count(*) AS n FROM (
+  SELECT sector, lo, hi, least(9, floor((qty - lo) / (hi - lo) * 10)) AS b
+  FROM sector_totals, (SELECT min(qty) AS lo, max(qty) AS hi FROM sector_totals)) GROUP BY sector, b, lo, hi"""
+SQL["box_summary"] = """
+SELECT sector, metric, count(*) AS n, round(max(q1), 4) AS q25, round(max(q2), 4) AS q50, round(max(q3), 4) AS q75,
+  round(min(value) FILTER (WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS low_whisker,
+  round(max(value) FILTER (WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS high_whisker,
+  count(*) FILTER (WHERE NOT value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
+FROM box_long JOIN box_quartiles USING (sector, metric) GROUP BY 1, 2"""
+SQL["confusion_split"] = "SELECT customer_id, outcome FROM outcomes"
+SQL["confusion_prob_stats"] = """
+SELECT outcome, count(*) AS n, round(avg(probability), 6) AS mean, round(stddev_samp(probability), 6) AS std
+FROM outcomes GROUP BY 1"""
+SQL["segment_accuracy"] = """
+SELECT customer_type, c AS correct, i AS incorrect, round(c * 100.0::DOUBLE / (c + i), 6) AS correct_pct,
+       round(i * 100.0::DOUBLE / (c + i), 6) AS incorrect_pct
+FROM (SELECT customer_type, count(*) FILTER (WHERE target_encoded = predictions) AS c,
+             count(*) FILTER (WHERE target_encoded <> predictions) AS i FROM predictions GROUP BY 1)"""
+SQL["classification_report"] = """
+SELECT class, round(avg(coalesce(tp / nullif(said, 0), 0)), 6) AS precision,
+       round(avg(coalesce(tp / nullif(was, 0), 0)), 6) AS recall,
+       round(avg(coalesce(2 * tp / nullif(said + was, 0), 0)), 6) AS f1, CAST(sum(was) AS BIGINT) AS support,
+       round(avg(acc), 6) AS accuracy
+FROM (SELECT customer_id % 5 AS fold, class, count(*) FILTER (WHERE target_encoded = class AND predictions = class) AS tp,
+             count(*) FILTER (WHERE predictions = class) AS said, count(*) FILTER (WHERE target_encoded = class) AS was,
+             count(*) FILTER (WHERE target_encoded = predictions) / count(*) AS acc
+      FROM predictions, (VALUES (0), (1)) c(class) GROUP BY 1, 2) GROUP BY 1"""
+SQL["regression_metrics"] = """
+SELECT year_id, count(*) AS n, round(avg((y_true - y_pred) ** 2), 1) AS mse, round(avg(abs(y_true - y_pred)), 6) AS mae,
+       round(avg(ape), 6) AS mean_ape, round(quantile_cont(ape, 0.5), 6) AS median_ape,
+       round(1 - avg((y_true - y_pred) ** 2) / var_pop(y_true), 6) AS r2 FROM apes GROUP BY 1"""
+SQL["forecast_bands"] = """
+SELECT CASE WHEN ape < 10 THEN 'highly accurate' WHEN ape < 25 THEN 'good' WHEN ape < 50 THEN 'reasonable'
+       ELSE 'weak and inaccurate' END AS band, count(*) AS n_rows, count(DISTINCT sales_id) AS n_reps,
+       (SELECT round(avg(ape), 6) FROM apes WHERE ape < 70) AS mean_error_below_70
+FROM apes WHERE ape IS NOT NULL GROUP BY 1"""
+SQL["t_test_bonferroni"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, n1, n2, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) "
+    f"* (1.0 / n1 + 1.0 / n2)), 6) AS t FROM (SELECT "
+    + ", ".join(
+        f"count({c}) FILTER (WHERE target_encoded {op} predictions) AS n{i}, "
+        f"avg({c}) FILTER (WHERE target_encoded {op} predictions) AS m{i}, "
+        f"var_samp({c}) FILTER (WHERE target_encoded {op} predictions) AS v{i}"
+        for i, op in ((1, "<>"), (2, "=")))
+    + " FROM predictions)" for c in ("qty", "probability"))
+SQL["mann_whitney"] = """
+SELECT metric, n1 AS size_1, n2 AS size_2, r1 - n1 * (n1 + 1) / 2.0 AS u,
+  round((greatest(r1 - n1 * (n1 + 1) / 2.0, n1 * n2 - (r1 - n1 * (n1 + 1) / 2.0)) - n1 * n2 / 2.0 - 0.5)
+        / sqrt(n1 * n2 / 12.0 * ((n + 1) - ties / (n * (n - 1.0)))), 6) AS z
+FROM mw_sums"""
+SQL["kruskal_wallis"] = """
+SELECT metric, CAST(n AS BIGINT) AS n, round((12.0 / (n * (n + 1)) * squares - 3 * (n + 1))
+   / (1 - ties / (CAST(n AS DOUBLE) * n * n - n)), 6) AS h, 2 AS freedom FROM kw_sums"""
+SQL["error_distance"] = """
+SELECT w.customer_id, count(*) AS n_correct, round(min(d), 6) AS min_distance, round(avg(d), 6) AS avg_distance FROM (
+  SELECT a.customer_id, sqrt((a.qty - b.qty) ** 2 + CASE WHEN a.customer_type = b.customer_type THEN 0 ELSE 2 END) AS d
+  FROM predictions a, predictions b
+  WHERE a.target_encoded <> a.predictions AND b.target_encoded = b.predictions) w GROUP BY 1"""
+SQL["stratified_folds"] = """
+SELECT label, CAST(f AS INTEGER) AS fold, CAST(c // 5 + CASE WHEN f < c % 5 THEN 1 ELSE 0 END AS BIGINT) AS n
+FROM (SELECT label, count(*) AS c FROM labels_c GROUP BY 1), range(5) r(f)"""
+SQL["customer_value_features"] = """
+SELECT training.*, eur FROM training JOIN (
+  SELECT customer_id, CAST(sum(CAST(eur AS DECIMAL(18,4))) AS DOUBLE) AS eur FROM sales GROUP BY 1)
+USING (customer_id) WHERE eur > 0"""
+SQL["backtest_splits"] = """
+SELECT CAST(t AS INTEGER) AS test_year, CASE WHEN year_id = t THEN 'test' ELSE 'train' END AS role, sales_id, year_id, month
+FROM train, (VALUES (1999), (2000), (2001)) y(t)
+WHERE year_id = t OR (year_id < t AND year_id >= 1998 AND lagged_quota_std <> 0 AND lagged_eur_std <> 0)"""
+SQL["write_overwrite_append"] = f"""
+SELECT * FROM ({SQL["customer_revenue"]}) UNION ALL SELECT * FROM ({SQL["customer_revenue"]})"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: build(body) for name, body in SQL.items()}

@@ -188,12 +188,12 @@ def quota_vs_sales(v: TestViews) -> DataFrame:
 @query
 def group_mean_fill(v: TestViews) -> DataFrame:
     filled = _filled(v).select(*reps.KEYS, "eur", "monetary", "frequency")
-    return rounded(rounded(filled, 2, "eur"), 6, "monetary", "frequency")
+    return rounded(rounded(filled, 6, "eur"), 6, "monetary", "frequency")
 
 
 @query
 def quota_spread(v: TestViews) -> DataFrame:
-    return rounded(reps.quota_spread(quota_monthly(v)), 2, "historical_mean", "spread")
+    return rounded(reps.quota_spread(quota_monthly(v)), 5, "historical_mean", "spread")
 
 
 @query
@@ -216,7 +216,7 @@ def quota_lag12(v: TestViews) -> DataFrame:
     lags = {"eur": "lagged_eur", "amount": "lagged_quota", "monetary": "lagged_monetary",
             "frequency": "lagged_frequency"}
     lagged = reps.lag_year(_filled(v), lags).select(*reps.KEYS, *lags.values())
-    return rounded(rounded(lagged, 2, "lagged_eur"), 6, "lagged_monetary", "lagged_frequency")
+    return rounded(rounded(lagged, 6, "lagged_eur"), 6, "lagged_monetary", "lagged_frequency")
 
 
 @query
@@ -239,7 +239,7 @@ def train_features(v: TestViews) -> DataFrame:
     shares = [f"{c}_std" for c in quota_plan.TRAIN_SCALED]
     rates = ["monetary", "frequency", "lagged_monetary", "lagged_frequency", "win_rate", "partial_win_rate",
              "lagged_partial_win_rate"]
-    return rounded(rounded(_train(v), 6, *shares, *rates), 2, "historical_mean", "spread", "lagged_eur")
+    return rounded(rounded(_train(v), 6, *shares, *rates), 5, "historical_mean", "spread", "lagged_eur")
 
 
 @query
