@@ -12,15 +12,12 @@ from tallycrest.operators.ranking import attach_row, quantile_row
 MAX_CLASSES = 10_000
 
 
-def bin_of(value: Column, edges: Column, bins: int) -> Column:
-    """Right-closed interval of ``value`` among ascending edges, equal edges merged."""
-    passed = F.lit(0)
-    for i in range(bins + 1):
-        below = edges[i] < value
-        if i:
-            below = below & (edges[i] != edges[i - 1])
-        passed = passed + F.when(below, 1).otherwise(0)
-    return F.when(value.isNotNull(), F.greatest(F.lit(0), passed - 1))
+def bin_of(value: str, edges: str, bins: int) -> Column:
+    """Right-closed interval of ``value`` among the array of ascending edges, equal edges merged."""
+    passed = [f"int({edges}[0] < {value})"] + [
+        f"int({edges}[{i}] < {value} AND {edges}[{i}] <> {edges}[{i - 1}])" for i in range(1, bins + 1)
+    ]
+    return F.expr(f"CASE WHEN {value} IS NOT NULL THEN greatest(0, {' + '.join(passed)} - 1) END")
 
 
 def quantile_bins(df: DataFrame, bins: dict[str, int], names: dict[str, str]) -> DataFrame:
@@ -28,7 +25,7 @@ def quantile_bins(df: DataFrame, bins: dict[str, int], names: dict[str, str]) ->
     edges = quantile_row(df, {c: [i / q for i in range(q + 1)] for c, q in bins.items()})
     return (
         attach_row(df, edges, "_edges")
-        .withColumns({names[c]: bin_of(F.col(c).cast("double"), F.col("_edges")[c], q) for c, q in bins.items()})
+        .withColumns({names[c]: bin_of(c, f"_edges.{c}", q) for c, q in bins.items()})
         .drop("_edges")
     )
 
@@ -57,9 +54,8 @@ def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str], prefix: str = "") -> DataFrame:
     """Add a 0/1 column per listed category; null and unlisted values give all zeros."""
-    return df.withColumns(
-        {one_hot_name(c, prefix): F.when(F.col(column) == c, 1).otherwise(0) for c in categories}
-    )
+    known = {one_hot_name(c, prefix): F.expr(f"int({column} <=> '{c}')") for c in categories}
+    return df.withColumns(known)
 
 
 def one_hot_name(category: str, prefix: str = "") -> str:

@@ -17,6 +17,7 @@ from tallycrest.functions.columns import (
     elapsed_days, fix_year, gate, money_sum, parse_date, strip_no_break_space, to_moment, to_number,
 )
 from tallycrest.operators.binning import quantile_bins
+from tallycrest.session import materialize
 
 RFM_BINS = {"recency": 4, "frequency": 5, "monetary": 4}
 RFM_SCORES = {"recency": "recency_score", "frequency": "frequency_score", "monetary": "monetary_score"}
@@ -181,7 +182,11 @@ def customer_attributes(lines: DataFrame) -> DataFrame:
 
 
 def customer_profile(lines: DataFrame, as_of: dt.datetime, current_year: int) -> DataFrame:
-    """One row per customer: scores, label, variability, diversity and attributes."""
+    """One row per customer: scores, label, variability, diversity and attributes.
+
+    The totals are written once: the mean, the bins and the result all read them, and
+    one small table is cheaper than repeating the per-customer windows for each.
+    """
     totals = (
         _with_previous_day(customer_days(lines))
         .groupBy("customer_id")
@@ -201,7 +206,7 @@ def customer_profile(lines: DataFrame, as_of: dt.datetime, current_year: int) ->
         )
         .drop("previous")
     )
-    scored = rfm_scores(fill_variability(totals))
+    scored = rfm_scores(fill_variability(materialize(totals, "customer-totals")))
     return scored.join(customer_attributes(lines), "customer_id").select(
         "customer_id", "cust_country", "recency", "frequency", "monetary", "recency_score", "frequency_score",
         "monetary_score", "rfm_score", "qty", "egroup", "order_date", "sector", "purchase_variability",

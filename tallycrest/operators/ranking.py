@@ -10,7 +10,6 @@ only how even the buckets are: ranks are exact whatever they say.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,10 +24,9 @@ def bucket_count(df: DataFrame) -> int:
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Unpivot numeric columns to (by..., metric, value) and drop null and NaN values."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot(list(by), list(columns), "metric", "value").filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
+    wide = df.selectExpr(*by, *[f"CAST({c} AS DOUBLE) AS {c}" for c in columns])
+    long = wide.unpivot(list(by), list(columns), "metric", "value")
+    return long.filter("value IS NOT NULL AND NOT isnan(value)")
 
 
 def value_ranks(
@@ -44,8 +42,9 @@ def value_ranks(
     by = list(by)
     extra = extra or {}
     buckets = bucket_count(values)
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     splits = values.groupBy(*by).agg(
-        F.percentile_approx("value", [i / buckets for i in range(1, buckets)], F.lit(20 * buckets)).alias("splits")
+        F.expr(f"percentile_approx(value, array({shares}), {20 * buckets}) AS splits")
     )
     counts = values.groupBy(*by, "value").agg(
         F.count(F.lit(1)).alias("cnt"), *[c.alias(name) for name, c in extra.items()]
@@ -53,7 +52,7 @@ def value_ranks(
     inside = Window.partitionBy(*by, "bucket").orderBy("value")
     counted = (
         counts.join(F.broadcast(splits), by)
-        .withColumn("bucket", F.size(F.filter("splits", lambda s: s < F.col("value"))))
+        .withColumn("bucket", F.expr("size(filter(splits, s -> s < value))"))
         .select(*by, "value", "cnt", *extra, "bucket", F.sum("cnt").over(inside).alias("run"))
     )
     group = Window.partitionBy(*by)
@@ -73,19 +72,19 @@ def value_ranks(
     )
 
 
-def _interpolated(prob: float) -> Column:
-    """Linear-interpolation quantile from ranked values, as a grouped aggregate."""
-    position = (F.col("n") - 1) * F.lit(float(prob))
-    low = F.min(F.when(F.col("cum") > F.floor(position), F.col("value")))
-    high = F.min(F.when(F.col("cum") > F.ceil(position), F.col("value")))
-    share = F.max(position - F.floor(position))
-    return low + (high - low) * share
+def _interpolated(prob: float, only: str = "true") -> str:
+    """Linear-interpolation quantile from ranked values, as an aggregate of the rows ``only`` selects."""
+    position = f"((n - 1) * {float(prob)}D)"
+    low = f"min(CASE WHEN {only} AND cum > floor({position}) THEN value END)"
+    high = f"min(CASE WHEN {only} AND cum > ceil({position}) THEN value END)"
+    share = f"max(CASE WHEN {only} THEN {position} - floor({position}) END)"
+    return f"{low} + ({high} - {low}) * {share}"
 
 
 def quantiles_of_ranks(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Quantiles per group from ranked values: ``n`` and array ``q``."""
     return ranked.groupBy(*by).agg(
-        F.max("n").alias("n"), F.array(*[_interpolated(p) for p in probs]).alias("q")
+        F.max("n").alias("n"), F.expr(f"array({', '.join(_interpolated(p) for p in probs)}) AS q")
     )
 
 
@@ -104,10 +103,9 @@ def attach_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
 
 def quantile_row(df: DataFrame, probs: dict[str, Sequence[float]]) -> DataFrame:
     """Whole-table quantiles as one row with an array per column, in the order asked for."""
-    every = sorted({p for ps in probs.values() for p in ps})
-    table = quantiles(df, list(probs), every)
-    found = table.agg(*[F.max(F.when(F.col("metric") == c, F.col("q"))).alias(c) for c in probs])
-    return found.select(*[F.array(*[F.col(c)[every.index(p)] for p in ps]).alias(c) for c, ps in probs.items()])
+    ranked = value_ranks(long_values(df, list(probs)), ["metric"])
+    cells = {c: ", ".join(_interpolated(p, f"metric = '{c}'") for p in ps) for c, ps in probs.items()}
+    return ranked.agg(*[F.expr(f"array({cell}) AS {c}") for c, cell in cells.items()])
 
 
 def midranks(values: DataFrame, by: Sequence[str], extra: dict[str, Column] | None = None) -> DataFrame:

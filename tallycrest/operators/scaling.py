@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycrest.operators.ranking import attach_row, quantile_row
@@ -18,13 +18,10 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with a struct per column: mean, population and sample deviation, min, max."""
     return df.agg(
         *[
-            F.struct(
-                F.avg(c).alias("mean"),
-                F.stddev_pop(c).alias("deviation"),
-                F.stddev_samp(c).alias("sample_deviation"),
-                F.min(c).cast("double").alias("low"),
-                F.max(c).cast("double").alias("high"),
-            ).alias(c)
+            F.expr(
+                f"struct(avg({c}) AS mean, stddev_pop({c}) AS deviation, stddev_samp({c}) AS sample_deviation, "
+                f"double(min({c})) AS low, double(max({c})) AS high) AS {c}"
+            )
             for c in columns
         ]
     )
@@ -32,13 +29,11 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Z-scores with population deviation; a constant column becomes 0."""
-
-    def score(c: str) -> Column:
-        s = F.col("_stats")[c]
-        return (F.col(c) - s["mean"]) / F.when(s["deviation"] == 0, 1.0).otherwise(s["deviation"])
-
-    known = attach_row(df, column_stats(df, columns), "_stats")
-    return known.withColumns({f"{c}{suffix}": score(c) for c in columns}).drop("_stats")
+    scores = {
+        f"{c}{suffix}": F.expr(f"({c} - _stats.{c}.mean) / coalesce(nullif(_stats.{c}.deviation, 0), 1)")
+        for c in columns
+    }
+    return attach_row(df, column_stats(df, columns), "_stats").withColumns(scores).drop("_stats")
 
 
 def unstandardize(df: DataFrame, stats: DataFrame, column: str, scaled: str, name: str) -> DataFrame:
@@ -57,21 +52,18 @@ def unstandardize_by_scaled(df: DataFrame, column: str) -> DataFrame:
 
 def minmax(df: DataFrame, columns: Sequence[str], suffix: str = "_std") -> DataFrame:
     """Scale to [0, 1]; a constant column becomes null."""
-
-    def share(c: str) -> Column:
-        s = F.col("_stats")[c]
-        return F.try_divide(F.col(c) - s["low"], s["high"] - s["low"])
-
-    known = attach_row(df, column_stats(df, columns), "_stats")
-    return known.withColumns({f"{c}{suffix}": share(c) for c in columns}).drop("_stats")
+    shares = {
+        f"{c}{suffix}": F.expr(f"try_divide({c} - _stats.{c}.low, _stats.{c}.high - _stats.{c}.low)")
+        for c in columns
+    }
+    return attach_row(df, column_stats(df, columns), "_stats").withColumns(shares).drop("_stats")
 
 
 def drop_outliers_z(df: DataFrame, columns: Sequence[str], threshold: float = 2.0) -> DataFrame:
     """Keep rows within ``threshold`` sample deviations of the mean on every column."""
-    keep = F.lit(True)
-    for c in columns:
-        s = F.col("_stats")[c]
-        keep = keep & (F.abs(F.try_divide(F.col(c) - s["mean"], s["sample_deviation"])) <= threshold)
+    keep = " AND ".join(
+        f"abs(try_divide({c} - _stats.{c}.mean, _stats.{c}.sample_deviation)) <= {threshold}" for c in columns
+    )
     return attach_row(df, column_stats(df, columns), "_stats").filter(keep).drop("_stats")
 
 

@@ -224,13 +224,21 @@ def fill_interpolate_eur(v: TestViews) -> DataFrame:
     return rounded(reps.interpolate_open_months(_quota_sales(v)).select(*reps.KEYS, "eur"), 6, "eur")
 
 
+def _stored_quota(v: TestViews) -> DataFrame:
+    return v.stored("quota-monthly", lambda: quota_monthly(v))
+
+
+def _stored_sales(v: TestViews) -> DataFrame:
+    return v.stored("rep-month-sales", lambda: _monthly_sales(v))
+
+
 def _train(v: TestViews) -> DataFrame:
-    return quota_plan.train_features(quota_monthly(v), _monthly_sales(v), v.opportunity(), MASTER_SECTORS)
+    return quota_plan.train_features(_stored_quota(v), _stored_sales(v), v.opportunity(), MASTER_SECTORS)
 
 
 def _infer(v: TestViews) -> DataFrame:
     return quota_plan.infer_features(
-        quota_monthly(v), _monthly_sales(v), v.opportunity(), v.future_backlog(), MASTER_SECTORS, MIN_YEAR
+        _stored_quota(v), _stored_sales(v), v.opportunity(), v.future_backlog(), MASTER_SECTORS, MIN_YEAR
     )
 
 
@@ -305,7 +313,7 @@ def quota_totals(v: TestViews) -> DataFrame:
 
 def _forecasts(v: TestViews) -> DataFrame:
     error = ((F.col("sales_id") + F.col("month")) % 13 - 6) / F.lit(9.7)
-    return quota_monthly(v).select(
+    return _stored_quota(v).select(
         *reps.KEYS, F.col("amount").alias("y_true"), (F.col("amount") * (1 + error)).alias("y_pred")
     )
 
@@ -403,12 +411,16 @@ def tomek_links(v: TestViews) -> DataFrame:
 
 @query
 def inference_table(v: TestViews) -> DataFrame:
-    return retention.inference_table(_features(v), CUSTOMER_TYPES)
+    return retention.inference_table(_stored_features(v), CUSTOMER_TYPES)
+
+
+def _stored_features(v: TestViews) -> DataFrame:
+    return v.stored("customer-features", lambda: _features(v))
 
 
 @query
 def training_table(v: TestViews) -> DataFrame:
-    return retention.training_table(_features(v), CUSTOMER_TYPES)
+    return retention.training_table(_stored_features(v), CUSTOMER_TYPES)
 
 
 # --- exploration -------------------------------------------------------------------
@@ -628,8 +640,8 @@ def score_customers(v: TestViews) -> DataFrame:
     stage = models.gbt_classifier(maxIter=5, maxDepth=3)
     table = models.fitting_frame(training_table(v), "churn-train")
     model = models.pipeline(FEATURES, stage).fit(table)
-    scored = models.score(model, retention.inference_table(_features(v), CUSTOMER_TYPES))
-    return retention.scored_output(scored, CUSTOMER_TYPES, retention.quantity_stats(_rfm(v)))
+    scored = models.score(model, retention.inference_table(_stored_features(v), CUSTOMER_TYPES))
+    return retention.scored_output(scored, CUSTOMER_TYPES, retention.quantity_stats(_stored_features(v)))
 
 
 @query

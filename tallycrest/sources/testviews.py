@@ -6,12 +6,13 @@ that always match change no rows, and the optimizer cannot drop them by itself.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import MONEY, MONTH_NAMES, NO_BREAK_SPACE
+from tallycrest.session import materialize
 from tallycrest.sources.tables import BACKLOG_COLUMNS, SALES_COLUMNS
 
 # Sector -> (master sector, account type).
@@ -54,6 +55,13 @@ class TestViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that several steps of one query share, written once."""
+        if name not in self._stored:
+            self._stored[name] = materialize(build(), name)
+        return self._stored[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
