@@ -1,10 +1,11 @@
 """Exact nearest neighbours and distance summaries, without pairing all rows.
 
-Nearest neighbours follow the pivot method of Lu, Shen, Chen and Ooi (VLDB 2012):
-points belong to the cell of their nearest pivot; a bound on the neighbour distance
-per cell tells which points a cell can need, and only those are sent to it. Equal
-vectors are one point, so a group of copies of any size costs one point. Cells are cut
-into blocks of bounded size, and a task holds one block of each side.
+Points belong to the cell of their nearest pivot, as in the pivot methods for neighbour
+joins (Lu, Shen, Chen and Ooi, VLDB 2012). A point first searches its own cell; the
+distance found there then rules out most other cells by the triangle inequality and by
+the plane between two pivots, and the point is sent to the rest only. Equal vectors are
+one point, so a group of copies of any size costs one point. Cells are cut into blocks
+of bounded size, and a task holds one block of each side.
 """
 
 from __future__ import annotations
@@ -82,47 +83,41 @@ def _assign_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInPandas(assign, schema)
 
 
-def _cell_bounds(
-    cells: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per cell: number of queries, smallest and largest query radius, and a bound on the
-    distance from any query to its k-th neighbour. At most MAX_PIVOTS x (k + 1) rows are read."""
-    m = len(pivots)
-    count, low, high = np.zeros(m, dtype=int), np.zeros(m), np.zeros(m)
-    for row in queries.groupBy("cell").agg(F.count(F.lit(1)), F.min("radius"), F.max("radius")).collect():
-        count[row[0]], low[row[0]], high[row[0]] = row[1], row[2], row[3]
-    nearest = Window.partitionBy("cell").orderBy("radius", "point")
-    close = (
-        cells.select("cell", "radius", "point").withColumn("_n", F.row_number().over(nearest))
-        .filter(F.col("_n") <= k + 1).select("cell", "radius").collect()
-    )
-    cell = np.array([r[0] for r in close], dtype=int)
-    radius = np.array([r[1] for r in close])
-    between = np.sqrt(squared_distances(pivots, pivots))
-    bound = np.full(m, np.inf)
-    if len(close) > k:  # the k + 1 nearest include the query itself
-        reach = between[:, cell] + radius[None, :]
-        bound = high + np.partition(reach, k, axis=1)[:, k]
-    return count, low, high, bound
+def _cell_radii(cells: DataFrame, pivots: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest distance from each pivot to a point of its cell (one row per pivot)."""
+    low, high = np.full(pivots, np.inf), np.full(pivots, -np.inf)
+    for cell, least, most in cells.groupBy("cell").agg(F.min("radius"), F.max("radius")).collect():
+        low[cell], high[cell] = least, most
+    return low, high
 
 
-def _send_to_cells(points: DataFrame, pivots: np.ndarray, bounds: tuple) -> DataFrame:
-    """Copy each point to the cells that have queries it may be a neighbour of."""
-    count, low, high, bound = bounds
-    slack = 1e-9 * (1 + np.where(np.isfinite(bound), bound, 0) + high)
+def _send_to_cells(queries: DataFrame, pivots: np.ndarray, radii: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Copy each query to the other cells that may hold a point within its ``bound``."""
+    low, high = radii
+    between = np.sqrt(squared_distances(pivots, pivots))
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                d = np.sqrt(squared_distances(stacked(batch["features"]), pivots))
-                needed = (count > 0) & (d - high <= bound + slack) & (low - d <= bound + slack)
-                which, cell = np.nonzero(needed)
-                out = batch.iloc[which].copy()
-                out["cell"] = cell.astype("int32")
-                yield out
-
-    schema = f"{points.schema.simpleString()[7:-1]}, cell: int"
-    return points.mapInPandas(send, schema)
+            if not len(batch):
+                continue
+            vectors = stacked(batch["features"])
+            squared = squared_distances(vectors, pivots)
+            d = np.sqrt(squared)
+            home = batch["cell"].to_numpy()
+            rows = np.arange(len(batch))
+            bound = batch["bound"].to_numpy()[:, None] * (1 + 1e-9) + 1e-9 * (1 + d)
+            gap = between[home]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = np.where(gap > 0, (squared - squared[rows, home][:, None]) / (2 * gap), -np.inf)
+            needed = (d - high <= bound) & (low - d <= bound) & (plane <= bound)
+            needed[rows, home] = False
+            which, cell = np.nonzero(needed)
+            yield pd.DataFrame({
+                "point": batch["point"].to_numpy()[which], "features": list(vectors[which]),
+                "cell": cell.astype("int32"),
+            })
+
+    return queries.mapInPandas(send, "point long, features array<double>, cell int")
 
 
 def _blocks(df: DataFrame, counts: dict[int, int], block_rows: int) -> Column:
@@ -145,7 +140,8 @@ def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int)
 
     keys = ["cell", "qblock", "cblock"]
     left = spread(queries.select("point", "features", "cell"), q_counts, c_counts, "qblock", "cblock")
-    right = spread(candidates.select("point", "features", "cell"), c_counts, q_counts, "cblock", "qblock")
+    renamed = candidates.select(*[F.col(c).alias(c) for c in ("point", "features", "cell")])
+    right = spread(renamed, c_counts, q_counts, "cblock", "qblock")
 
     def tile(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = {"point": [], "other": [], "squared": []}
@@ -177,6 +173,12 @@ def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int)
     )
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k smallest distances per query; the smaller id wins ties."""
+    order = Window.partitionBy("point").orderBy("squared", "other")
+    return found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
+
+
 def nearest_neighbours(
     rows: DataFrame,
     key: str,
@@ -225,11 +227,13 @@ def nearest_neighbours(
     pivots = np.array([r[0] for r in pivot_rows], dtype="float64")
     cells = materialize(_assign_cells(points.select("point", "features"), pivots), "cells")
     queries = cells.join(singles.select("point").distinct(), "point", "left_semi")
-    bounds = _cell_bounds(cells, queries, pivots, k)
-    candidates = materialize(_send_to_cells(points.select("point", "features"), pivots, bounds), "candidates")
-    found = _search(queries, candidates, k, block_rows)
-    order = Window.partitionBy("point").orderBy("squared", "other")
-    best = found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k)
+    near_home = materialize(_search(queries, cells, k, block_rows), "near-home")
+    reach = _best(near_home, k).groupBy("point").agg(
+        F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("squared"))).alias("bound")
+    )
+    bounded = queries.join(reach, "point", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    away = materialize(_send_to_cells(bounded, pivots, _cell_radii(cells, len(pivots))), "away")
+    best = _best(near_home.unionByName(_search(away, cells, k, block_rows)), k)
     members = points.select(F.col("point").alias("other"), F.col("members").alias("others"))
     listed = (
         best.join(members, "other")
