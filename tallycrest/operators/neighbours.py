@@ -112,10 +112,11 @@ def _send_to_cells(queries: DataFrame, pivots: np.ndarray, radii: tuple[np.ndarr
             needed = (d - high <= bound) & (low - d <= bound) & (plane <= bound)
             needed[rows, home] = False
             which, cell = np.nonzero(needed)
-            yield pd.DataFrame({
-                "point": batch["point"].to_numpy()[which], "features": list(vectors[which]),
-                "cell": cell.astype("int32"),
-            })
+            if len(which):
+                yield pd.DataFrame({
+                    "point": batch["point"].to_numpy()[which], "features": list(vectors[which]),
+                    "cell": cell.astype("int32"),
+                })
 
     return queries.mapInPandas(send, "point long, features array<double>, cell int")
 
@@ -133,6 +134,7 @@ def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int)
     top = max([*q_counts, *c_counts], default=0)
     q_counts.setdefault(top, 1), c_counts.setdefault(top, 1)
 
+    # new column identities: both sides of the cogroup may come from one table
     def spread(df: DataFrame, own: dict, other: dict, own_name: str, other_name: str) -> DataFrame:
         return df.withColumn(
             own_name, F.pmod(F.xxhash64("point"), _blocks(df, own, block_rows)).cast("int")
@@ -327,15 +329,16 @@ def error_distance(
         "point", "features", F.pmod(place, F.lit(q_blocks)).cast("int").alias("qblock"),
         F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cblock"),
     )
+    # new column names: both sides of the cogroup come from one table
     other = vectors.filter("correct > 0").select(
-        "features", "correct", F.pmod(place, F.lit(c_blocks)).cast("int").alias("cblock"),
+        F.col("features").alias("vector"), F.col("correct").alias("weight"), F.pmod(place, F.lit(c_blocks)).cast("int").alias("cblock"),
         F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qblock"),
     )
 
     def tile(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(q) and len(c):
-            vectors, weight = stacked(c["features"]), c["correct"].to_numpy()
+            vectors, weight = stacked(c["vector"]), c["weight"].to_numpy()
             for start in range(0, len(q), CHUNK):
                 part = q.iloc[start : start + CHUNK]
                 d = np.sqrt(squared_distances(stacked(part["features"]), vectors))
