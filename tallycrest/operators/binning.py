@@ -35,6 +35,7 @@ def class_list(df: DataFrame, column: str) -> Column:
     found = (
         df.select(column)
         .distinct()
+        .limit(MAX_CLASSES + 1)
         .agg(F.array_sort(F.collect_set(column)).alias("classes"))
         .select(
             F.when(F.size("classes") <= MAX_CLASSES, F.col("classes")).otherwise(

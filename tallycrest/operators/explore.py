@@ -140,7 +140,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: str, reach: float = 1
     inside = F.col("value").between(F.col("q")[0] - margin, F.col("q")[2] + margin)
     return (
         ranked.drop("n")
-        .join(F.broadcast(quart), [by, "metric"])
+        .join(quart, [by, "metric"])
         .groupBy(by, "metric")
         .agg(
             F.max("n").alias("n"),

@@ -274,7 +274,7 @@ def undersample(
     class; ``tomek`` drops the majority row of each pair of mutual nearest rows of
     different classes. All other rows stay.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
     if len(counts) > 2:
         raise ValueError(f"{label} must have two classes")
     majority = max(sorted(counts), key=lambda c: counts[c], default=None)

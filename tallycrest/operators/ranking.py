@@ -35,7 +35,7 @@ def value_ranks(
     """Distinct ``value`` per group with its count and cumulative count.
 
     ``values`` holds the ``by`` columns and ``value``. ``by`` must be a small set of
-    groups (metrics, labels, years): its size bounds the broadcast tables here.
+    groups (metrics, labels, years), each of which may hold most of the rows.
     ``extra`` adds aggregates per distinct value. Output: by, value, cnt, extra...,
     ``cum`` (rows up to and including this value) and ``n`` (rows in the group).
     """
@@ -49,9 +49,11 @@ def value_ranks(
     counts = values.groupBy(*by, "value").agg(
         F.count(F.lit(1)).alias("cnt"), *[c.alias(name) for name, c in extra.items()]
     )
+    if by == ["metric"]:  # one row per listed column; other groups are left to measured sizes
+        splits = F.broadcast(splits)
     inside = Window.partitionBy(*by, "bucket").orderBy("value")
     counted = (
-        counts.join(F.broadcast(splits), by)
+        counts.join(splits, by)
         .withColumn("bucket", F.expr("size(filter(splits, s -> s < value))"))
         .select(*by, "value", "cnt", *extra, "bucket", F.sum("cnt").over(inside).alias("run"))
     )
@@ -67,7 +69,8 @@ def value_ranks(
             F.sum("size").over(group).alias("n"),
         )
     )
-    return counted.join(F.broadcast(offsets), [*by, "bucket"]).select(
+    # the window has placed the rows by these keys already
+    return counted.join(offsets, [*by, "bucket"]).select(
         *by, "value", "cnt", *extra, (F.col("base") + F.col("run")).alias("cum"), "n"
     )
 
@@ -130,7 +133,7 @@ def shuffled_row_number(df: DataFrame, by: Sequence[str], key: str, name: str =
     inside = Window.partitionBy(*by, "_slice").orderBy("_hash", key)
     return (
         hashed.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), [*by, "_slice"])
+        .join(offsets, [*by, "_slice"])
         .withColumn(name, F.col("_base") + F.col("_row"))
         .drop("_hash", "_slice", "_row", "_base")
     )

@@ -6,6 +6,7 @@ windows below hold at most one row per calendar month.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,11 @@ def by_month(df: DataFrame, date: str) -> DataFrame:
     return df.withColumns({"year_id": F.year(moment), "month": F.month(moment)})
 
 
+def after_year(df: DataFrame, date: str, year: int) -> DataFrame:
+    """Rows dated after ``year``, as a range that a scan can skip by."""
+    return df.filter(to_moment(df, date) >= F.lit(dt.datetime(year + 1, 1, 1)))
+
+
 def rep_month_scores(lines: DataFrame, min_year: int, bins: int = 5) -> DataFrame:
     """Line count and amount per rep and month over all transaction types, with their bins.
 
@@ -33,8 +39,8 @@ def rep_month_scores(lines: DataFrame, min_year: int, bins: int = 5) -> DataFram
     """
     shipped = F.col("tran_type") == "Shipment"
     months = (
-        by_month(lines, "efftive_date")
-        .filter((F.col("year_id") > min_year) & F.col("sales_id").isNotNull())
+        by_month(after_year(lines, "efftive_date", min_year), "efftive_date")
+        .filter(F.col("sales_id").isNotNull())
         .withColumn("eur", F.abs(to_number("eur")))
         .groupBy(*KEYS)
         .agg(

@@ -49,7 +49,7 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 def shipments(v: TestViews, *columns: str) -> DataFrame:
     names = dict.fromkeys([*columns, "tran_type", "order_date"])
-    return cu.clean_sales(v.sales(list(names)), CUTOFF)
+    return cu.clean_sales(v.sales(list(names), only="Shipment"), CUTOFF)
 
 
 # --- sources and customer features -------------------------------------------------
@@ -151,8 +151,8 @@ def _scores(v: TestViews) -> DataFrame:
 
 
 def _monthly_sales(v: TestViews) -> DataFrame:
-    backlog = v.sales(["sales_id", "eur", "efftive_date", "tran_type"]).filter(
-        (F.col("tran_type") == "Backlog") & (F.col("efftive_date") < F.lit(HISTORY_END))
+    backlog = v.sales(["sales_id", "eur", "efftive_date"], only="Backlog").filter(
+        F.col("efftive_date") < F.lit(HISTORY_END)
     )
     return reps.rep_month_sales(_scores(v), backlog)
 

@@ -68,8 +68,8 @@ def infer_features(
         .withColumn("year_id", F.col("year_id") + 1)
     )
     ahead = (
-        reps.by_month(future_backlog, "efftive_date")
-        .filter((F.col("tran_type") == "Backlog") & (F.col("year_id") > min_year))
+        reps.after_year(future_backlog, "efftive_date", min_year)
+        .filter(F.col("tran_type") == "Backlog")
         .withColumn("eur", F.abs("eur"))
     )
     with_backlog = known.join(reps.backlog_by_rep_month(ahead), reps.KEYS, "left")
