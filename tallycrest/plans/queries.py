@@ -129,8 +129,11 @@ def _profile(v: TestViews) -> DataFrame:
 
 
 def _features(v: TestViews) -> DataFrame:
-    with_sector = cu.map_sector(_profile(v), v.sector_map())
-    return cu.attach_gated_amounts(with_sector, opportunity_by_account(v), backlog_by_customer(v))
+    columns = ["customer_id", "tran_type", "order_date", "egroup", "qty", "eur", "cust_country", "sector"]
+    return retention.customer_features(
+        v.sales(columns, only="Shipment"), v.opportunity(), v.backlog_history(), v.backlog_current(),
+        v.sector_map(), AS_OF, CURRENT_YEAR, CUTOFF,
+    )
 
 
 @query

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import argmax_name
+from tallycrest.operators import customers
 from tallycrest.operators.binning import label_encode, one_hot
 from tallycrest.operators.neighbours import undersample
 from tallycrest.operators.scaling import column_stats, drop_outliers_z, standardize, unstandardize
@@ -21,6 +23,25 @@ MODEL_NUMERIC = ["frequency_score", "monetary_score", "rfm_score", "qty", "oppor
 TYPE_PREFIX = "customer_"
 
 
+def customer_features(
+    lines: DataFrame,
+    opportunities: DataFrame,
+    backlog_history: DataFrame,
+    backlog_current: DataFrame,
+    sectors: DataFrame,
+    as_of: dt.datetime,
+    current_year: int,
+    cutoff: dt.datetime,
+) -> DataFrame:
+    """All features of a customer, from raw sales lines, opportunities and backlog."""
+    profile = customers.customer_profile(customers.clean_sales(lines, cutoff), as_of, current_year)
+    return customers.attach_gated_amounts(
+        customers.map_sector(profile, sectors),
+        customers.opportunity_by_account(opportunities),
+        customers.backlog_by_customer(backlog_history, backlog_current),
+    )
+
+
 def type_columns(types: Sequence[str]) -> list[str]:
     return [f"{TYPE_PREFIX}{t}".lower() for t in types]
 
@@ -29,22 +50,26 @@ def model_features(types: Sequence[str]) -> list[str]:
     return MODEL_NUMERIC + type_columns(types)
 
 
-def prepared(features: DataFrame, types: Sequence[str], digits: int | None = 6) -> DataFrame:
+def prepared(
+    features: DataFrame, types: Sequence[str], digits: int | None = 6, extra: Sequence[str] = ()
+) -> DataFrame:
     """Scaled and one-hot columns, without those the models do not use.
 
-    Scaled values are rounded: the last bits of a distributed mean vary from run to run,
+    ``extra`` keeps further numeric features, such as variability and diversity. Scaled values are rounded: the last bits of a distributed mean vary from run to run,
     and neighbours must not.
     """
-    scaled = standardize(features, NUMERIC)
+    numeric = [*NUMERIC, *extra]
+    scaled = standardize(features, numeric)
     if digits is not None:
-        scaled = scaled.withColumns({c: F.round(c, digits) for c in NUMERIC})
+        scaled = scaled.withColumns({c: F.round(c, digits) for c in numeric})
     flagged = one_hot(scaled, "customer_type", types, TYPE_PREFIX)
     return flagged.select(
-        "customer_id", "cust_country", *MODEL_NUMERIC, *type_columns(types), "label"
+        "customer_id", "cust_country", *MODEL_NUMERIC, *extra, *type_columns(types), "label"
     )
 
 
 def inference_table(features: DataFrame, types: Sequence[str]) -> DataFrame:
+    """The rows to score: every customer, encoded as for training."""
     return prepared(features, types)
 
 
