@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import sys
 import time
 from pathlib import Path
@@ -67,7 +68,7 @@ def main() -> None:
     from tallycrest.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(8)
+    spark = local_session(8, shuffle_partitions=int(os.environ.get("PARTITIONS", "8")))
     con = database(folder)
     sql, bad = entry.oracle_sql(), 0
     names = sys.argv[2:] or list(entry.queries())
