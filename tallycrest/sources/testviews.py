@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycrest.functions.columns import MONEY, MONTH_NAMES, NO_BREAK_SPACE
+from tallycrest.functions.columns import MONTH_NAMES, NO_BREAK_SPACE
 from tallycrest.session import materialize
 from tallycrest.sources.tables import BACKLOG_COLUMNS, SALES_COLUMNS
 
