@@ -20,9 +20,15 @@ def bin_of(value: str, edges: str, bins: int) -> Column:
     return F.expr(f"CASE WHEN {value} IS NOT NULL THEN greatest(0, {' + '.join(passed)} - 1) END")
 
 
+def bin_probs(bins: int) -> list[float]:
+    """Edge probabilities as percentages divided by 100: their rounding decides on which side of
+    an edge an equal value falls when the share, such as a third, has no exact form."""
+    return [i * (1 / bins) * 100.0 / 100.0 for i in range(bins)] + [1.0]
+
+
 def quantile_bins(df: DataFrame, bins: dict[str, int], names: dict[str, str]) -> DataFrame:
     """Add a 0-based quantile bin per column; equal values share a bin."""
-    edges = quantile_row(df, {c: [i / q for i in range(q + 1)] for c, q in bins.items()})
+    edges = quantile_row(df, {c: bin_probs(q) for c, q in bins.items()})
     return (
         attach_row(df, edges, "_edges")
         .withColumns({names[c]: bin_of(c, f"_edges.{c}", q) for c, q in bins.items()})

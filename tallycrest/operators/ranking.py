@@ -81,7 +81,11 @@ def _interpolated(prob: float, only: str = "true") -> str:
     low = f"min(CASE WHEN {only} AND cum > floor({position}) THEN value END)"
     high = f"min(CASE WHEN {only} AND cum > ceil({position}) THEN value END)"
     share = f"max(CASE WHEN {only} THEN {position} - floor({position}) END)"
-    return f"{low} + ({high} - {low}) * {share}"
+    # from the nearer end, so that rounding never passes the other end
+    return (
+        f"CASE WHEN {share} < 0.5 THEN {low} + ({high} - {low}) * {share} "
+        f"ELSE {high} - ({high} - {low}) * (1 - {share}) END"
+    )
 
 
 def quantiles_of_ranks(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
