@@ -187,39 +187,58 @@ def pack(docs: DataFrame, tokenizer: str | None = None, ranks: str | None = None
     Pieces are numbered inside their class: a block's own count plus the sum of the counts of
     the blocks before it. That number, divided by the class's fixed count, is the sequence.
     Only counts by block and class are shuffled, no ids, and a class that holds a third of
-    all pieces costs no more than any other. The last sequence of a class may be part full;
-    there is one for each class at most. Positions inside a sequence come from its pieces'
+    all pieces costs no more than any other. The rest of each class, at most one sequence,
+    shares sequences with the rests of other classes. Positions inside a sequence come from its pieces'
     lengths, which need a shuffle of three numbers a piece.
 
     Null text counts as empty: a document of the closing id alone. Repeated rows are packed
     each; an empty table gives no rows; other columns are not read.
     """
     pieces = materialize(tokenise(docs, tokenizer, ranks), "packing-pieces")
-    counts = pieces.groupBy("class", "block").agg(F.max("nth").alias("most"))
+    counts = pieces.groupBy("class", "block").agg((F.max("nth") + 1).alias("n"))
     before = Window.partitionBy("class").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(
-        "class", "block", F.coalesce(F.sum(F.col("most") + 1).over(before), F.lit(0)).alias("base")
-    )
-    # sequences of class j are numbered after those of smaller classes
-    sizes = (
+    bases = counts.select("class", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # the full sequences of class j are numbered after those of smaller classes
+    smaller = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
+    full = (
         counts.groupBy("class")
-        .agg(F.sum(F.col("most") + 1).alias("n"))
-        .select("class", F.expr("(n + class - 1) DIV class").alias("sequences"))
-    )
-    first = sizes.select(
-        "class",
-        F.coalesce(
-            F.sum("sequences").over(Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("first"),
+        .agg(F.sum("n").alias("n"))
+        .withColumn("full", F.expr("n DIV class"))
+        .withColumn("first", F.coalesce(F.sum("full").over(smaller), F.lit(0)))
     )
     numbered = (
         pieces.join(bases, ["class", "block"])
-        .join(F.broadcast(first), "class")  # at most CAPACITY classes
+        .join(F.broadcast(full.drop("n")), "class")  # at most CAPACITY classes
         .withColumn("number", F.col("base") + F.col("nth"))
-        .withColumn("sequence_id", F.expr("first + number DIV class"))
-        .withColumn("place", F.expr("number % class"))
     )
-    return numbered
+    # what is left of each class, under one sequence, shares sequences with other classes' rests
+    rest = F.col("number") >= F.col("full") * F.col("class")
+    rests = numbered.filter(rest).groupBy("class").agg(F.sum("length").alias("length")).collect()
+    shared = _share(sorted(((r["length"], r["class"]) for r in rests), reverse=True))
+    spark = pieces.sparkSession
+    homes = spark.createDataFrame(shared, "class int, home long, turn long")
+    total = full.agg(F.coalesce(F.sum("full"), F.lit(0)).alias("total"))
+    return (
+        numbered.join(F.broadcast(homes), "class", "left")
+        .join(F.broadcast(total))  # one row
+        .withColumn("sequence_id", F.when(rest, F.expr("total + home")).otherwise(F.expr("first + number DIV class")))
+        .withColumn("place", F.expr("number % class") + F.when(rest, F.col("turn") * CAPACITY).otherwise(0))
+        .drop("base", "full", "first", "number", "home", "turn", "total")
+    )
+
+
+def _share(rests: list[tuple[int, int]], capacity: int = CAPACITY) -> list[tuple[int, int, int]]:
+    """First fit, largest first, of at most ``capacity`` rests: class, shared sequence, turn in it."""
+    free: list[list[int]] = []  # room, rests so far
+    out = []
+    for length, name in rests:
+        at = next((i for i, (room, _) in enumerate(free) if room >= length), len(free))
+        if at == len(free):
+            free.append([capacity, 0])
+        out.append((name, at, free[at][1]))
+        free[at][0] -= length
+        free[at][1] += 1
+    return out
 
 
 def offsets(numbered: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycrest.llm import decontaminate, langid, packing, sharding, topk
+from tallycrest.llm import decontaminate, jaccard, langid, packing, sharding, topk
 from tallycrest.llm.common import held_out, table
 
 
@@ -54,12 +54,18 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by 3-word n-gram sets with a Jaccard similarity of at least 0.9."""
+    return jaccard.jaccard_groups(table(spark, folder, "documents"), words=3, percent=90)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_top_k": op2_top_k,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
     "op9_decontaminate": op9_decontaminate,
+    "op10_jaccard": op10_jaccard,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,4 +125,26 @@ ORACLES = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op10_jaccard": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p : p + least(3, len(w)) - 1], ' ') AS k
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+                              FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY ALL) o
+            JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+            WHERE 100 * i >= 90 * (p.n + q.n - i)
+        ),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+    """,
 }
