@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycrest.llm import decontaminate, jaccard, langid, packing, sharding, topk
+from tallycrest.llm import chat, decontaminate, jaccard, langid, packing, pii, sharding, topk, urls
 from tallycrest.llm.common import held_out, table
 
 
@@ -22,6 +22,21 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors.filter("id % 50 = 0"), vectors, 5)
 
 
+PROBE = r"\### Assistant: </turn> ok"
+
+
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations through the template and back, and one that holds its control strings."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = rows.sparkSession.range(0, 2, 1, 1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    return chat.digests(chat.format_conversations(rows.unionByName(probe)))
+
+
 def op5_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 contiguous shards of near equal bytes."""
     placed = sharding.shard_by_bytes(table(spark, folder, "documents"))
@@ -43,6 +58,28 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: validated spans, and those discovered by their contexts."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
     judged = decontaminate.contamination(
@@ -62,8 +99,11 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_top_k": op2_top_k,
+    "op4_chat": op4_chat,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
+    "op7_urls": op7_urls,
+    "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard": op10_jaccard,
 }
@@ -90,6 +130,30 @@ ORACLES = {
         )
         SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
     """,
+    "op4_chat": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ),
+        e AS (
+            SELECT *, regexp_replace(role, '([\\:<])', '\\\1', 'g') AS r,
+                CASE WHEN contains(text, chr(10) || '</turn>' || chr(10)) OR ends_with(text, chr(10) || '</turn>')
+                          OR regexp_matches(text, '\\(</turn>|### )')
+                     THEN regexp_replace(text, '(\\*)(</turn>|### )', '\\\1\2', 'g') ELSE text END AS t
+            FROM c
+        ),
+        g AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS lines,
+                coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+                sum(4 + length(r) + 2 + length(t) + 9) AS chars
+            FROM e GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+        FROM g
+    """,
     "op9_decontaminate": f"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
