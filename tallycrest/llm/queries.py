@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycrest.llm import chat, decontaminate, jaccard, langid, packing, pii, sharding, topk, urls
+from tallycrest.llm import chat, decontaminate, jaccard, langid, packing, pii, sharding, topk, toxicity, urls
 from tallycrest.llm.common import held_out, table
 
 
@@ -22,6 +22,13 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors.filter("id % 50 = 0"), vectors, 5)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from three quarters of the labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, folder, "labels").filter(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 PROBE = r"\### Assistant: </turn> ok"
 
 
@@ -99,6 +106,7 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_top_k": op2_top_k,
+    "op3_toxicity": op3_toxicity,
     "op4_chat": op4_chat,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
