@@ -22,7 +22,7 @@ from tallycrest.llm.common import small_batches
 #: Labelled documents that train a model, about: toxic, ordinary; characters read of each.
 TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_CHARS = 3000, 6000, 20_000
 #: Words of a window, compression level, bytes of the common content and of the toxic passages.
-WINDOW, LEVEL, COMMON_BYTES, TOXIC_BYTES = 3, 3, 65536, 16384
+WINDOW, LEVEL, COMMON_BYTES, TOXIC_BYTES = 4, 3, 65536, 16384
 #: A passage marks toxic text if it stands in so many different contexts, and so many times as
 #: often (by contexts) as in ordinary text. Contexts, because copies of a text repeat one context.
 CONTEXTS, RATIO = 8, 8.0
@@ -131,6 +131,18 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _passages(toxic: list[str], ordinary: list[str]) -> bytes:
+    """What marks toxic text; the most frequent stand last, where matches are cheapest."""
+    marked, plain = _contexts(toxic), _contexts(ordinary)
+    all_marked, all_plain = max(1, sum(marked.values())), max(1, sum(plain.values()))
+    found = [
+        (n, word)
+        for word, n in marked.items()
+        if n >= CONTEXTS and (n / all_marked) / ((plain[word] + 1) / all_plain) >= RATIO
+    ]
+    return b"".join(b" " + word + b" " for _, word in sorted(found))[-TOXIC_BYTES:]
+
+
 def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
     """A model from sampled texts; ``share`` is the share of toxic rows among all labelled ones."""
     half = max(1, len(ordinary) // 2)
@@ -139,18 +151,17 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
         line = line_of(text)
         samples += [line[int(a) : int(a + n)] for a, n in windows(line)]
     common = _trained(samples, COMMON_BYTES)
-    marked, plain = _contexts(toxic), _contexts(ordinary)
-    all_marked, all_plain = max(1, sum(marked.values())), max(1, sum(plain.values()))
-    passages = [
-        (n, word)
-        for word, n in marked.items()
-        if n >= CONTEXTS and (n / all_marked) / ((plain[word] + 1) / all_plain) >= RATIO
-    ]
-    own = b"".join(b" " + word + b" " for _, word in sorted(passages))[-TOXIC_BYTES:]
-    scorer = Scorer(common, common + own)
     rest = ordinary[half:] or ordinary
-    x = np.concatenate([scorer.features(list(map(line_of, t))) for t in (toxic, rest)])
-    y = np.r_[np.ones(len(toxic)), np.zeros(len(rest))]
+    # calibrated on texts that gave no passages: each half is scored with the other half's
+    xs, ys = [], []
+    for turn in (0, 1):
+        own = common + _passages(toxic[1 - turn :: 2] or toxic, ordinary[:half] + rest[1 - turn :: 2])
+        scorer = Scorer(common, own)
+        for texts, y in ((toxic[turn::2], 1.0), (rest[turn::2], 0.0)):
+            if texts:
+                xs.append(scorer.features(list(map(line_of, texts))))
+                ys.append(np.full(len(texts), y))
+    x, y = np.concatenate(xs), np.concatenate(ys)
     weight = np.where(y == 1, share / len(toxic), (1 - share) / len(rest)) * len(y)
     centre = np.stack([x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)])
     w = _logistic((x - centre[0]) / centre[1], y, weight)
@@ -161,7 +172,7 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
     best = int(f1.argmax())
     below = p[order][best + 1] if best + 1 < len(p) else 0.0
     cut = float(np.clip((p[order][best] + below) / 2, 1e-3, 1 - 1e-3))
-    return Model(common, common + own, centre.ravel().tolist(), w[1:].tolist(), float(w[0]), cut)
+    return Model(common, common + _passages(toxic, ordinary), centre.ravel().tolist(), w[1:].tolist(), float(w[0]), cut)
 
 
 def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
