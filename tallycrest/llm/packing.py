@@ -3,8 +3,8 @@
 A piece of length r belongs to the class j = capacity // r: j such pieces fit a sequence, and
 a class fills every sequence with exactly j of its pieces, so sequences need only a count and
 classes need nothing of each other. Documents may be cut, so a length far from its class's
-largest is cut down to the largest of the next class, capacity // (j + 1); what remains is
-handled alike and shrinks fast. Every full sequence then wastes at most ``SLACK`` tokens.
+largest is cut down to about the largest of the next class, capacity // (j + 1); what remains
+is handled alike and shrinks fast. Every full sequence then wastes at most ``SLACK`` tokens.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ def cut_lengths(length: int, capacity: int = CAPACITY, slack: int = SLACK) -> li
         if capacity - j * rest <= slack:
             out.append(rest)
             break
-        piece = capacity // (j + 1)
+        piece = next(n for n in range(capacity // (j + 1), 0, -1) if capacity % n <= slack)
         out.append(piece)
         rest -= piece
     return out
