@@ -33,6 +33,14 @@ def to_moment(df: DataFrame, name: str) -> Column:
     return F.to_timestamp_ntz(F.col(name), F.lit(TIMESTAMP_FORMAT)) if is_text(df, name) else F.col(name)
 
 
+def to_moment_or_null(df: DataFrame, name: str) -> Column:
+    """As ``to_moment``, but text that is neither a moment nor a date becomes null."""
+    if not is_text(df, name):
+        return F.col(name)
+    moment = F.try_to_timestamp(F.col(name), F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    return F.coalesce(moment, parse_date(name).cast("timestamp_ntz"))
+
+
 def to_number(c: Column | str) -> Column:
     """Double; text that is not a number, and NaN, become null."""
     number = as_column(c).try_cast("double")
@@ -72,8 +80,10 @@ def strip_no_break_space(c: Column | str) -> Column:
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:
-    """Whole days between two moments."""
-    return F.extract(F.lit("DAY"), later - earlier)
+    """Whole days between two moments, rounded down (so -1 for half a day too late)."""
+    between = later - earlier
+    days = F.extract(F.lit("DAY"), between)
+    return days - F.when(between < F.make_dt_interval(days), 1).otherwise(0)
 
 
 def gate(amount: Column | str, when: Column | str, limit: Column | str) -> Column:
@@ -87,9 +97,10 @@ def growth_weight(category: Column | str) -> Column:
 
 
 def absolute_percentage_error(actual: Column | str, predicted: Column | str) -> Column:
-    """In percent; null where the actual value is 0."""
+    """In percent; infinite for any prediction but 0 of an actual 0, null for 0 of 0."""
     a, p = as_column(actual), as_column(predicted)
-    return F.abs(F.try_divide(a - p, a)) * 100
+    infinite = F.lit(float("inf"))
+    return F.when((a == 0) & (p != 0), infinite).otherwise(F.abs(F.try_divide(a - p, a)) * 100)
 
 
 def argmax_name(columns: list[str]) -> Column:

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycrest.operators.ranking import attach_row, quantile_row
-
-MAX_CLASSES = 10_000
+from tallycrest.operators.ranking import attach_row, codes, quantile_row
 
 
 def bin_of(value: str, edges: str, bins: int) -> Column:
@@ -36,32 +34,17 @@ def quantile_bins(df: DataFrame, bins: dict[str, int], names: dict[str, str]) ->
     )
 
 
-def class_list(df: DataFrame, column: str) -> Column:
-    """Sorted distinct values of a category column as a scalar; fails above MAX_CLASSES."""
-    found = (
-        df.select(column)
-        .distinct()
-        .limit(MAX_CLASSES + 1)
-        .agg(F.array_sort(F.collect_set(column)).alias("classes"))
-        .select(
-            F.when(F.size("classes") <= MAX_CLASSES, F.col("classes")).otherwise(
-                F.raise_error(F.lit(f"{column} has too many classes to encode")).cast("array<string>")
-            )
-        )
-    )
-    return found.scalar()
-
-
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Add 0-based codes in alphabetical order of the labels."""
-    return df.withColumn(
-        name, (F.nullif(F.array_position(class_list(df, column), F.col(column)), F.lit(0)) - 1).cast("int")
-    )
+    """Add 0-based codes in alphabetical order of the labels; null stays null.
+
+    The labels are numbered in a pass of their own, then joined.
+    """
+    return df.join(codes(df, column, name).withColumn(name, F.col(name).cast("int")), column, "left")
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str], prefix: str = "") -> DataFrame:
     """Add a 0/1 column per listed category; null and unlisted values give all zeros."""
-    known = {one_hot_name(c, prefix): F.expr(f"int({column} <=> '{c}')") for c in categories}
+    known = {one_hot_name(c, prefix): F.col(column).eqNullSafe(F.lit(c)).cast("int") for c in categories}
     return df.withColumns(known)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import (
-    elapsed_days, fix_year, gate, money_sum, parse_date, strip_no_break_space, to_moment, to_number,
+    elapsed_days, fix_year, gate, money_sum, parse_date, strip_no_break_space, to_moment, to_moment_or_null, to_number,
 )
 from tallycrest.operators.binning import quantile_bins
 from tallycrest.session import materialize
@@ -235,11 +235,17 @@ def opportunity_by_account(opportunities: DataFrame) -> DataFrame:
 
 
 def backlog_by_customer(history: DataFrame, current: DataFrame) -> DataFrame:
-    """Backlog amount and latest date per customer over historic and current lines."""
-    columns = ["customer_id", "eur", "efftive_date"]
+    """Backlog amount and latest date per customer over historic and current lines.
+
+    Dates may be text; one that cannot be read is null and never the latest.
+    """
+
+    def dated(lines: DataFrame) -> DataFrame:
+        return lines.select("customer_id", "eur", to_moment_or_null(lines, "efftive_date").alias("efftive_date"))
+
     return (
-        history.select(*columns)
-        .unionByName(current.select(*columns))
+        dated(history)
+        .unionByName(dated(current))
         .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(money_sum("eur").alias("backlog"), F.max("efftive_date").alias("backlog_date"))

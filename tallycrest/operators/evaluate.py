@@ -99,14 +99,17 @@ def log_loss(label: str, probability_of_one: str) -> Column:
 
 
 def regression_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """MSE, MAE, median and mean percentage error and R² of ``y_pred`` against ``y_true``."""
+    """MSE, MAE, median and mean percentage error and R² of ``y_pred`` against ``y_true``.
+
+    Errors against an actual 0 are infinite: they count in the median, and the mean leaves them out.
+    """
     error = F.col("y_true") - F.col("y_pred")
     rows = df.withColumn("ape", absolute_percentage_error("y_true", "y_pred"))
     sums = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(error * error).alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
-        F.avg("ape").alias("mean_ape"),
+        F.avg(F.when(F.col("ape") < float("inf"), F.col("ape"))).alias("mean_ape"),
         F.var_pop("y_true").alias("_variance"),
     )
     middle = quantiles(rows, ["ape"], [0.5], by).select(*by, F.col("q")[0].alias("median_ape"))
@@ -117,7 +120,10 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def forecast_bands(df: DataFrame) -> DataFrame:
-    """Rows and reps per error band, with the mean error of rows below 70 percent."""
+    """Rows and reps per error band, with the mean error of rows below 70 percent.
+
+    An actual 0 that was not predicted is in the last band; a predicted one has no error and no band.
+    """
     rows = df.withColumn("ape", absolute_percentage_error("y_true", "y_pred")).filter(F.col("ape").isNotNull())
     band = F.lit(BANDS[-1][1])
     for limit, name in reversed(BANDS[:-1]):

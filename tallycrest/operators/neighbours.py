@@ -118,7 +118,8 @@ def _send_to_cells(queries: DataFrame, pivots: np.ndarray, radii: tuple[np.ndarr
                     "cell": cell.astype("int32"),
                 })
 
-    return queries.mapInPandas(send, "point long, features array<double>, cell int")
+    kind = queries.schema["point"].dataType.simpleString()
+    return queries.mapInPandas(send, f"point {kind}, features array<double>, cell int")
 
 
 def _blocks(df: DataFrame, counts: dict[int, int], block_rows: int) -> Column:
@@ -141,6 +142,8 @@ def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int)
         ).withColumn(other_name, F.explode(F.sequence(F.lit(0), _blocks(df, other, block_rows) - 1)))
 
     keys = ["cell", "qblock", "cblock"]
+    kind = candidates.schema["point"].dataType.simpleString()
+    ids_type = "object" if kind == "string" else "int64"
     left = spread(queries.select("point", "features", "cell"), q_counts, c_counts, "qblock", "cblock")
     renamed = candidates.select(*[F.col(c).alias(c) for c in ("point", "features", "cell")])
     right = spread(renamed, c_counts, q_counts, "cblock", "qblock")
@@ -165,13 +168,13 @@ def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int)
                     found["squared"].append(value[hit])
                     d[rows, best] = np.inf
         return pd.DataFrame(
-            {n: np.concatenate(v) if v else np.array([], dtype="float64" if n == "squared" else "int64")
+            {n: np.concatenate(v) if v else np.array([], dtype="float64" if n == "squared" else ids_type)
              for n, v in found.items()}
         )
 
     return (
         left.groupBy(*keys).cogroup(right.groupBy(*keys))
-        .applyInPandas(tile, "point long, other long, squared double")
+        .applyInPandas(tile, f"point {kind}, other {kind}, squared double")
     )
 
 
@@ -194,12 +197,12 @@ def nearest_neighbours(
     """The k nearest other rows of each row: ``key`` and ``neighbours``, an array of
     (squared, id, class) ascending; ties go to the smaller id.
 
-    ``key`` is a whole number; ``wanted`` limits for which rows neighbours are searched.
+    ``key`` is any type with an order; ``wanted`` limits for which rows neighbours are searched.
     Fitting the pivots and bounds runs jobs at once; intermediate tables go to the shared
     scratch folder.
     """
     named = rows.select(
-        F.col(key).cast("long").alias("id"), F.col(features).alias("features"), F.col(payload).alias("class"),
+        F.col(key).alias("id"), F.col(features).alias("features"), F.col(payload).alias("class"),
         (F.lit(True) if wanted is None else wanted).alias("wanted"),
     )
     points = materialize(distinct_points(named, k + 1), "points")
@@ -322,6 +325,7 @@ def error_distance(
     total, wrong_points, right_points = vectors.agg(
         F.sum("copies"), F.count_if(F.col("copies") > 0), F.count_if(F.col("correct") > 0)
     ).first()
+    kind = vectors.schema["point"].dataType.simpleString()
     q_blocks = max(1, math.ceil(wrong_points / block_rows))
     c_blocks = max(1, math.ceil(right_points / block_rows))
     place = F.xxhash64("point")
@@ -346,13 +350,13 @@ def error_distance(
                     "point": part["point"].to_numpy(), "n": int(weight.sum()),
                     "nearest": d.min(axis=1), "total": d @ weight,
                 }))
-        empty = pd.DataFrame({"point": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"),
+        empty = pd.DataFrame({"point": pd.Series(dtype="object" if kind == "string" else "int64"), "n": pd.Series(dtype="int64"),
                               "nearest": pd.Series(dtype="float64"), "total": pd.Series(dtype="float64")})
         return pd.concat(parts) if parts else empty
 
     summary = (
         left.groupBy("qblock", "cblock").cogroup(other.groupBy("qblock", "cblock"))
-        .applyInPandas(tile, "point long, n long, nearest double, total double")
+        .applyInPandas(tile, f"point {kind}, n long, nearest double, total double")
         .groupBy("point")
         .agg(F.sum("n").alias("n_correct"), F.min("nearest").alias("min_distance"),
              (F.sum("total") / F.sum("n")).alias("avg_distance"))

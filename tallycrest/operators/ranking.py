@@ -14,7 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycrest.session import materialize
+
 MAX_BUCKETS = 1024
+HASH_SLICE_BITS = 12
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -126,11 +129,13 @@ def shuffled_row_number(df: DataFrame, by: Sequence[str], key: str, name: str =
     """Number the rows of each group 1..n in the order of a hash of ``key``.
 
     ``by`` is a small set of groups that may each hold most of the table, so rows are
-    numbered inside equal slices of the hash range and shifted by the slice offsets.
+    numbered inside equal slices of the hash range and shifted by the slice offsets. The
+    slices are fixed, so the numbers do not depend on any session setting.
     """
     by = list(by)
-    slices = bucket_count(df)
-    hashed = df.withColumn("_hash", F.xxhash64(key)).withColumn("_slice", F.pmod(F.col("_hash"), F.lit(slices)))
+    hashed = df.withColumn("_hash", F.xxhash64(key)).withColumn(
+        "_slice", F.shiftrightunsigned("_hash", 64 - HASH_SLICE_BITS)
+    )
     sizes = hashed.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
@@ -141,3 +146,26 @@ def shuffled_row_number(df: DataFrame, by: Sequence[str], key: str, name: str =
         .withColumn(name, F.col("_base") + F.col("_row"))
         .drop("_hash", "_slice", "_row", "_base")
     )
+
+
+def codes(values: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct non-null values and their 0-based place in ascending order, for any number of values.
+
+    Ranges of values are numbered inside and shifted by the sizes of the ranges before; which
+    value lies in which range is stored, so both passes agree.
+    """
+    ranged = materialize(
+        values.select(column).filter(F.col(column).isNotNull()).distinct().repartitionByRange(column)
+        .withColumn("_part", F.spark_partition_id()),
+        "codes",
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    )
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    # one row per shuffle partition
+    return ranged.withColumn("_nth", nth).join(F.broadcast(bases), "_part").select(
+        column, (F.col("_base") + F.col("_nth") - 1).alias(name)
+    )

@@ -76,6 +76,14 @@ def rep_month_sales(scores: DataFrame, backlog: DataFrame, mode: str = "once") -
     ``mode="per_row"`` counts the month's backlog once per shipped line instead of once.
     """
     shipped = numeric_reps(scores).filter(F.col("shipments") > 0)
+    if is_text(scores, "sales_id"):
+        # codes such as 7 and 07 are one rep: amounts add up, the lowest bin stands, backlog counts once
+        shipped = shipped.groupBy(*KEYS).agg(
+            money_sum("eur").alias("eur"),
+            F.sum("shipments").alias("shipments"),
+            F.min("monetary").alias("monetary"),
+            F.min("frequency").alias("frequency"),
+        )
     times = F.col("shipments") if mode == "per_row" else F.lit(1)
     return shipped.join(backlog_by_rep_month(backlog), KEYS, "left").select(
         *KEYS, "eur", "monetary", "frequency", F.coalesce(F.col("backlog") * times, F.lit(0.0)).alias("backlog")

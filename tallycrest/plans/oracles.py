@@ -212,6 +212,9 @@ SELECT * EXCLUDE (known, pos, at0, v0, at1, v1) REPLACE (
   CASE WHEN known IS NOT NULL THEN known WHEN at1 IS NULL THEN v0 WHEN at0 IS NULL THEN v1
        ELSE v0 + (v1 - v0) * (pos - at0) / (at1 - at0) END AS eur)
 FROM sides"""
+PARTS["opened_all"] = PARTS["opened"].replace(" AND year_id = (SELECT max(year_id) FROM quota_sales)", "")
+PARTS["sides_all"] = PARTS["sides"].replace("FROM opened", "FROM opened_all")
+PARTS["interpolated_all"] = PARTS["interpolated"].replace("FROM sides", "FROM sides_all")
 PARTS["spreads"] = """
 SELECT sales_id, avg(amount) AS historical_mean, stddev_samp(amount) AS spread FROM quota_m GROUP BY 1"""
 PARTS["train_raw"] = """
@@ -371,7 +374,8 @@ SELECT c, row_number() OVER (ORDER BY c) AS i FROM (
 WHERE c <= hi"""
 PARTS["pairs_p"] = "SELECT a.c AS s, b.c AS e FROM cutoffs a JOIN cutoffs b ON b.i = a.i + 1"
 PARTS["apes"] = """
-SELECT *, abs((y_true - y_pred) / nullif(y_true, 0)) * 100 AS ape FROM forecasts"""
+SELECT *, CASE WHEN y_true = 0 AND y_pred <> 0 THEN CAST('Infinity' AS DOUBLE)
+               ELSE abs((y_true - y_pred) / nullif(y_true, 0)) * 100 END AS ape FROM forecasts"""
 PARTS["labelled_totals"] = "SELECT totals.*, label FROM totals JOIN labels_c USING (customer_id)"
 PARTS["sector_totals"] = """
 SELECT totals.*, c_mktsegment AS sector, customer_type FROM totals
@@ -384,7 +388,8 @@ def _long(source: str, columns: list[str], by: str) -> str:
     )
 
 
-PARTS["mw_long"] = _long("labelled_totals", ["monetary", "frequency", "recency", "qty"], "label")
+PARTS["labelled_scores"] = "SELECT scored.*, label FROM scored JOIN labels_c USING (customer_id)"
+PARTS["mw_long"] = _long("labelled_scores", ["monetary", "frequency", "recency", "qty", "rfm_score"], "label")
 PARTS["mw_ranks"] = """
 SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY metric, value) - 1) / 2.0::DOUBLE AS r,
        count(*) OVER (PARTITION BY metric, value) AS same
@@ -455,6 +460,7 @@ SQL["purchase_variability"] = "SELECT customer_id, round(purchase_variability, 6
 SQL["purchase_diversity"] = "SELECT customer_id, count(DISTINCT egroup) AS purchase_diversity FROM clean GROUP BY customer_id"
 SQL["opportunity_by_account"] = "SELECT erp_id, amount, close_date FROM accounts"
 SQL["backlog_by_customer"] = "SELECT customer_id, backlog, backlog_date FROM customer_backlog"
+SQL["backlog_text_dates"] = SQL["backlog_by_customer"]
 SQL["gated_amounts"] = "SELECT customer_id, order_date, opportunity_amt, backlog FROM gated"
 SQL["map_sector"] = "SELECT customer_id, master_sector, customer_type FROM mapped"
 SQL["customer_profile"] = "SELECT * REPLACE (round(purchase_variability, 6) AS purchase_variability) FROM profile"
@@ -462,6 +468,19 @@ SQL["customer_features"] = "SELECT * REPLACE (round(purchase_variability, 6) AS
 
 SQL["rep_month_scores"] = "SELECT sales_id, year_id, month, lines, total, frequency, monetary FROM rep_scores"
 SQL["rep_month_sales"] = "SELECT * FROM rep_sales"
+SQL["rep_month_sales_text"] = SQL["rep_month_sales"]
+SQL["rep_month_sales_per_row"] = """
+SELECT sales_id, year_id, month, eur, monetary, frequency, coalesce(backlog * shipments, 0) AS backlog
+FROM rep_scores LEFT JOIN rep_backlog USING (sales_id, year_id, month) WHERE shipments > 0"""
+SQL["quota_lag_rows"] = """
+SELECT sales_id, year_id, month, lagged_quota FROM (
+  SELECT sales_id, year_id, month, filler, lag(amount, 12) OVER (PARTITION BY sales_id ORDER BY year_id, month) AS lagged_quota
+  FROM (SELECT sales_id, year_id, month, amount, false AS filler FROM quota_m
+        UNION ALL
+        SELECT sales_id, 1998, CAST(m AS INTEGER), NULL, true
+        FROM (SELECT DISTINCT sales_id FROM quota_m WHERE year_id = 1998), range(1, 13) r(m)
+        WHERE (sales_id, m) NOT IN (SELECT (sales_id, month) FROM quota_m WHERE year_id = 1998)))
+WHERE NOT filler"""
 SQL["quota_monthly"] = "SELECT * FROM quota_m"
 SQL["quota_vs_sales"] = "SELECT sales_id, year_id, month, amount, eur, backlog FROM quota_sales"
 SQL["group_mean_fill"] = """
@@ -478,6 +497,7 @@ SQL["quota_lag12"] = """
 SELECT sales_id, year_id, month, round(lagged_eur, 6) AS lagged_eur, lagged_quota,
        round(lagged_monetary, 6) AS lagged_monetary, round(lagged_frequency, 6) AS lagged_frequency FROM lagged"""
 SQL["fill_interpolate_eur"] = "SELECT sales_id, year_id, month, round(eur, 6) AS eur FROM interpolated"
+SQL["fill_interpolate_all"] = "SELECT sales_id, year_id, month, round(eur, 6) AS eur FROM interpolated_all"
 SQL["train_features"] = (
     "SELECT * REPLACE (" + ", ".join(
         f"round({c}, 6) AS {c}" for c in
@@ -549,6 +569,8 @@ SELECT customer_id, target_encoded FROM neighbours WHERE target_encoded = 0
                          WHERE x.k = 1 AND y.k = 1 AND x.ca = 1 AND x.cb = 0)"""
 SQL["inference_table"] = "SELECT * FROM inference"
 SQL["training_table"] = "SELECT * FROM training"
+SQL["training_table_text_keys"] = (
+    "SELECT * REPLACE ('C' || lpad(CAST(customer_id AS VARCHAR), 12, '0') AS customer_id) FROM training")
 SQL["label_share"] = """
 SELECT label, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM labels_c GROUP BY label"""
 SQL["churn_rate_by_segment"] = """
@@ -604,6 +626,9 @@ SQL["confusion_split"] = "SELECT customer_id, outcome FROM outcomes"
 SQL["confusion_prob_stats"] = """
 SELECT outcome, count(*) AS n, round(avg(probability), 6) AS mean, round(stddev_samp(probability), 6) AS std
 FROM outcomes GROUP BY 1"""
+SQL["confusion_prob_stats_by_class"] = """
+SELECT outcome, count(*) AS n, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS std
+FROM (SELECT *, CASE WHEN predictions = 0 THEN 1 - probability ELSE probability END AS p FROM outcomes) GROUP BY 1"""
 SQL["segment_accuracy"] = """
 SELECT customer_type, c AS correct, i AS incorrect, round(c * 100.0::DOUBLE / (c + i), 6) AS correct_pct,
        round(i * 100.0::DOUBLE / (c + i), 6) AS incorrect_pct
@@ -620,7 +645,7 @@ FROM (SELECT customer_id % 5 AS fold, class, count(*) FILTER (WHERE target_encod
       FROM predictions, (VALUES (0), (1)) c(class) GROUP BY 1, 2) GROUP BY 1"""
 SQL["regression_metrics"] = """
 SELECT year_id, count(*) AS n, round(avg((y_true - y_pred) ** 2), 1) AS mse, round(avg(abs(y_true - y_pred)), 6) AS mae,
-       round(avg(ape), 6) AS mean_ape, round(quantile_cont(ape, 0.5), 6) AS median_ape,
+       round(avg(ape) FILTER (WHERE ape < 'Infinity'), 6) AS mean_ape, round(quantile_cont(ape, 0.5), 6) AS median_ape,
        round(1 - avg((y_true - y_pred) ** 2) / var_pop(y_true), 6) AS r2 FROM apes GROUP BY 1"""
 SQL["forecast_bands"] = """
 SELECT CASE WHEN ape < 10 THEN 'highly accurate' WHEN ape < 25 THEN 'good' WHEN ape < 50 THEN 'reasonable'
@@ -662,6 +687,8 @@ FROM train, (VALUES (1999), (2000), (2001)) y(t)
 WHERE year_id = t OR (year_id < t AND year_id >= 1998 AND lagged_quota_std <> 0 AND lagged_eur_std <> 0)"""
 SQL["write_overwrite_append"] = f"""
 SELECT * FROM ({SQL["customer_revenue"]}) UNION ALL SELECT * FROM ({SQL["customer_revenue"]})"""
+SQL["csv_round_trip"] = SQL["customer_revenue"]
+SQL["clear_table"] = f"SELECT * FROM ({SQL['customer_revenue']}) WHERE false"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -112,6 +112,17 @@ def backlog_by_customer(v: TestViews) -> DataFrame:
     return cu.backlog_by_customer(v.backlog_history(), v.backlog_current())
 
 
+@query
+def backlog_text_dates(v: TestViews) -> DataFrame:
+    """Backlog whose dates are text, some of it unreadable."""
+
+    def spelled(lines: DataFrame) -> DataFrame:
+        return lines.withColumn("efftive_date", F.date_format("efftive_date", "yyyy-MM-dd HH:mm:ss"))
+
+    unread = v.backlog_current().withColumn("efftive_date", F.lit("unknown")).withColumn("eur", F.lit(0.0))
+    return cu.backlog_by_customer(spelled(v.backlog_history()), spelled(v.backlog_current()).unionByName(unread))
+
+
 @query
 def gated_amounts(v: TestViews) -> DataFrame:
     last = shipments(v, "customer_id").groupBy("customer_id").agg(F.max("order_date").alias("order_date"))
@@ -153,11 +164,14 @@ def _scores(v: TestViews) -> DataFrame:
     return reps.rep_month_scores(v.sales(["sales_id", "efftive_date", "eur", "tran_type"]), MIN_YEAR)
 
 
-def _monthly_sales(v: TestViews) -> DataFrame:
-    backlog = v.sales(["sales_id", "eur", "efftive_date"], only="Backlog").filter(
+def _rep_backlog(v: TestViews) -> DataFrame:
+    return v.sales(["sales_id", "eur", "efftive_date"], only="Backlog").filter(
         F.col("efftive_date") < F.lit(HISTORY_END)
     )
-    return reps.rep_month_sales(_scores(v), backlog)
+
+
+def _monthly_sales(v: TestViews) -> DataFrame:
+    return reps.rep_month_sales(_scores(v), _rep_backlog(v))
 
 
 def _quota_sales(v: TestViews) -> DataFrame:
@@ -178,6 +192,23 @@ def rep_month_sales(v: TestViews) -> DataFrame:
     return _monthly_sales(v)
 
 
+@query
+def rep_month_sales_text(v: TestViews) -> DataFrame:
+    """Rep codes as text with a leading zero, and the house account."""
+
+    def spelled(lines: DataFrame) -> DataFrame:
+        return lines.withColumn("sales_id", F.concat(F.lit("0"), F.col("sales_id").cast("string")))
+
+    scores = spelled(_scores(v))
+    house = scores.withColumn("sales_id", F.lit(reps.HOUSE_ACCOUNT))
+    return reps.rep_month_sales(scores.unionByName(house), spelled(_rep_backlog(v)))
+
+
+@query
+def rep_month_sales_per_row(v: TestViews) -> DataFrame:
+    return reps.rep_month_sales(_scores(v), _rep_backlog(v), mode="per_row")
+
+
 @query
 def quota_monthly(v: TestViews) -> DataFrame:
     return reps.quota_monthly(v.quota())
@@ -227,6 +258,18 @@ def fill_interpolate_eur(v: TestViews) -> DataFrame:
     return rounded(reps.interpolate_open_months(_quota_sales(v)).select(*reps.KEYS, "eur"), 6, "eur")
 
 
+@query
+def fill_interpolate_all(v: TestViews) -> DataFrame:
+    return rounded(reps.interpolate_open_months(_quota_sales(v), scope="all").select(*reps.KEYS, "eur"), 6, "eur")
+
+
+@query
+def quota_lag_rows(v: TestViews) -> DataFrame:
+    """Lag by rows that are there; the first year's missing months are filled in."""
+    lagged = reps.lag_rows(quota_monthly(v), {"amount": "lagged_quota"}, YEARS[0])
+    return lagged.select(*reps.KEYS, "lagged_quota")
+
+
 def _stored_quota(v: TestViews) -> DataFrame:
     return v.stored("quota-monthly", lambda: quota_monthly(v))
 
@@ -426,6 +469,13 @@ def training_table(v: TestViews) -> DataFrame:
     return retention.training_table(_stored_features(v), CUSTOMER_TYPES)
 
 
+@query
+def training_table_text_keys(v: TestViews) -> DataFrame:
+    """Customer numbers spelled as text go through scaling, encoding and undersampling."""
+    spelled = F.concat(F.lit("C"), F.lpad(F.col("customer_id").cast("string"), 12, "0"))
+    return retention.training_table(_stored_features(v).withColumn("customer_id", spelled), CUSTOMER_TYPES)
+
+
 # --- exploration -------------------------------------------------------------------
 
 LABELS = ["churn", "retain"]
@@ -527,6 +577,12 @@ def confusion_prob_stats(v: TestViews) -> DataFrame:
     return rounded(evaluate.confusion_probabilities(v.predictions()), 6, "mean", "std")
 
 
+@query
+def confusion_prob_stats_by_class(v: TestViews) -> DataFrame:
+    rows = v.predictions().withColumns({"p_0": 1 - F.col("probability"), "p_1": F.col("probability")})
+    return rounded(evaluate.confusion_probabilities(rows, None, ("p_0", "p_1")), 6, "mean", "std")
+
+
 @query
 def segment_accuracy(v: TestViews) -> DataFrame:
     return rounded(evaluate.segment_accuracy(v.predictions(), "customer_type"), 6, "correct_pct", "incorrect_pct")
@@ -550,6 +606,7 @@ def forecast_bands(v: TestViews) -> DataFrame:
 
 
 TESTED = ["qty", "probability"]
+RANKED = ["monetary", "frequency", "recency", "qty", "rfm_score"]
 
 
 @query
@@ -566,8 +623,8 @@ def t_test_p_values(v: TestViews) -> DataFrame:
 
 @query
 def mann_whitney(v: TestViews) -> DataFrame:
-    labelled = _rfm(v).join(churn_label(v), "customer_id")
-    table = evaluate.mann_whitney(labelled, ["monetary", "frequency", "recency", "qty"], "label", LABELS)
+    labelled = cu.rfm_scores(_rfm(v)).join(churn_label(v), "customer_id")
+    table = evaluate.mann_whitney(labelled, RANKED, "label", LABELS)
     return rounded(table, 6, "z")
 
 
@@ -581,8 +638,8 @@ def kruskal_wallis(v: TestViews) -> DataFrame:
 
 @query
 def rank_test_p_values(v: TestViews) -> DataFrame:
-    labelled = _rfm(v).join(churn_label(v), "customer_id")
-    return evaluate.rank_test(labelled, ["monetary", "frequency", "recency", "qty"], "label", LABELS)
+    labelled = cu.rfm_scores(_rfm(v)).join(churn_label(v), "customer_id")
+    return evaluate.rank_test(labelled, RANKED, "label", LABELS)
 
 
 def _prediction_vectors(v: TestViews) -> DataFrame:
@@ -628,14 +685,13 @@ def churn_gbt_report(v: TestViews) -> DataFrame:
 
 @query
 def churn_mlp_cv(v: TestViews) -> DataFrame:
-    settings = [{"layers": [len(FEATURES), *hidden, 2]} for hidden in models.MLP_LAYERS[:2]]
-    stage = models.mlp_classifier(len(FEATURES), maxIter=20)
-    return models.churn_search(training_table(v), FEATURES, stage, settings, folds=2)[1]
+    settings = [{"layers": [len(FEATURES), *hidden, 2]} for hidden in models.MLP_LAYERS]
+    return models.churn_search(training_table(v), FEATURES, models.mlp_classifier(len(FEATURES)), settings)[1]
 
 
 @query
 def churn_mlp_report(v: TestViews) -> DataFrame:
-    return models.churn_mlp_run(training_table(v), FEATURES, maxIter=20)
+    return models.churn_mlp_run(training_table(v), FEATURES)
 
 
 @query
@@ -654,7 +710,7 @@ def customer_value_features(v: TestViews) -> DataFrame:
 
 @query
 def customer_value_rf(v: TestViews) -> DataFrame:
-    return models.customer_value_metrics(customer_value_features(v), FEATURES, trees=20)
+    return models.customer_value_metrics(customer_value_features(v), FEATURES)
 
 
 @query
@@ -699,15 +755,28 @@ def write_overwrite_append(v: TestViews) -> DataFrame:
     return v.spark.read.parquet(path)
 
 
+@query
+def csv_round_trip(v: TestViews) -> DataFrame:
+    """Revenue written as CSV and read with a declared schema."""
+    path = f"{scratch_dir(v.spark)}/csv-{uuid.uuid4().hex}"
+    revenue = customer_revenue(v)
+    sinks.write_csv(revenue, path)
+    return tables.read_csv(v.spark, path, "customer_id bigint, eur double")
+
+
+@query
+def clear_table(v: TestViews) -> DataFrame:
+    """A written table after its rows were removed: the schema stays."""
+    path = f"{scratch_dir(v.spark)}/cleared-{uuid.uuid4().hex}"
+    sinks.write_table(customer_revenue(v), path)
+    sinks.clear_table(v.spark, path)
+    return v.spark.read.parquet(path)
+
+
 @query
 def model_run_log(v: TestViews) -> DataFrame:
-    """Two runs in the log, with the shares of the two labels standing in for the metrics."""
+    """The cross-validated run of the network, as its log shows it."""
     path = f"{scratch_dir(v.spark)}/runs-{uuid.uuid4().hex}"
-    shares = {r["label"]: r["share"] for r in label_share(v).collect()}
-    for day, label in enumerate(LABELS, start=1):
-        sinks.append_run_log(v.spark, path, {
-            "training_date": f"2002-01-0{day} 00:00:00", "optimizer": "l-bfgs", "loss_function": "cross_entropy",
-            "hidden_layers": "64-32 units", "cross_validation": "Stratified 5 Fold", "accuracy": shares[label],
-            "loss": 1 - shares[label], "f1_score": shares[label],
-        })
+    summary = models.churn_mlp_run(training_table(v), FEATURES)
+    sinks.append_run_log(v.spark, path, models.run_log_entry(summary, models.MLP_LAYERS[0], 5, AS_OF))
     return sinks.read_run_log(v.spark, path)

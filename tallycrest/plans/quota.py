@@ -40,7 +40,8 @@ def train_features(
     filled = reps.fill_by_rep_mean(base, ["eur", "monetary", "frequency"])
     lagged = reps.add_spread(reps.lag_year(filled, LAGS))
     features = lagged.drop("eur", "fact_entity", "sales_name", "leads", "opportunity_amount").fillna(0)
-    return minmax(one_hot(features, "master_sector", sectors).drop("master_sector"), TRAIN_SCALED)
+    # a column of one value has no scale; its share counts as 0
+    return minmax(one_hot(features, "master_sector", sectors).drop("master_sector"), TRAIN_SCALED).fillna(0)
 
 
 def infer_features(

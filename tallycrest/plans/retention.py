@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import argmax_name
 from tallycrest.operators import customers
-from tallycrest.operators.binning import label_encode, one_hot
+from tallycrest.operators.binning import label_encode, one_hot, one_hot_name
 from tallycrest.operators.neighbours import undersample
 from tallycrest.operators.scaling import column_stats, drop_outliers_z, standardize, unstandardize
 from tallycrest.session import materialize
@@ -43,7 +43,7 @@ def customer_features(
 
 
 def type_columns(types: Sequence[str]) -> list[str]:
-    return [f"{TYPE_PREFIX}{t}".lower() for t in types]
+    return [one_hot_name(t, TYPE_PREFIX) for t in types]
 
 
 def model_features(types: Sequence[str]) -> list[str]:

@@ -15,15 +15,6 @@ SALES_COLUMNS = [
     "efftive_date", "qty", "eur", "cust_country", "sector",
 ]
 BACKLOG_COLUMNS = ["customer_id", "sales_id", "eur", "efftive_date"]
-OPPORTUNITY_COLUMNS = [
-    "opportunity_id", "erp_id", "amount", "probability", "close_date", "created_date", "sales_code_text",
-]
-QUOTA_COLUMNS = ["sales_id", "sales_name", "year_id", "month", "amount", "master_sector", "fact_entity"]
-TRAINING_COLUMNS = [
-    "frequency_score", "monetary_score", "rfm_score", "qty", "customer_aol", "customer_cp",
-    "customer_ka", "cust_country", "customer_id", "label", "target_encoded",
-]
-PREDICTION_INPUT_COLUMNS = TRAINING_COLUMNS[:-1]
 FUTURE_BACKLOG_SCHEMA = "tran_type string, efftive_date timestamp_ntz, eur double, sales_id bigint"
 RUN_LOG_SCHEMA = (
     "training_date string, optimizer string, loss_function string, hidden_layers string, "

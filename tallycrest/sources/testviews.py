@@ -105,7 +105,11 @@ class TestViews:
 
     def opportunity(self) -> DataFrame:
         orders = self.table("orders").filter(F.col("o_orderstatus") == "P")
-        reps = self.table("lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("rep"))
+        # only the lines of these few orders are grouped
+        lines = self.table("lineitem").join(
+            orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"
+        )
+        reps = lines.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("rep"))
         key = F.col("o_orderkey")
         digit = F.substring("o_orderpriority", 1, 1)
         day = F.date_format("o_orderdate", "yyyy-MM-dd")

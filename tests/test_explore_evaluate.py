@@ -99,10 +99,12 @@ def test_regression_metrics_and_bands(spark):
     m = evaluate.regression_metrics(df).first()
     y, p = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
     assert m["mse"] == pytest.approx(((y - p) ** 2).mean()) and m["mae"] == pytest.approx(abs(y - p).mean())
-    assert m["median_ape"] == pytest.approx(25.0) and m["mean_ape"] == pytest.approx(155 / 4)
+    assert m["median_ape"] == pytest.approx(30.0) and m["mean_ape"] == pytest.approx(155 / 4)
     assert m["r2"] == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
     bands = {r["band"]: (r["n_rows"], r["n_reps"]) for r in evaluate.forecast_bands(df).collect()}
-    assert bands == {"highly accurate": (1, 1), "good": (1, 1), "reasonable": (1, 1), "weak and inaccurate": (1, 1)}
+    assert bands == {"highly accurate": (1, 1), "good": (1, 1), "reasonable": (1, 1), "weak and inaccurate": (2, 2)}
+    hit = spark.createDataFrame([(4, 0.0, 0.0)], df.schema)
+    assert evaluate.forecast_bands(df.unionByName(hit)).agg({"n_rows": "sum"}).first()[0] == 5
 
 
 def test_tail_probabilities():

@@ -104,8 +104,25 @@ def test_folds_differ_by_at_most_one(spark):
     assert folded.select("id", "fold").exceptAll(again.select("id", "fold")).count() == 0
 
 
-def test_too_many_classes_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(binning, "MAX_CLASSES", 3)
-    df = frame(spark, label=list("abcde"))
-    with pytest.raises(Exception, match="too many classes"):
-        binning.label_encode(df, "label", "code").collect()
+def test_folds_do_not_move_with_the_partition_number(spark):
+    df = frame(spark, id=range(500), label=["a" if i % 3 else "b" for i in range(500)])
+    seen, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in ("4", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        seen.append({r["id"]: r["fold"] for r in folds.add_folds(df, "id", 5, "label").collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
+
+
+def test_any_number_of_classes_is_encoded(spark):
+    labels = [f"label {i:05}" for i in range(12_000)]
+    df = frame(spark, label=[*labels, *labels[:5], None])
+    got = {r["label"]: r["code"] for r in binning.label_encode(df, "label", "code").collect()}
+    assert got == {**{x: i for i, x in enumerate(labels)}, None: None}
+
+
+def test_one_hot_of_awkward_names(spark):
+    df = frame(spark, kind=["it's", "KA, CP", None])
+    got = binning.one_hot(df, "kind", ["it's", "KA, CP"], "customer_")
+    assert got.columns == ["kind", "customer_it's", "customer_ka,_cp"]
+    assert [tuple(r)[1:] for r in got.collect()] == [(1, 0), (0, 1), (0, 0)]
