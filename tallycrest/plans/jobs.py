@@ -23,6 +23,7 @@ TRAINING = "training-data"
 TO_PREDICT = "to-be-predicted"
 RESULTS = "prediction-results"
 RUN_LOG = "model-information"
+REPORT = "classification-report"
 
 
 def create_retention_data(features: DataFrame, folder: str, types: Sequence[str]) -> None:
@@ -43,16 +44,28 @@ def train_retention(
     when: dt.datetime,
     grid: models.Grid | None = None,
     folds: int = 5,
+    layers: Sequence[Sequence[int]] = tuple(map(tuple, models.MLP_LAYERS)),
     **network,
 ) -> None:
-    """Search the boosted trees, save the best model, and log a cross-validated neural network."""
+    """Boosted trees and neural network: search, cross-validated report, saved model and run log.
+
+    The trees go to ``model_path``, the network with the best layers to ``{model_path}-network``.
+    """
     table = spark.read.parquet(f"{folder}/{TRAINING}")
     features = retention.model_features(types)
     settings = models.combinations(grid or models.GBT_GRID)
     search, _ = models.churn_search(table, features, models.gbt_classifier(), settings, folds)
     search.bestModel.write().overwrite().save(model_path)
-    summary = models.churn_mlp_run(table, features, folds, **network)
-    append_run_log(spark, f"{folder}/{RUN_LOG}", models.run_log_entry(summary, (64, 32), folds, when))
+    best = settings[max(range(len(settings)), key=lambda i: search.avgMetrics[i])]
+    report = models.churn_report(table, features, models.gbt_classifier(**best), folds)
+    write_table(report, f"{folder}/{REPORT}")
+    shapes = [{"layers": [len(features), *hidden, 2]} for hidden in layers]
+    hidden = layers[0]
+    if len(shapes) > 1:
+        found, _ = models.churn_search(table, features, models.mlp_classifier(len(features), **network), shapes, folds)
+        hidden = layers[max(range(len(shapes)), key=lambda i: found.avgMetrics[i])]
+    summary = models.churn_mlp_run(table, features, folds, hidden, f"{model_path}-network", **network)
+    append_run_log(spark, f"{folder}/{RUN_LOG}", models.run_log_entry(summary, hidden, folds, when))
 
 
 def predict_retention(spark: SparkSession, folder: str, model_path: str, types: Sequence[str]) -> None:
@@ -63,21 +76,38 @@ def predict_retention(spark: SparkSession, folder: str, model_path: str, types:
     write_table(retention.scored_output(scored, types, stats), f"{folder}/{RESULTS}")
 
 
+def train_quota(
+    quota: DataFrame,
+    sales: DataFrame,
+    opportunities: DataFrame,
+    model_folder: str,
+    sectors: Sequence[str],
+    settings: Sequence[dict[str, object]] = ({},),
+    folds: int = 3,
+) -> None:
+    """Fit both quota models on past months (several settings are searched) and save them."""
+    train = models.fitting_frame(quota_plan.train_features(quota, sales, opportunities, sectors), "quota-train")
+    rows = models.with_folds(train, folds) if len(settings) > 1 else train
+    pair = models.fit_pair(rows, [one_hot_name(s) for s in sectors], (), settings, folds)
+    models.save_pair(pair, model_folder)
+
+
 def predict_quota(
     quota: DataFrame,
     sales: DataFrame,
     opportunities: DataFrame,
     future_backlog: DataFrame,
     folder: str,
+    model_folder: str,
     sectors: Sequence[str],
     min_year: int,
     seed: int = models.SEED,
-    **params,
 ) -> dict[str, float]:
-    """Fit on past months, write next year's quota as table and CSV, and return the totals."""
-    train = quota_plan.train_features(quota, sales, opportunities, sectors)
+    """Write next year's quota by the saved models as table and CSV, and return the totals."""
     infer = quota_plan.infer_features(quota, sales, opportunities, future_backlog, sectors, min_year)
-    result = models.quota_predictions(train, infer, [one_hot_name(s) for s in sectors], seed, **params)
+    result = models.quota_predictions(
+        models.load_pair(model_folder), models.fitting_frame(infer, "quota-infer"), seed
+    )
     write_table(result, f"{folder}/quota-predictions")
     stored = quota.sparkSession.read.parquet(f"{folder}/quota-predictions")
     write_csv(stored, f"{folder}/quota-predictions-csv")

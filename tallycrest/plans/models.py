@@ -154,10 +154,16 @@ def churn_report(table: DataFrame, features: Sequence[str], stage, folds: int =
     return classification_report(with_classes(predicted), "fold")
 
 
-def churn_mlp_run(table: DataFrame, features: Sequence[str], folds: int = 5, **params) -> DataFrame:
-    """Accuracy, loss and F1 of the neural network: mean and population deviation over folds."""
-    stage = mlp_classifier(len(features), **params)
-    predicted, _ = out_of_fold(churn_folds(table, folds), pipeline(features, stage), folds)
+def churn_mlp_run(table: DataFrame, features: Sequence[str], folds: int = 5, hidden: Sequence[int] = (64, 32),
+                  model_path: str | None = None, **params) -> DataFrame:
+    """Accuracy, loss and F1 of the neural network: mean and population deviation over folds.
+
+    Saves the last fold's network if a path is given.
+    """
+    stage = mlp_classifier(len(features), hidden, **params)
+    predicted, model = out_of_fold(churn_folds(table, folds), pipeline(features, stage), folds)
+    if model_path:
+        model.write().overwrite().save(model_path)
     rows = with_classes(predicted)
     right = F.col("predictions") == F.col("target_encoded")
     hit = F.count_if((F.col("predictions") == 1) & (F.col("target_encoded") == 1))
@@ -182,6 +188,10 @@ def run_log_entry(summary: DataFrame, hidden: Sequence[int], folds: int, when: d
     }
 
 
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, table: DataFrame) -> DataFrame:
     return with_classes(model.transform(table))
 
@@ -228,11 +238,15 @@ def quota_backtest(train: DataFrame, years: Sequence[int], sectors: Sequence[str
     return results.withColumn("percentage_error", absolute_percentage_error("y_true", "y_pred"))
 
 
+#: The models of the ensemble, and whether they see the backlog.
+PAIR = {"with_backlog": True, "without_backlog": False}
+
+
 def fit_pair(train: DataFrame, sectors: Sequence[str], extra: Sequence[str] = (),
              settings: Sequence[dict[str, object]] = ({},), folds: int = 3) -> dict[str, PipelineModel]:
     """The models with and without backlog; several settings are searched by cross-validation."""
     models = {}
-    for name, backlog in (("with_backlog", True), ("without_backlog", False)):
+    for name, backlog in PAIR.items():
         features = quota_features(sectors, backlog, extra)
         if len(settings) == 1:
             models[name] = pipeline(features, quota_regressor(**settings[0])).fit(train)
@@ -253,12 +267,14 @@ def predict_pair(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
 ENSEMBLE_EXTRA = ["lagged_opportunity_amount"]
 
 
+def with_folds(train: DataFrame, folds: int) -> DataFrame:
+    return add_folds(train.withColumn("_row", F.xxhash64(*KEYS)), "_row", folds)
+
+
 def quota_ensemble(train: DataFrame, sectors: Sequence[str], settings: Sequence[dict[str, object]] = ({},),
                    folds: int = 3) -> DataFrame:
     """Held-out predictions of the two-model ensemble."""
-    rows = train
-    if len(settings) > 1:
-        rows = add_folds(train.withColumn("_row", F.xxhash64(*KEYS)), "_row", folds)
+    rows = with_folds(train, folds) if len(settings) > 1 else train
     fit, held_out = split_by_hash(fitting_frame(rows, "ensemble"), KEYS)
     models = fit_pair(fit, sectors, ENSEMBLE_EXTRA, settings, folds)
     return predict_pair(models, held_out).select(
@@ -272,11 +288,18 @@ def ensemble_report(predicted: DataFrame) -> DataFrame:
     return attach_row(bands, regression_metrics(predicted), "_all").select("band", "n_rows", "n_reps", "_all.*")
 
 
-def quota_predictions(train: DataFrame, infer: DataFrame, sectors: Sequence[str], seed: int = SEED,
-                      **params) -> DataFrame:
-    """Next year's quota per rep and month with flags and weights."""
-    models = fit_pair(fitting_frame(train, "quota-train"), sectors, settings=({**params},))
-    ready = rules.quota_flags(predict_pair(models, fitting_frame(infer, "quota-infer")))
+def save_pair(models: dict[str, PipelineModel], folder: str) -> None:
+    for name, model in models.items():
+        model.write().overwrite().save(f"{folder}/{name}")
+
+
+def load_pair(folder: str) -> dict[str, PipelineModel]:
+    return {name: PipelineModel.load(f"{folder}/{name}") for name in PAIR}
+
+
+def quota_predictions(models: dict[str, PipelineModel], infer: DataFrame, seed: int = SEED) -> DataFrame:
+    """Next year's quota per rep and month with flags and weights, by a fitted pair of models."""
+    ready = rules.quota_flags(predict_pair(models, infer))
     final = ready.withColumn("predicted_quota", rules.capped_quota(list(models), rules.growth_draws(seed)))
     return final.select(
         "sales_id", "sales_name", F.col("eur").alias("current_year_revenue"), "cagr",
@@ -286,10 +309,12 @@ def quota_predictions(train: DataFrame, infer: DataFrame, sectors: Sequence[str]
 
 
 def principal_components(df: DataFrame, key: str, columns: Sequence[str], count: int = 2) -> DataFrame:
-    """The first principal components of mean-centred columns."""
+    """The first principal components of mean-centred columns; each one's largest loading is positive."""
     known = attach_row(df, column_stats(df, columns), "_s")
     centred = known.withColumns({c: F.col(c) - F.col("_s")[c]["mean"] for c in columns}).drop("_s")
     rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(centred)
-    projected = PCA(k=count, inputCol="features", outputCol="pc").fit(rows).transform(rows)
+    fitted = PCA(k=count, inputCol="features", outputCol="pc").fit(rows)
+    loadings = fitted.pc.toArray()  # one row per listed column
+    sides = [1.0 if max(column, key=abs) >= 0 else -1.0 for column in loadings.T.tolist()]
     parts = vector_to_array("pc")
-    return projected.select(key, *[parts[i].alias(f"pc{i + 1}") for i in range(count)])
+    return fitted.transform(rows).select(key, *[(parts[i] * sides[i]).alias(f"pc{i + 1}") for i in range(count)])

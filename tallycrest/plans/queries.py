@@ -703,6 +703,15 @@ def score_customers(v: TestViews) -> DataFrame:
     return retention.scored_output(scored, CUSTOMER_TYPES, retention.quantity_stats(_stored_features(v)))
 
 
+@query
+def score_customers_mlp(v: TestViews) -> DataFrame:
+    """By the network as saved and loaded again; both class probabilities are given."""
+    path = f"{scratch_dir(v.spark)}/network-{uuid.uuid4().hex}"
+    models.churn_mlp_run(training_table(v), FEATURES, model_path=path)
+    scored = models.score(models.load(path), retention.inference_table(_stored_features(v), CUSTOMER_TYPES))
+    return scored.select("customer_id", "predictions", "probability_class_0", "probability_class_1")
+
+
 @query
 def customer_value_features(v: TestViews) -> DataFrame:
     return models.customer_value(training_table(v), customer_revenue(v))
@@ -738,7 +747,11 @@ def quota_random_search(v: TestViews) -> DataFrame:
 
 @query
 def quota_predictions(v: TestViews) -> DataFrame:
-    return models.quota_predictions(_train(v), _infer(v), SECTOR_COLUMNS, maxIter=5, maxDepth=3)
+    """By the two models as saved and loaded again."""
+    folder = f"{scratch_dir(v.spark)}/quota-models-{uuid.uuid4().hex}"
+    train = models.fitting_frame(_train(v), "quota-train")
+    models.save_pair(models.fit_pair(train, SECTOR_COLUMNS, settings=({"maxIter": 5, "maxDepth": 3},)), folder)
+    return models.quota_predictions(models.load_pair(folder), models.fitting_frame(_infer(v), "quota-infer"))
 
 
 # --- sinks -------------------------------------------------------------------------

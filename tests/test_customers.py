@@ -172,3 +172,18 @@ def test_stale_customers(spark):
     base = spark.createDataFrame([("a", D(2020, 12, 31)), ("b", D(2021, 1, 1))], "customer_id string, order_date timestamp_ntz")
     assert [r[0] for r in cu.drop_stale_customers(base, D(2021, 1, 1)).collect()] == ["b"]
     assert base.filter(F.col("customer_id").isNull()).count() == 0
+
+
+def test_elapsed_days_round_down(spark):
+    from tallycrest.functions.columns import elapsed_days
+
+    rows = [(D(2020, 1, 1), D(2020, 1, 2, 12)), (D(2020, 1, 1), D(2020, 1, 2)), (D(2020, 1, 3, 12), D(2020, 1, 2)), (D(2020, 1, 1), D(2020, 1, 1))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    assert [r[0] for r in df.select(elapsed_days(F.col("a"), F.col("b")).cast("int")).collect()] == [-2, -1, 1, 0]
+
+
+def test_unreadable_backlog_dates_are_null(spark):
+    kind = "customer_id string, eur double, efftive_date string"
+    rows = [("a", 1.0, "2020-01-02 00:00:00"), ("a", 2.0, "unknown"), ("a", 4.0, "2020-03-01"), ("b", 1.0, "31/12/2020")]
+    got = cu.backlog_by_customer(spark.createDataFrame(rows[:2], kind), spark.createDataFrame(rows[2:], kind)).collect()
+    assert {r["customer_id"]: (r["backlog"], r["backlog_date"]) for r in got} == {"a": (7.0, D(2020, 3, 1)), "b": (1.0, None)}

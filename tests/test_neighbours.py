@@ -83,3 +83,16 @@ def test_error_distance(spark, monkeypatch):
             assert got[i]["n_correct"] == len(right)
             assert got[i]["min_distance"] == pytest.approx(d.min())
             assert got[i]["avg_distance"] == pytest.approx(d.mean())
+
+
+def test_text_keys(spark):
+    rows = [(f"C{i:06}", x, c) for i, x, c in make(11, 120, 30)]
+    df = spark.createDataFrame(rows, "id string, v array<double>, c int")
+    found = nb.nearest_neighbours(df, "id", "v", "c", 2, block_rows=32, max_pivots=5).collect()
+    want = brute(rows, 2)
+    assert {r["id"]: [(n["id"], n["class"]) for n in r["neighbours"]] for r in found} == {
+        i: [n[1:] for n in ns] for i, ns in want.items()
+    }
+    marked = spark.createDataFrame([(i, x, c, 1) for i, x, c in rows], "id string, v array<double>, predictions int, target_encoded int")
+    wrong = {r["id"]: r["n_correct"] for r in nb.error_distance(marked, "id", "v").collect()}
+    assert wrong == {i: sum(c == 1 for *_, c in rows) for i, _, c in rows if c == 0}

@@ -166,3 +166,13 @@ def test_features_keep_the_quota_rows(spark, views):
     infer = q.infer_features(views)
     assert infer.count() == q.quota_monthly(views).filter(F.col("year_id") == last).count()
     assert {r[0] for r in infer.select("year_id").distinct().collect()} == {last + 1}
+
+
+def test_codes_that_mean_one_rep_are_one_row(spark):
+    rows = [(c, D(2020, 1, 5), 10.0, "Shipment") for c in ("7", "07", "7.9", "8", "GPSales", "x")]
+    scores = reps.rep_month_scores(spark.createDataFrame(rows, SALE), 2018)
+    late = spark.createDataFrame([("07", D(2020, 1, 9), 3.0, "Backlog")], SALE)
+    assert by_key(reps.rep_month_sales(scores, late), "eur", "backlog") == {
+        (7, 2020, 1): (30.0, 3.0), (8, 2020, 1): (10.0, 0.0)
+    }
+    assert by_key(reps.rep_month_sales(scores, late, mode="per_row"), "backlog")[7, 2020, 1] == (9.0,)
