@@ -669,6 +669,26 @@ FROM mw_sums"""
 SQL["kruskal_wallis"] = """
 SELECT metric, CAST(n AS BIGINT) AS n, round((12.0 / (n * (n + 1)) * squares - 3 * (n + 1))
    / (1 - ties / (CAST(n AS DOUBLE) * n * n - n)), 6) AS h, 2 AS freedom FROM kw_sums"""
+# densities integrated from 0 by Simpson's rule in 4,000 steps
+_SIMPSON = (
+    "list_sum(list_transform(range(0, 4001), lambda i: CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END "
+    "* {density})) * {upper} / 12000.0")
+SQL["rank_test_p_values"] = (
+    "SELECT metric, u AS statistic, round(least(1.0, 1 - 2 * "
+    + _SIMPSON.format(density="exp(-((abs(z) * i / 4000.0) ** 2) / 2) / sqrt(2 * pi())", upper="abs(z)")
+    + """), 6) AS p
+FROM (SELECT metric, r1 - n1 * (n1 + 1) / 2.0 AS u,
+  (greatest(r1 - n1 * (n1 + 1) / 2.0, n1 * n2 - (r1 - n1 * (n1 + 1) / 2.0)) - n1 * n2 / 2.0 - 0.5)
+        / sqrt(n1 * n2 / 12.0 * ((n + 1) - ties / (n * (n - 1.0)))) AS z FROM mw_sums)""")
+SQL["t_test_p_values"] = (
+    "SELECT feature, n1, n2, round(t, 6) AS t, round(p, 6) AS p, round(least(1.0, 2 * p), 6) AS p_corrected, "
+    "least(1.0, 2 * p) < 0.05 AS significant FROM (SELECT *, 1 - 2 * "
+    + _SIMPSON.format(
+        density="exp(lgamma((f + 1) / 2.0) - lgamma(f / 2.0)) / sqrt(f * pi()) "
+        "* (1 + (abs(t) * i / 4000.0) ** 2 / f) ** (-(f + 1) / 2.0)", upper="abs(t)")
+    + " AS p FROM (SELECT *, CAST(n1 + n2 - 2 AS DOUBLE) AS f FROM ("
+    + SQL["t_test_bonferroni"].replace("round((m1 - m2)", "((m1 - m2)").replace("(1.0 / n1 + 1.0 / n2)), 6) AS t", "(1.0 / n1 + 1.0 / n2))) AS t")
+    + ")))")
 SQL["error_distance"] = """
 SELECT w.customer_id, count(*) AS n_correct, round(min(d), 6) AS min_distance, round(avg(d), 6) AS avg_distance FROM (
   SELECT a.customer_id, sqrt((a.qty - b.qty) ** 2 + CASE WHEN a.customer_type = b.customer_type THEN 0 ELSE 2 END) AS d

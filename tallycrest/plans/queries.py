@@ -618,7 +618,7 @@ def t_test_bonferroni(v: TestViews) -> DataFrame:
 @query
 def t_test_p_values(v: TestViews) -> DataFrame:
     wrong = F.col("predictions") != F.col("target_encoded")
-    return evaluate.t_test_bonferroni(v.predictions(), TESTED, wrong, ~wrong)
+    return rounded(evaluate.t_test_bonferroni(v.predictions(), TESTED, wrong, ~wrong), 6, "t", "p", "p_corrected")
 
 
 @query
@@ -639,7 +639,7 @@ def kruskal_wallis(v: TestViews) -> DataFrame:
 @query
 def rank_test_p_values(v: TestViews) -> DataFrame:
     labelled = cu.rfm_scores(_rfm(v)).join(churn_label(v), "customer_id")
-    return evaluate.rank_test(labelled, RANKED, "label", LABELS)
+    return rounded(evaluate.rank_test(labelled, RANKED, "label", LABELS), 6, "p")
 
 
 def _prediction_vectors(v: TestViews) -> DataFrame:

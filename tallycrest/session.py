@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -38,12 +39,30 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _remove_written() -> None:
+    """Delete what ``materialize`` wrote, as far as its sessions still run."""
+    for spark, path in _written:
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session has ended: its files stay, as after a crash
+            return
+
+
+atexit.register(_remove_written)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For frames that several jobs reuse (model fitting): the files outlive lost
-    executors, cut the lineage, and keep column pruning, unlike a cache.
+    executors, cut the lineage, and keep column pruning, unlike a cache. They are
+    deleted when the application ends.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
