@@ -675,12 +675,12 @@ def stratified_folds(v: TestViews) -> DataFrame:
 
 @query
 def churn_gbt_cv(v: TestViews) -> DataFrame:
-    return models.churn_search(training_table(v), FEATURES, models.gbt_classifier(), SMALL_GBT, folds=2)[1]
+    return models.churn_search(training_table(v), FEATURES, models.gbt_classifier(), SMALL_GBT)[1]
 
 
 @query
 def churn_gbt_report(v: TestViews) -> DataFrame:
-    return models.churn_report(training_table(v), FEATURES, models.gbt_classifier(maxIter=5, maxDepth=3))
+    return models.churn_report(training_table(v), FEATURES, models.gbt_classifier())
 
 
 @query
@@ -696,9 +696,8 @@ def churn_mlp_report(v: TestViews) -> DataFrame:
 
 @query
 def score_customers(v: TestViews) -> DataFrame:
-    stage = models.gbt_classifier(maxIter=5, maxDepth=3)
     table = models.fitting_frame(training_table(v), "churn-train")
-    model = models.pipeline(FEATURES, stage).fit(table)
+    model = models.pipeline(FEATURES, models.gbt_classifier()).fit(table)
     scored = models.score(model, retention.inference_table(_stored_features(v), CUSTOMER_TYPES))
     return retention.scored_output(scored, CUSTOMER_TYPES, retention.quantity_stats(_stored_features(v)))
 
@@ -730,13 +729,12 @@ def backtest_splits(v: TestViews) -> DataFrame:
 
 @query
 def quota_backtest(v: TestViews) -> DataFrame:
-    return models.quota_backtest(_train(v), YEARS, SECTOR_COLUMNS, maxIter=5, maxDepth=3)
+    return models.quota_backtest(_train(v), YEARS, SECTOR_COLUMNS)
 
 
 @query
 def quota_ensemble(v: TestViews) -> DataFrame:
-    settings = [{"maxIter": 5, "maxDepth": 3}]
-    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS, settings))
+    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS))
 
 
 @query
@@ -750,7 +748,7 @@ def quota_predictions(v: TestViews) -> DataFrame:
     """By the two models as saved and loaded again."""
     folder = f"{scratch_dir(v.spark)}/quota-models-{uuid.uuid4().hex}"
     train = models.fitting_frame(_train(v), "quota-train")
-    models.save_pair(models.fit_pair(train, SECTOR_COLUMNS, settings=({"maxIter": 5, "maxDepth": 3},)), folder)
+    models.save_pair(models.fit_pair(train, SECTOR_COLUMNS), folder)
     return models.quota_predictions(models.load_pair(folder), models.fitting_frame(_infer(v), "quota-infer"))
 
 
