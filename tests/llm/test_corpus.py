@@ -410,7 +410,7 @@ def test_jaccard_groups(spark, monkeypatch, words, percent):
             texts.append(" ".join(near))
     texts += ["", None, "a", "A", "a b", "a  B", "\x1c", *texts[:5]]
     rows = list(enumerate(texts))
-    monkeypatch.setattr(jaccard, "COMMON_FROM", 3)
+    monkeypatch.setattr(jaccard, "MOST_COMMON", 40)
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", 4)
     monkeypatch.setattr(jaccard, "COLUMNS", 64)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(frame(spark, rows), words, percent).collect()}
