@@ -5,15 +5,17 @@ restricted by bounds on size and taken in blocks:
 
 1. Documents with equal sets are one class from then on.
 2. Two sets that reach the wanted overlap share one of the first ``n - ceil(t n) + 1`` n-grams
-   of each under any common order. The order is by hash, with very common n-grams last, so
-   that a line found in a third of all documents brings no pairs. Only these columns of the
-   matrix are laid out.
+   of each under any common order. The order is by hash, with n-grams of several classes last,
+   so that a line or passage of many documents brings few of them together. Only these columns
+   of the matrix are laid out.
 3. All classes in a column meet at the column's smallest class. Distinct (meeting class,
    class) pairs are few: near copies share most columns, so they meet in few places.
 4. At a meeting place, classes in order of size are cut into blocks of bounded weight. Blocks
-   whose sizes allow the overlap are multiplied, a stretch of columns at a time. A pair is
-   dropped as soon as the overlap so far plus what the sizes still allow is too small. Of the
-   links found, a spanning set leaves the task, never all pairs.
+   whose sizes allow the overlap are multiplied, a stretch of columns at a time: first with
+   the chosen columns only. Overlaps add up; a pair is dropped when its overlap there plus what
+   the sizes still allow is too small, which ends nearly all pairs that share just a passage.
+   What stays is brought together by groups, and multiplied over all columns in the same
+   way. Of the links found, a spanning set leaves a task, never all pairs.
 5. Links are contracted to components by alternating star steps on stored tables.
 """
 
@@ -31,10 +33,10 @@ from tallycrest.session import materialize
 
 #: N-grams put last in the common order, at most; the order decides the cost, never the result.
 MOST_COMMON = 1 << 20
-COMMON_FROM = 32
+COMMON_FROM = 3
 #: Weight (n-grams) and number of classes of a block.
-BLOCK_GRAMS = 400_000
-BLOCK_ROWS = 512
+BLOCK_GRAMS = 1_500_000
+BLOCK_ROWS = 1024
 COLUMNS = 4096
 #: Ids sent to all tasks to select documents; above this many they are joined instead.
 MOST_SENT = 4_000_000
@@ -71,6 +73,12 @@ def prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n // 100) + 1 if n else 0
 
 
+def known_length(n: int, percent: int) -> int:
+    """Columns by which meeting sets are compared first: half as many again, for a closer bound."""
+    most = prefix_length(n, percent)
+    return most + most // 2 + 16
+
+
 class _Common:
     """The common n-grams, sorted; membership of many at once."""
 
@@ -84,6 +92,25 @@ class _Common:
         return self.values[at] == grams
 
 
+def _most_common(classes: DataFrame) -> np.ndarray:
+    """The n-grams to put last: those of ``COMMON_FROM`` classes or more, of which only the more
+    frequent where they are above ``MOST_COMMON``. A bounded list; the result does not depend on it."""
+    counted = materialize(
+        classes.select(F.explode("low").alias("gram")).groupBy("gram").count().filter(F.col("count") >= COMMON_FROM),
+        "jaccard-common",
+    )
+    total, least = 0, None
+    for row in counted.groupBy("count").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("count")).toLocalIterator():
+        total += row["n"]
+        if total > MOST_COMMON:
+            break
+        least = row["count"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    rows = counted.filter(F.col("count") >= least).select("gram").collect()
+    return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
+
+
 def _longs(grams: np.ndarray) -> np.ndarray:
     return grams.view(np.int64)
 
@@ -95,7 +122,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, mark (of the whole set) and the lowest n-grams, half as many again as the prefix."""
+    """doc_id, n, mark (of the whole set) and the lowest n-grams, more than the prefix."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
@@ -107,8 +134,7 @@ def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 n = len(grams)
                 sizes.append(n)
                 marks.append(blake2b(grams.tobytes(), digest_size=16).digest())
-                most = prefix_length(n, percent)
-                low.append(_longs(grams[: most + most // 2 + 16]))
+                low.append(_longs(grams[: known_length(n, percent)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), _lists(low)],
                 ["doc_id", "n", "mark", "low"],
@@ -117,8 +143,11 @@ def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(profile, "doc_id long, n long, mark binary, low array<long>")
 
 
-def _prefixes_from_low(classes: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """node, n, prefix; prefix is null where too few of the lowest n-grams are uncommon."""
+def _prefixes_from_low(profiles: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+    """node, n, grams (first in the common order), and how many of them are uncommon.
+
+    ``grams`` is null where too few of the lowest n-grams are uncommon to know the order's first.
+    """
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_common = _Common(common)
@@ -128,96 +157,114 @@ def _prefixes_from_low(classes: DataFrame, common: np.ndarray, percent: int) ->
             ends = np.asarray(lists.offsets)
             hot = is_common(flat)
             out: list[np.ndarray | None] = []
+            rares: list[int] = []
             for i, n in enumerate(batch.column("n").to_pylist()):
                 low, bad = flat[ends[i] : ends[i + 1]], hot[ends[i] : ends[i + 1]]
                 most = prefix_length(n, percent)
                 rare = low[~bad]
-                if len(rare) >= most:
-                    out.append(_longs(rare[:most]))
-                elif len(low) == n:  # the whole set is here
-                    out.append(_longs(np.concatenate([rare, low[bad]])[:most]))
+                rares.append(len(rare))
+                if len(low) == n:  # the whole set is here
+                    out.append(_longs(np.concatenate([rare, low[bad]])))
                 else:
-                    out.append(None)
+                    out.append(_longs(rare) if len(rare) >= most else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(out, pa.list_(pa.int64()))],
-                ["node", "n", "prefix"],
+                [
+                    *(batch.column(c) for c in ("doc_id", "n")),
+                    pa.array(out, pa.list_(pa.int64())),
+                    pa.array(rares, pa.int32()),
+                ],
+                ["node", "n", "grams", "rare"],
             )
 
-    return classes.select("node", "n", "low").mapInArrow(choose, "node long, n long, prefix array<long>")
+    return profiles.select("doc_id", "n", "low").mapInArrow(
+        choose, "node long, n long, grams array<long>, rare int"
+    )
 
 
 def _prefixes_from_text(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_common = _Common(common)
         for batch in batches:
-            sizes, out = [], []
+            sizes, out, rares = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, words)
                 bad = is_common(grams)
                 sizes.append(len(grams))
-                out.append(_longs(np.concatenate([grams[~bad], grams[bad]])[: prefix_length(len(grams), percent)]))
+                rares.append(int((~bad).sum()))
+                out.append(_longs(np.concatenate([grams[~bad], grams[bad]])[: known_length(len(grams), percent)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _lists(out)], ["node", "n", "prefix"]
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _lists(out), pa.array(rares, pa.int32())],
+                ["node", "n", "grams", "rare"],
             )
 
-    return docs.mapInArrow(choose, "node long, n long, prefix array<long>")
+    return docs.mapInArrow(choose, "node long, n long, grams array<long>, rare int")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [_longs(shingles(t, words)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets)], ["node", "grams"])
+            rares = pa.array([len(x) for x in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets), rares], ["node", "grams", "rare"])
 
-    return docs.mapInArrow(whole, "node long, grams array<long>")
+    return docs.mapInArrow(whole, "node long, grams array<long>, rare int")
 
 
-def _only(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The documents whose ids are ``nodes``: the ids are sent to all tasks while their counted
-    number is bounded, otherwise both sides are shuffled."""
+def _only(docs: DataFrame, nodes: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The documents whose ids are ``nodes`` (or, with ``left_anti``, are not): the ids are sent to
+    all tasks while their counted number is bounded, otherwise both sides are shuffled."""
     ids = nodes.select(F.col("node").alias("doc_id"))
     side = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
-    return docs.join(side, "doc_id", "left_semi")
+    return docs.join(side, "doc_id", how)
 
 
 def linked(
-    sizes: np.ndarray, extra: np.ndarray, owner: np.ndarray, place: np.ndarray, columns: int, percent: int, split: int
+    sizes: np.ndarray,
+    extra: np.ndarray,
+    present: np.ndarray,
+    unseen: np.ndarray,
+    owner: np.ndarray,
+    place: np.ndarray,
+    columns: int,
+    percent: int,
+    split: int,
 ) -> np.ndarray:
     """Boolean matrix of pairs of rows that are similar enough.
 
     ``owner`` and ``place`` are the row and column of each entry of the incidence matrix, in order
-    of column; a row has ``extra`` more entries that no other row shares. With ``split`` above 0
-    only pairs of a row before it and a row from it on count. Columns are taken a stretch at a
-    time; overlaps add up, and a pair is dropped once the overlap so far plus the smaller
-    remaining size is below what the two sizes need.
+    of column; a row has ``extra`` more of its ``present`` entries that no other row shares.
+    ``unseen``, by pair, is the most that the pair can share beyond the present entries. With
+    ``split`` above 0 only pairs of a row before it and a row from it on count. Columns are taken
+    a stretch at a time; overlaps add up, and a pair is dropped once the overlap so far plus what
+    can still come is below what the two sizes need.
     """
     m = len(sizes)
-    total = sizes[:, None] + sizes[None, :]
-    need = -(-percent * total // (100 + percent))  # 100 i >= percent (total - i)
-    left = (sizes - extra).astype(np.int64)
+    need = -(-percent * (sizes[:, None] + sizes[None, :]) // (100 + percent))  # 100 i >= percent (total - i)
+    need = (need - unseen).astype(np.int32)
+    left = (present - extra).astype(np.int32)
     live = np.minimum(left[:, None], left[None, :]) >= need
     if split:
         live[:split, :split] = False
         live[split:, split:] = False
     np.fill_diagonal(live, False)
-    overlap = np.zeros((m, m), np.float32)
+    overlap = np.zeros((m, m), np.int32)
     rows = np.flatnonzero(live.any(axis=1))
     for start in range(0, columns, COLUMNS):
         if not len(rows):
             break
         low, high = np.searchsorted(place, [start, start + COLUMNS])
         who, column = owner[low:high], place[low:high] - start
-        left -= np.bincount(who, minlength=m)
+        left -= np.bincount(who, minlength=m).astype(np.int32)
         block = np.zeros((m, min(COLUMNS, columns - start)), np.float32)
         block[who, column] = 1
         if split:  # only across the two blocks
             a, b = rows[rows < split], rows[rows >= split]
-            product = block[a] @ block[b].T
+            product = (block[a] @ block[b].T).astype(np.int32)
             overlap[np.ix_(a, b)] += product
             overlap[np.ix_(b, a)] += product.T
         else:
             part = block[rows]
-            overlap[np.ix_(rows, rows)] += part @ part.T
+            overlap[np.ix_(rows, rows)] += (part @ part.T).astype(np.int32)
         live &= overlap + np.minimum(left[:, None], left[None, :]) >= need
         rows = np.flatnonzero(live.any(axis=1))
     return live
@@ -240,59 +287,120 @@ def spanning(live: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _unseen(sizes: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+    """By pair, the most that two rows can share beyond their present entries.
+
+    ``places`` are each row's present entries in the common order, its first ones. Up to the
+    smaller of two last entries both rows are wholly known; from there on each has what is left.
+    """
+    last = np.array([p[-1] for p in places])
+    upto = np.stack([np.searchsorted(p, last, side="right") for p in places])  # row, the other's last entry
+    rest = sizes[:, None] - upto
+    return np.minimum(rest, rest.T)
+
+
+def _unit_links(
+    nodes: list[int], sides: list[int], sizes: list[int], rares: list[int], sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Spanning links among the rows of a unit; a set may hold only its first entries, ``rares`` before the common."""
+    order = sorted(range(len(nodes)), key=lambda i: sides[i])
+    nodes, sets = [nodes[i] for i in order], [sets[i].view(np.uint64) for i in order]
+    split = sides.count(0) if any(sides) else 0
+    if len(nodes) < 2 or any(sides) and not split:
+        return []
+    size = np.array([sizes[i] for i in order], np.int64)
+    present = np.array([len(s) for s in sets], np.int64)
+    grams = np.concatenate(sets)
+    is_common = np.concatenate([np.arange(len(s)) >= rares[i] for i, s in zip(order, sets, strict=True)])
+    owner = np.repeat(np.arange(len(sets)), present)
+    by = np.lexsort((grams, is_common)) if is_common.any() else np.argsort(grams, kind="stable")
+    grams, owner = grams[by], owner[by]
+    place = np.cumsum(np.r_[False, grams[1:] != grams[:-1]])
+    if (size == present).all():
+        unseen = np.zeros((len(sets), len(sets)), np.int64)
+    else:
+        rows = np.argsort(owner, kind="stable")
+        unseen = _unseen(size, np.split(place[rows], np.cumsum(present)[:-1]))
+    # a column of one row adds to no overlap: it only lowers what the row can still gain
+    several = np.bincount(place) > 1
+    keep = several[place]
+    extra = np.bincount(owner[~keep], minlength=len(sets))
+    owner, place = owner[keep], (np.cumsum(several) - 1)[place[keep]]
+    live = linked(size, extra, present, unseen, owner, place, int(several.sum()), percent, split)
+    return [(nodes[a], nodes[b]) for a, b in spanning(live)]
+
+
 def _product(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) from rows (leader, left, right, side, node, grams) sorted by unit."""
-
-    def unit_links(nodes: list[int], sides: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        order = sorted(range(len(nodes)), key=lambda i: sides[i])
-        nodes = [nodes[i] for i in order]
-        sets = [sets[i] for i in order]
-        split = sum(1 for s in sides if s == 0) if any(sides) else 0
-        if len(nodes) < 2 or any(sides) and split in (0, len(nodes)):
-            return []
-        sizes = np.array([len(s) for s in sets], np.int64)
-        if len(nodes) == 2:  # most meeting places hold two classes
-            both = np.intersect1d(sets[0], sets[1], assume_unique=True).size
-            return [(nodes[0], nodes[1])] if 100 * both >= percent * (sizes.sum() - both) else []
-        grams = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        by = np.argsort(grams, kind="stable")
-        grams, owner = grams[by], owner[by]
-        place = np.cumsum(np.r_[False, grams[1:] != grams[:-1]])
-        # a column of one row adds to no overlap: it only lowers what the row can still gain
-        several = np.bincount(place) > 1
-        keep = several[place]
-        extra = np.bincount(owner[~keep], minlength=len(sets))
-        owner, place = owner[keep], (np.cumsum(several) - 1)[place[keep]]
-        live = linked(sizes, extra, owner, place, int(several.sum()), percent, split)
-        return [(nodes[a], nodes[b]) for a, b in spanning(live)]
+    """Links (a, b) from rows (place, left, right, side, node, n, rare, grams) sorted by unit."""
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, nodes, sides, sets = None, [], [], []
+        unit, nodes, sides, sizes, rares, sets = None, [], [], [], [], []
 
         def links() -> pa.RecordBatch:
-            found = unit_links(nodes, sides, sets)
+            found = _unit_links(nodes, sides, sizes, rares, sets, percent)
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in range(2)], ["a", "b"]
             )
 
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "left", "right")), strict=True)
+            keys = zip(*(batch.column(c).to_pylist() for c in ("place", "left", "right")), strict=True)
             lists = batch.column("grams")
             flat, ends = lists.values.to_numpy(zero_copy_only=False), np.asarray(lists.offsets)
-            own, side = batch.column("node").to_pylist(), batch.column("side").to_pylist()
+            own, side, n, rare = (batch.column(c).to_pylist() for c in ("node", "side", "n", "rare"))
             for i, key in enumerate(keys):
                 if key != unit:
                     if len(nodes) > 1:
                         yield links()
-                    unit, nodes, sides, sets = key, [], [], []
+                    unit, nodes, sides, sizes, rares, sets = key, [], [], [], [], []
                 nodes.append(own[i])
                 sides.append(side[i])
+                sizes.append(n[i])
+                rares.append(rare[i])
                 sets.append(flat[ends[i] : ends[i + 1]].copy())
         if len(nodes) > 1:
             yield links()
 
-    return rows.select("leader", "left", "right", "side", "node", "grams").mapInArrow(multiply, "a long, b long")
+    columns = ("place", "left", "right", "side", "node", "n", "rare", "grams")
+    return rows.select(*columns).mapInArrow(multiply, "a long, b long")
+
+
+def _multiplied(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the classes that share a ``place``. ``met``: place, node, n; ``sets``: node, grams, rare."""
+    by_size = Window.partitionBy("place").orderBy("n", "node")
+    below, above = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    # a class too far in size from both neighbours links with none
+    close = met.withColumn(
+        "close",
+        F.coalesce(100 * below >= percent * F.col("n"), F.lit(False))
+        | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False)),
+    ).filter("close")
+    blocked = materialize(
+        close.withColumn("run", F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("nth", F.row_number().over(by_size))
+        .withColumn("block", F.expr(f"CAST(run DIV {BLOCK_GRAMS} + (nth - 1) DIV {BLOCK_ROWS} AS INT)"))
+        .select("place", "node", "n", "block"),
+        "jaccard-blocks",
+    )
+    blocks = blocked.groupBy("place", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    units = (
+        blocks.select("place", F.col("block").alias("left"), "high")
+        .join(blocks.select("place", F.col("block").alias("right"), "low"), "place")
+        .filter(f"left <= right AND 100 * high >= {percent} * low")
+        .select("place", "left", "right")
+    )
+    firsts = units.join(blocked.withColumnRenamed("block", "left"), ["place", "left"]).withColumn("side", F.lit(0))
+    seconds = (
+        units.filter("left < right")
+        .join(blocked.withColumnRenamed("block", "right"), ["place", "right"])
+        .withColumn("side", F.lit(1))
+    )
+    rows = (
+        firsts.unionByName(seconds)
+        .join(sets, "node")
+        .repartition("place", "left", "right")
+        .sortWithinPartitions("place", "left", "right", "side")
+    )
+    return _product(rows, percent)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -342,81 +450,39 @@ def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     profiles = materialize(_profiles(docs, words, percent), "jaccard-profiles")
     usable = profiles.filter("n > 0 AND doc_id IS NOT NULL")
     members = usable.groupBy("mark").agg(F.min("doc_id").alias("node"))
-    classes = materialize(
-        usable.withColumnRenamed("doc_id", "node").join(members, ["mark", "node"], "left_semi").select("node", "n", "low"),
-        "jaccard-classes",
-    )
-
-    common = np.sort(
-        np.array(
-            [
-                r["gram"]
-                for r in classes.select(F.explode("low").alias("gram"))
-                .groupBy("gram")
-                .count()
-                .filter(F.col("count") >= COMMON_FROM)
-                .orderBy(F.desc("count"), "gram")
-                .limit(MOST_COMMON)
-                .select("gram")
-                .collect()
-            ],
-            np.int64,
-        ).view(np.uint64)
+    # one row for each class of equal sets; the others are few or are joined away
+    repeats = materialize(
+        usable.select("doc_id", "mark").join(members, "mark").filter("doc_id <> node")
+        .select(F.col("doc_id").alias("node")).distinct(),
+        "jaccard-repeats",
     )
+    classes = _only(usable, repeats, "left_anti")
+    common = _most_common(classes)
     chosen = materialize(_prefixes_from_low(classes, common, percent), "jaccard-prefixes")
-    short = chosen.filter("prefix IS NULL").select("node").distinct()
-    prefixes = chosen.filter("prefix IS NOT NULL").unionByName(
-        _prefixes_from_text(_only(docs, short), common, words, percent)
-    )
-    postings = prefixes.select("node", "n", F.explode("prefix").alias("gram"))
+    short = chosen.filter("grams IS NULL").select("node").distinct()
+    others = materialize(_prefixes_from_text(_only(docs, short), common, words, percent), "jaccard-prefixes")
+    prefixes = chosen.filter("grams IS NOT NULL").unionByName(others)
 
+    first = f"n - ({percent} * n + 99) DIV 100 + 1"  # prefix_length
     column = Window.partitionBy("gram")
-    met = (
-        postings.withColumn("leader", F.min("node").over(column))
+    met = materialize(
+        prefixes.select("node", "n", F.explode(F.expr(f"slice(grams, 1, CAST({first} AS INT))")).alias("gram"))
+        .withColumn("place", F.min("node").over(column))
         .withColumn("others", F.count(F.lit(1)).over(column))
         .filter("others > 1")
-        .groupBy("leader", "node")
-        .agg(F.max("n").alias("n"))
-    )
-    met = materialize(met, "jaccard-meetings")
-
-    # classes at a meeting place by size; one too far in size from both neighbours links with none
-    by_size = Window.partitionBy("leader").orderBy("n", "node")
-    below, above = F.lag("n").over(by_size), F.lead("n").over(by_size)
-    close = met.withColumn(
-        "close",
-        F.coalesce(100 * below >= percent * F.col("n"), F.lit(False))
-        | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False)),
-    ).filter("close")
-    blocked = materialize(
-        close.withColumn("run", F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("nth", F.row_number().over(by_size))
-        .withColumn("block", F.expr(f"CAST(run DIV {BLOCK_GRAMS} + (nth - 1) DIV {BLOCK_ROWS} AS INT)"))
-        .select("leader", "node", "n", "block"),
-        "jaccard-blocks",
-    )
-    blocks = blocked.groupBy("leader", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    units = (
-        blocks.select("leader", F.col("block").alias("left"), F.col("high").alias("high"))
-        .join(blocks.select("leader", F.col("block").alias("right"), F.col("low").alias("low")), "leader")
-        .filter(f"left <= right AND 100 * high >= {percent} * low")
-        .select("leader", "left", "right")
-    )
-    here = blocked.select("leader", "block", "node")
-    firsts = units.join(here.withColumnRenamed("block", "left"), ["leader", "left"]).withColumn("side", F.lit(0))
-    seconds = (
-        units.filter("left < right")
-        .join(here.withColumnRenamed("block", "right"), ["leader", "right"])
-        .withColumn("side", F.lit(1))
+        .groupBy("place", "node")
+        .agg(F.max("n").alias("n")),
+        "jaccard-meetings",
     )
-    needed = blocked.select("node").distinct()
-    rows = (
-        firsts.unionByName(seconds)
-        .join(_sets(_only(docs, needed), words), "node")
-        .repartition("leader", "left", "right")
-        .sortWithinPartitions("leader", "left", "right", "side")
+    likely = components(_multiplied(met, prefixes.select("node", "grams", "rare"), percent))
+    roots = likely.select(F.col("component").alias("place")).distinct()
+    together = likely.select(F.col("component").alias("place"), "node").unionByName(
+        roots.select("place", F.col("place").alias("node"))
     )
-    found = components(_product(rows, percent))
+    sizes = prefixes.groupBy("node").agg(F.max("n").alias("n"))
+    candidates = materialize(together.join(sizes, "node"), "jaccard-candidates")
+    sets = _sets(_only(docs, candidates.select("node").distinct()), words)
+    found = components(_multiplied(candidates, sets, percent))
 
     classed = profiles.select("doc_id", "n", "mark").join(members, "mark", "left")
     return classed.join(found, "node", "left").select(
