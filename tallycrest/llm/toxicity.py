@@ -114,11 +114,17 @@ class Scorer:
 
 def _contexts(texts: list[str]) -> Counter[bytes]:
     """Words by the number of different words before them."""
-    pairs = set()
+    number: dict[bytes, int] = {b"": 0}
+    pairs = []
     for text in texts:
-        split = line_of(text).split()
-        pairs.update(zip([b"", *split], split, strict=False))
-    return Counter(word for _, word in pairs)
+        ids = [0, *(number.setdefault(word, len(number)) for word in line_of(text).split())]
+        own = np.array(ids, np.uint64)
+        pairs.append(np.unique((own[:-1] << np.uint64(32)) | own[1:]))
+    if not pairs:
+        return Counter()
+    seen = np.unique(np.concatenate(pairs)) & np.uint64(0xFFFFFFFF)
+    counts = np.bincount(seen.astype(np.int64), minlength=len(number)).tolist()
+    return Counter({word: counts[i] for word, i in number.items() if counts[i]})
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -159,7 +165,8 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
         scorer = Scorer(common, own)
         for texts, y in ((toxic[turn::2], 1.0), (rest[turn::2], 0.0)):
             if texts:
-                xs.append(scorer.features(list(map(line_of, texts))))
+                for start in range(0, len(texts), 200):
+                    xs.append(scorer.features(list(map(line_of, texts[start : start + 200]))))
                 ys.append(np.full(len(texts), y))
     x, y = np.concatenate(xs), np.concatenate(ys)
     weight = np.where(y == 1, share / len(toxic), (1 - share) / len(rest)) * len(y)
