@@ -82,7 +82,7 @@ def train_quota(
     opportunities: DataFrame,
     model_folder: str,
     sectors: Sequence[str],
-    settings: Sequence[dict[str, object]] = ({},),
+    settings: Sequence[dict[str, object]] = models.QUOTA_SETTINGS,
     folds: int = 3,
 ) -> None:
     """Fit both quota models on past months (several settings are searched) and save them."""

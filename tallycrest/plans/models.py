@@ -70,6 +70,10 @@ def sampled(grid: Grid, draws: int, seed: int = SEED) -> list[dict[str, object]]
     return random.Random(seed).sample(every, min(draws, len(every)))
 
 
+#: What the random search tries: 5 draws from the full grid, each over 3 folds.
+QUOTA_SETTINGS = tuple(sampled(QUOTA_GRID, 5))
+
+
 def param_map(stage, values: dict[str, object]) -> dict[Param, object]:
     return {stage.getParam(name): value for name, value in values.items()}
 
@@ -271,9 +275,9 @@ def with_folds(train: DataFrame, folds: int) -> DataFrame:
     return add_folds(train.withColumn("_row", F.xxhash64(*KEYS)), "_row", folds)
 
 
-def quota_ensemble(train: DataFrame, sectors: Sequence[str], settings: Sequence[dict[str, object]] = ({},),
-                   folds: int = 3) -> DataFrame:
-    """Held-out predictions of the two-model ensemble."""
+def quota_ensemble(train: DataFrame, sectors: Sequence[str],
+                   settings: Sequence[dict[str, object]] = QUOTA_SETTINGS, folds: int = 3) -> DataFrame:
+    """Held-out predictions of the two-model ensemble; several settings are searched."""
     rows = with_folds(train, folds) if len(settings) > 1 else train
     fit, held_out = split_by_hash(fitting_frame(rows, "ensemble"), KEYS)
     models = fit_pair(fit, sectors, ENSEMBLE_EXTRA, settings, folds)

@@ -664,7 +664,6 @@ def pca_2d(v: TestViews) -> DataFrame:
 FEATURES = retention.model_features(CUSTOMER_TYPES)
 SECTOR_COLUMNS = [binning.one_hot_name(s) for s in MASTER_SECTORS]
 YEARS = [1998, 1999, 2000, 2001]
-SMALL_GBT = [{"maxIter": 5, "maxDepth": 3}, {"maxIter": 10, "maxDepth": 3}]
 
 
 @query
@@ -675,7 +674,8 @@ def stratified_folds(v: TestViews) -> DataFrame:
 
 @query
 def churn_gbt_cv(v: TestViews) -> DataFrame:
-    return models.churn_search(training_table(v), FEATURES, models.gbt_classifier(), SMALL_GBT)[1]
+    settings = models.combinations(models.GBT_GRID)
+    return models.churn_search(training_table(v), FEATURES, models.gbt_classifier(), settings)[1]
 
 
 @query
@@ -734,13 +734,13 @@ def quota_backtest(v: TestViews) -> DataFrame:
 
 @query
 def quota_ensemble(v: TestViews) -> DataFrame:
-    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS))
+    """One fit of each model, without a search."""
+    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS, [{}]))
 
 
 @query
 def quota_random_search(v: TestViews) -> DataFrame:
-    settings = models.sampled({"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.2]}, 2)
-    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS, settings, folds=2))
+    return models.ensemble_report(models.quota_ensemble(_train(v), SECTOR_COLUMNS))
 
 
 @query

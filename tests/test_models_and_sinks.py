@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallycrest.plans import models, retention
+from tallycrest.plans import jobs, models, retention
 from tallycrest.plans import queries as q
 from tallycrest.session import materialize, scratch_dir
 from tallycrest.sources import sinks, tables
@@ -17,6 +17,26 @@ def test_full_grids_have_the_published_sizes():
     assert models.sampled(models.QUOTA_GRID, 5) == models.sampled(models.QUOTA_GRID, 5)
 
 
+def test_searches_take_the_full_grids(spark, views, monkeypatch):
+    tried = []
+
+    class Found(Exception):
+        pass
+
+    def search(df, features, stage, settings, evaluator, folds, parallelism=4):
+        tried.append((settings, folds))
+        raise Found
+
+    monkeypatch.setattr(models, "grid_search", search)
+    past = (q._stored_quota(views), q._stored_sales(views), views.opportunity())
+    for run in (lambda: q.churn_gbt_cv(views), lambda: q.quota_random_search(views),
+                lambda: jobs.train_quota(*past, "unused", q.MASTER_SECTORS)):
+        with pytest.raises(Found):
+            run()
+    draws = models.sampled(models.QUOTA_GRID, 5)
+    assert [(list(s), n) for s, n in tried] == [(models.combinations(models.GBT_GRID), 5), (draws, 3), (draws, 3)]
+
+
 def test_scored_customers(spark, views):
     rows = q.score_customers(views)
     once = rows.select("customer_id", "predictions", "probability", "customer_type", "qty").toPandas()
