@@ -4,7 +4,8 @@ The validated spans (base) are the seeds. Words around a seed form lexical patte
 pattern and the strings found in its place make a bipartite graph over the whole corpus. Spark
 scores both sides in turn: a pattern by the mean confidence of its instances, an instance by
 the patterns that hold it. Strings that look like identifiers, are no seed, and stand in
-patterns of high confidence are added. All of it is SQL expressions and joins.
+patterns of high confidence are added, and are seeds of further patterns in the next round.
+All of it is SQL expressions and joins.
 """
 
 from __future__ import annotations
@@ -27,10 +28,16 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_VALUE = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|)(?:\.0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|)){3}$"
 #: A word with a digit or an at sign.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-
-#: Rounds of scoring, and what a pattern needs to discover anything: its score, its number of
-#: different seed instances, and as many characters or more in what it discovers.
-ROUNDS, SCORE, SEEDS, LEAST_CHARS = 3, 0.7, 5, 6
+#: Two or more neighbouring groups of digits and capitals, as numbers are written in groups; a bank's
+#: four letters may stand between two of them. A mark that ends a phrase ends the run.
+GROUP = r"[^\s\p{Ll}0-9@]*+[0-9][^\s\p{Ll}@]*+(?!\S)"
+RUN = rf"(?<!\S){GROUP}(?:(?<![.,;:!?])\x20(?:[A-Z]{{4}}\x20)?+{GROUP})++"
+#: Longer words are looked for inside runs, too.
+LONG = r"(?<!\S)(?=\S{6})[^\s0-9@]*+[0-9@]\S*+"
+
+#: Rounds of scoring, and what a pattern needs to discover anything: its score, and its number of
+#: different instances that are seeds or discovered.
+ROUNDS, SCORE, SEEDS = 3, 0.7, 5
 #: Characters around a span in which its context words are looked for.
 NEAR = 80
 
@@ -103,22 +110,31 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}0-9@]+"), lambda w: w != "")
 
 
-def _mentions(text: Column, spans: Column) -> Column:
-    """Seeds and other identifier-like words: start, stop, string, kind (null: unknown), patterns."""
+def _free(text: Column, spans: Column, pattern: str) -> Column:
+    """start, stop, kind (null) of the matches that touch no span, without punctuation at their ends."""
     edge = r"[\p{Punct}]"
-    tokens = F.transform(
-        _found(text, TOKEN),
+    named = F.filter(
+        _found(text, pattern), lambda m: F.regexp_replace(m["string"], f"^{edge}++|{edge}++$", "").rlike("[0-9@]")
+    )
+    trimmed = F.transform(
+        named,
         lambda m: F.struct(
             (m["start"] + F.length(F.regexp_extract(m["string"], f"^{edge}*+", 0))).alias("start"),
             (m["stop"] - F.length(F.regexp_extract(m["string"], f"{edge}*$", 0))).alias("stop"),
             F.lit(None).cast("string").alias("kind"),
         ),
     )
-    free = F.filter(
-        tokens,
-        lambda m: (m["stop"] - m["start"] >= LEAST_CHARS)
-        & ~F.exists(spans, lambda s: (s["start"] < m["stop"]) & (m["start"] < s["stop"])),
-    )
+    return F.filter(trimmed, lambda m: ~F.exists(spans, lambda s: (s["start"] < m["stop"]) & (m["start"] < s["stop"])))
+
+
+def _mentions(text: Column, spans: Column, whole: Column) -> Column:
+    """Seeds and other identifier-like strings: start, stop, string, kind (null: unknown), patterns.
+
+    ``whole``: runs, and words outside them. ``spans`` and ``whole`` are columns, or each word
+    would search the text again. The first word of a run has the run's context, and is no
+    mention of its own.
+    """
+    inner = F.filter(_free(text, spans, LONG), lambda m: ~F.exists(whole, lambda w: w["start"] == m["start"]))
     seeds = F.transform(
         spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))
     )
@@ -142,7 +158,7 @@ def _mentions(text: Column, spans: Column) -> Column:
             F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"),
         )
 
-    return F.transform(F.concat(seeds, free), described)
+    return F.transform(F.concat(seeds, whole, inner), described)
 
 
 def scored_patterns(edges: DataFrame) -> DataFrame:
@@ -151,36 +167,43 @@ def scored_patterns(edges: DataFrame) -> DataFrame:
     ``edges``: distinct pattern, string, kind (null for strings that are no seed). A pattern's
     score for a kind is the mean confidence of its instances, with two instances of none added;
     an instance's confidence is 1 for its own kind as a seed, else 1 - product(1 - score) over
-    its patterns. Scores are stored after every round.
+    its patterns. Every round lists all patterns that hold a seed, or an instance of a pattern
+    that may discover: such an instance counts among the seeds. Scores are stored after every round.
     """
-    known = edges.filter("kind IS NOT NULL")
+    edges = materialize(edges, "pii-edges")
     totals = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("all"))
-    seeds = known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
+    direct = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("direct"))
     scores = materialize(
-        seeds.join(totals, "pattern").withColumn("score", F.col("seeds") / (F.col("all") + 2)), "pii-patterns"
+        direct.join(totals, "pattern").withColumn("seeds", F.col("direct")).withColumn(
+            "score", F.col("seeds") / (F.col("all") + 2)
+        ),
+        "pii-patterns",
     )
+    direct = scores.select("pattern", "kind", "direct")
+    may = (F.col("score") >= SCORE) & (F.col("seeds") >= SEEDS)
     unknown = edges.filter("kind IS NULL").select("pattern", "string")
     for _ in range(ROUNDS - 1):
         confidence = (
-            unknown.join(scores.select("pattern", "kind", "score"), "pattern")
+            unknown.join(scores.select("pattern", "kind", "score", may.alias("may")), "pattern")
             .groupBy("string", "kind")
-            .agg(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.999)))).alias("doubt"))
-            .select("string", "kind", (1 - F.exp("doubt")).alias("confidence"))
+            .agg(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.999)))).alias("doubt"), F.max("may").alias("sure"))
+            .select("string", "kind", (1 - F.exp("doubt")).alias("confidence"), "sure")
         )
         gained = (
-            unknown.join(confidence, "string").groupBy("pattern", "kind").agg(F.sum("confidence").alias("gained"))
+            unknown.join(confidence, "string")
+            .groupBy("pattern", "kind")
+            .agg(F.sum("confidence").alias("gained"), F.count_if("sure").alias("found"))
         )
+        first, more = F.coalesce("direct", F.lit(0)), F.coalesce("gained", F.lit(0.0))
         scores = materialize(
-            scores.join(gained, ["pattern", "kind"], "left").select(
-                "pattern",
-                "kind",
-                "seeds",
-                "all",
-                ((F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("all") + 2)).alias("score"),
-            ),
+            direct.join(gained, ["pattern", "kind"], "full")
+            .withColumn("seeds", first + F.coalesce("found", F.lit(0)))
+            .filter("seeds > 0")
+            .join(totals, "pattern")
+            .select("pattern", "kind", "seeds", "all", ((first + more) / (F.col("all") + 2)).alias("score")),
             "pii-patterns",
         )
-    return scores.filter((F.col("score") >= SCORE) & (F.col("seeds") >= SEEDS))
+    return scores.filter(may)
 
 
 def _key() -> Column:
@@ -192,9 +215,11 @@ def discovered(docs: DataFrame) -> DataFrame:
     """key and ``added`` spans of the documents in which bootstrapping finds any."""
     rows = docs.select("doc_id", "text").filter("text RLIKE '[0-9@]'").withColumn("key", _key())
     found = materialize(
-        rows.withColumn("spans", base_spans(F.col("text"))).select(
-            "key", F.explode(_mentions(F.col("text"), F.col("spans"))).alias("m")
-        ).select("key", "m.*").distinct(),
+        rows.withColumn("spans", base_spans(F.col("text")))
+        .withColumn("whole", _free(F.col("text"), F.col("spans"), f"{RUN}|{TOKEN}"))
+        .select("key", F.explode(_mentions(F.col("text"), F.col("spans"), F.col("whole"))).alias("m"))
+        .select("key", "m.*")
+        .distinct(),
         "pii-mentions",
     )
     links = found.select("key", "start", "stop", "kind", "string", F.explode("patterns").alias("pattern"))
@@ -202,7 +227,7 @@ def discovered(docs: DataFrame) -> DataFrame:
     hits = links.filter("kind IS NULL").drop("kind").join(good.select("pattern", "kind", "score"), "pattern")
     best = hits.groupBy("key", "start", "stop").agg(F.max(F.struct("score", "kind")).alias("best"))
     ranks = F.create_map(*[F.lit(x) for rank, kind in enumerate(KINDS) for x in (kind, rank)])
-    return best.groupBy("key").agg(
+    listed = best.groupBy("key").agg(
         F.collect_list(
             F.struct(
                 F.col("start"),
@@ -213,6 +238,14 @@ def discovered(docs: DataFrame) -> DataFrame:
         ).alias("added")
     )
 
+    def within(s: Column, o: Column) -> Column:
+        return (o["start"] <= s["start"]) & (s["stop"] <= o["stop"]) & (o["stop"] - o["start"] > s["stop"] - s["start"])
+
+    # a word found inside a found run is part of it
+    return listed.select(
+        "key", F.filter("added", lambda s: ~F.exists("added", lambda o: within(s, o))).alias("added")
+    )
+
 
 def find(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``base`` and ``spans``: arrays of (start, rank, stop, kind), by start and kind.

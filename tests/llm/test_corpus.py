@@ -329,6 +329,25 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[51] == [] and len(got[3]) == 1
 
 
+def test_discovered_instances_lead_to_further_patterns(spark):
+    rows = [(i, f"please write to user{i}@mail.com today") for i in range(30)]
+    rows += [(30 + i, f"please write to jane{i}(at)mail today and badge holder jane{i}(at)mail, ok") for i in range(10)]
+    rows += [(50, "our badge holder zed(at)mail99, ok"), (51, "our badge number zed(at)mail98, no")]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(frame(spark, rows)).collect()}
+    start = rows[40][1].index("zed")
+    assert got[50] == [(start, 0, start + len("zed(at)mail99"), "email")]
+    assert got[51] == [] and all(len(got[30 + i]) == 2 for i in range(10))
+
+
+def test_numbers_in_groups_and_short_ids_are_discovered(spark):
+    unseen = ["030 1234 567", "4111 1111 1111 1112", "GB29 NWBK 6016 1331 9268 19", "AB123"]
+    rows = [(i, f"please call now +49 30 1234{100 + i} thanks") for i in range(20)]
+    rows += [(50 + i, f"please call now {x} thanks") for i, x in enumerate(unseen)] + [(60, "in 2020. 30 went, 5 1 left")]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(frame(spark, rows)).collect()}
+    assert [got[50 + i] for i in range(4)] == [[(16, 3, 16 + len(x), "phone")] for x in unseen]
+    assert got[60] == []
+
+
 def test_redaction(spark):
     got = pii.redact(frame(spark, [(1, "😀 x@y.zz, 1.2.3.4"), (2, None), (3, "+4041894974608795 z")])).orderBy("doc_id").collect()
     assert got[0]["text"] == "😀 <EMAIL>, <IP>" and got[1]["text"] is None
