@@ -7,6 +7,8 @@ columns of documents. Null and empty texts pass every filter; an empty table giv
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,17 @@ from tallycrest.session import materialize
 WORDS, PERCENT = 5, 80
 
 
+def _with_columns_aside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` after an operator that reads doc_id and text and may add or replace columns of any other name."""
+    names = {c: c if c in ("doc_id", "text") else f"_source_{i}" for i, c in enumerate(docs.columns)}
+    done = operator(docs.withColumnsRenamed(names))
+    return done.select(*[F.col(held).alias(c) for c, held in names.items()])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not scored as toxic; the model learns from labels that are not held out."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out()))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return _with_columns_aside(docs, lambda d: toxicity.score(d, model).filter("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +46,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words stand in benchmark windows."""
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return judged.filter("NOT contaminated").select(*docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return _with_columns_aside(docs, lambda d: decontaminate.contamination(d, items).filter("NOT contaminated"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars is that of the new text."""
-    redacted = pii.redact(docs).select(*docs.columns)
+    redacted = _with_columns_aside(docs, pii.redact)
     return redacted.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else redacted
 
 

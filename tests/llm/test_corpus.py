@@ -477,3 +477,14 @@ def test_pipeline_of_odd_rows(spark, odd):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, FOLDER)
         assert name == "packing" or docs.count() >= len(ODD) - 1
+
+
+def test_stages_keep_clashing_columns(spark):
+    names = ["base", "spans", "added", "key", "score", "predicted", "items", "contaminated"]
+    docs = spark.createDataFrame([(1, "plain words and 1.2.3.4 here"), (2, None)], "doc_id long, text string")
+    docs = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_contaminated, corpus_pipeline.redact_personal_data):
+        got = stage(spark, docs, FOLDER)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert len(rows) == 2 and all(r[n] == f"own {n}" for r in rows for n in names)
