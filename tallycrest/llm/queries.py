@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycrest.llm import chat, decontaminate, jaccard, langid, packing, pii, sharding, topk, toxicity, urls
+from tallycrest.llm import (
+    chat,
+    decontaminate,
+    filter_audit,
+    jaccard,
+    langid,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    topk,
+    toxicity,
+    treap,
+    urls,
+)
 from tallycrest.llm.common import held_out, table
 
 
@@ -103,6 +117,21 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, folder, "documents"), words=3, percent=90)
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose 4-word SimHash fingerprints differ at 4 bits or fewer."""
+    return simhash.simhash_groups(table(spark, folder, "documents"), words=4, limit=4)
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents of highest score for each benchmark item."""
+    return treap.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove at each step of all their orders, by language."""
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_top_k": op2_top_k,
@@ -114,6 +143,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard": op10_jaccard,
+    "op11_simhash": op11_simhash,
+    "op12_search": op12_search,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -219,4 +251,79 @@ ORACLES = {
         FROM d LEFT JOIN n USING (doc_id)
         JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
     """,
+    "op12_search": f"""
+        WITH d AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+            FROM documents WHERE doc_id IS NOT NULL
+        ),
+        b AS (
+            SELECT DISTINCT item_id, t FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+                FROM benchmark WHERE item_id IS NOT NULL)
+        ),
+        p AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+        n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id),
+        c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+        w AS (
+            SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM p, c GROUP BY t, docs
+        ),
+        m AS (SELECT doc_id, 10 + ((90 * n * docs) // total) AS m FROM n, c),
+        s AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM b JOIN p USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY ALL
+        ),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM s WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+    """,
+    "op13_filter_audit": f"""
+        WITH marks AS (
+            SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+            FROM labels GROUP BY doc_id
+        ),
+        d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ),
+        fails AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS f
+            FROM d LEFT JOIN marks USING (doc_id)
+        ),
+        cells AS (
+            SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM fails GROUP BY part, f
+        ),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ),
+        steps AS (SELECT o, CAST(i AS INTEGER) AS step, substr(o, i, 1) AS own FROM orders, range(1, 6) r(i)),
+        counted AS (
+            SELECT part, o, step, own,
+                sum(CASE WHEN translate(f, left(o, step), '') = f THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN contains(f, own) AND translate(f, left(o, step - 1), '') = f THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN contains(f, own) AND translate(f, left(o, step - 1), '') <> f THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN f = own THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN contains(f, own) AND translate(f, left(o, step - 1), '') = f THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN contains(f, own) AND translate(f, left(o, step - 1), '') = f THEN toxic ELSE 0 END) AS toxic_lost
+            FROM cells, steps GROUP BY part, o, step, own
+        )
+        SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM counted
+    """,
 }
