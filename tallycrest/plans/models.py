@@ -6,16 +6,19 @@ import datetime as dt
 import random
 from collections.abc import Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import absolute_percentage_error
@@ -78,11 +81,81 @@ def param_map(stage, values: dict[str, object]) -> dict[Param, object]:
     return {stage.getParam(name): value for name, value in values.items()}
 
 
+class Search(NamedTuple):
+    """What a search found: the mean metric of each setting, and the best setting's model of all rows."""
+
+    avgMetrics: list[float]
+    bestModel: PipelineModel
+
+
+def first_trees(model: GBTClassificationModel | GBTRegressionModel, count: int):
+    """The boosted model of the first ``count`` trees.
+
+    Boosting adds trees one by one and seeds each by its number, so this is the model that a fit with
+    ``maxIter=count`` and otherwise the same settings gives.
+    """
+    whole = model._java_obj
+    spark = SparkSession.active()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(jvm.double, count)
+    for i, (tree, weight) in enumerate(zip(list(whole.trees())[:count], list(whole.treeWeights())[:count])):
+        trees[i], weights[i] = tree, weight
+    if isinstance(model, GBTClassificationModel):
+        cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(whole.uid(), trees, weights)
+        return GBTClassificationModel(cut)
+    return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(whole.uid(), trees, weights))
+
+
+def boosted_search(
+    df: DataFrame, features: Sequence[str], stage, settings: Sequence[dict[str, object]], evaluator,
+    folds: int, parallelism: int | None = None,
+) -> Search:
+    """Cross-validated search of boosted trees, with one fit for all sizes (``maxIter``) of a setting.
+
+    Settings that differ in their number of trees only are fitted once, with the most trees; the others are
+    scored as that model's first trees. Vectors are assembled once, each fold's rows are cached once, and
+    independent fits share the cluster. Ties go to the first setting.
+    """
+    sizes: dict[tuple, list[int]] = {}
+    default = stage.getMaxIter()
+    for i, setting in enumerate(settings):
+        sizes.setdefault(tuple(sorted((k, v) for k, v in setting.items() if k != "maxIter")), []).append(i)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    rows = assembler.transform(df).select("features", stage.getLabelCol(), "fold")
+    parts = [(rows.filter(F.col("fold") != f).persist(), rows.filter(F.col("fold") == f).persist()) for f in range(folds)]
+    jobs = [(own, fold) for own in sizes for fold in range(folds)]
+    jobs.sort(key=lambda job: -int(dict(job[0]).get("maxDepth", 5)))  # the longest fits first
+
+    def fit_and_score(job) -> list[tuple[int, float]]:
+        own, fold = job
+        train, test = parts[fold]
+        trees = {i: int(settings[i].get("maxIter", default)) for i in sizes[own]}
+        model = stage.copy(param_map(stage, dict(own) | {"maxIter": max(trees.values())})).fit(train)
+        return [(i, evaluator.evaluate(first_trees(model, n).transform(test))) for i, n in trees.items()]
+
+    totals = [0.0] * len(settings)
+    cores = parallelism or min(16, df.sparkSession.sparkContext.defaultParallelism)
+    with ThreadPool(max(1, min(cores, len(jobs)))) as pool:
+        for scored in pool.imap_unordered(inheritable_thread_target(df.sparkSession)(fit_and_score), jobs):
+            for i, metric in scored:
+                totals[i] += metric / folds
+    for train, test in parts:
+        train.unpersist()
+        test.unpersist()
+    better = max if evaluator.isLargerBetter() else min
+    best = better(range(len(settings)), key=lambda i: totals[i])
+    model = stage.copy(param_map(stage, settings[best])).fit(rows)
+    return Search(totals, PipelineModel(stages=[assembler, model]))
+
+
 def grid_search(
     df: DataFrame, features: Sequence[str], stage, settings: Sequence[dict[str, object]], evaluator,
     folds: int, parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated search; ``df`` carries the fold column."""
+) -> CrossValidatorModel | Search:
+    """Cross-validated search; ``df`` carries the fold column. Boosted trees go by ``boosted_search``."""
+    if isinstance(stage, (GBTClassifier, GBTRegressor)):
+        return boosted_search(df, features, stage, settings, evaluator, folds)
     search = CrossValidator(
         estimator=pipeline(features, stage), estimatorParamMaps=[param_map(stage, s) for s in settings],
         evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED,
@@ -90,7 +163,7 @@ def grid_search(
     return search.fit(df)
 
 
-def search_table(df: DataFrame, model: CrossValidatorModel, settings: Sequence[dict[str, object]],
+def search_table(df: DataFrame, model: CrossValidatorModel | Search, settings: Sequence[dict[str, object]],
                  metric: str) -> DataFrame:
     """One row per setting with its mean metric."""
     rows = [(", ".join(f"{k}={v}" for k, v in s.items()), float(m)) for s, m in zip(settings, model.avgMetrics)]
@@ -142,7 +215,7 @@ def churn_folds(table: DataFrame, folds: int) -> DataFrame:
 
 
 def churn_search(table: DataFrame, features: Sequence[str], stage, settings: Sequence[dict[str, object]],
-                 folds: int = 5) -> tuple[CrossValidatorModel, DataFrame]:
+                 folds: int = 5) -> tuple[CrossValidatorModel | Search, DataFrame]:
     """Search by F1 of class 1 over stratified folds: the fitted search and its table."""
     rows = churn_folds(table, folds)
     model = grid_search(rows, features, stage, settings, f1_evaluator(), folds)

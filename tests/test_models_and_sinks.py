@@ -118,3 +118,37 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = materialize(spark.range(10).withColumn("x", F.col("id") * 2), "test")
     assert df.count() == 10 and df.inputFiles()[0].startswith(f"file://{scratch_dir(spark)}")
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_staged_search_equals_direct_fits(spark, views, kind):
+    """First trees of a longer model are the shorter model, and the search's metrics are those of CrossValidator."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    rows = models.churn_folds(q.training_table(views), 2)
+    if kind == "classifier":
+        stage, evaluator = models.gbt_classifier(), models.f1_evaluator()
+    else:
+        rows = rows.withColumn("amount", F.col("qty") * 3 + F.col("target_encoded"))
+        stage, evaluator = models.quota_regressor(), RegressionEvaluator(labelCol="amount", metricName="rmse")
+    grid = {"maxIter": [2, 5], "stepSize": [0.1, 0.3], "subsamplingRate": [0.8], "featureSubsetStrategy": ["0.7"],
+            "maxDepth": [2]}
+    settings = models.combinations(grid)
+    found = models.grid_search(rows, q.FEATURES, stage, settings, evaluator, 2)
+    assembled = models.VectorAssembler(inputCols=list(q.FEATURES), outputCol="features").transform(rows)
+    direct = CrossValidator(
+        estimator=stage, estimatorParamMaps=[models.param_map(stage, s) for s in settings], evaluator=evaluator,
+        numFolds=2, foldCol="fold", seed=models.SEED,
+    ).fit(assembled)
+    assert found.avgMetrics == pytest.approx(direct.avgMetrics, abs=1e-12)
+    whole = stage.copy(models.param_map(stage, settings[-1])).fit(assembled)
+    short = stage.copy(models.param_map(stage, settings[-1] | {"maxIter": 2})).fit(assembled)
+    cut = models.first_trees(whole, 2)
+    without_name = [[t.toDebugString.split("\n", 1)[1] for t in m.trees] for m in (cut, short)]
+    assert without_name[0] == without_name[1]
+    assert cut.treeWeights == short.treeWeights
+    same = cut.transform(assembled).select("prediction").collect() == short.transform(assembled).select("prediction").collect()
+    assert same
+    scored = found.bestModel.transform(rows).select("prediction").collect()
+    assert scored == direct.bestModel.transform(assembled).select("prediction").collect()
