@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import argmax_name, money_sum
-from tallycrest.operators import binning, evaluate, explore, folds, neighbours, scaling
+from tallycrest.operators import binning, distances, evaluate, explore, folds, neighbours, scaling
 from tallycrest.operators import customers as cu
 from tallycrest.operators import quota_rules as rules
 from tallycrest.operators import reps
@@ -653,6 +653,13 @@ def error_distance(v: TestViews) -> DataFrame:
     return rounded(table, 6, "min_distance", "avg_distance")
 
 
+@query
+def pca_distances(v: TestViews) -> DataFrame:
+    """Where wrong predictions lie by their distances to all correct ones."""
+    table = distances.distance_components(_prediction_vectors(v), "customer_id", "vector")
+    return rounded(table, 3, "pc1", "pc2")
+
+
 @query
 def pca_2d(v: TestViews) -> DataFrame:
     rows = binning.one_hot(v.predictions(), "customer_type", CUSTOMER_TYPES, retention.TYPE_PREFIX)
