@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallycrest.session import materialize
+
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -102,6 +104,7 @@ def cell_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id", "part", "digest", "flags")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    one = materialize(one, "audit-documents")  # the texts are read once
     marks = (
         labels.filter("doc_id IS NOT NULL AND (quality = 1 OR toxic = 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -124,6 +127,7 @@ def cell_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("doc_id").isNull(), F.col("n"))), F.lit(0)).alias("no_id"),
         F.coalesce(F.min_by(F.when(F.col("doc_id").isNotNull(), F.col("n")), "doc_id"), F.lit(0)).alias("at_first"),
     )
+    kinds = materialize(kinds, "audit-kinds")
     firsts = kinds.groupBy("digest").agg(F.min("first").alias("smallest"))
     judged = (
         kinds.join(firsts, "digest")
