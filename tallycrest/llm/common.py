@@ -34,21 +34,19 @@ def ascii_lower(text: Column) -> Column:
 HOT_SHARE = 1000
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str]) -> DataFrame:
     """``rows`` with the columns of ``groups`` (one row for each ``key`` of ``rows``, ``copies`` of them in ``rows``).
 
     Groups of more than a thousandth of all rows, fewer than 1,000, are sent to all tasks, so that their
     rows stay where they are; the others are shuffled, none of them a large share. Both sides are read
-    several times: store them first. ``copies`` does not come along unless ``rows`` has it. A null key joins nothing
-    and its rows are left out.
+    several times: store them first. ``copies`` does not come along. A null key joins nothing and its rows are left out.
     """
-    # `copies` counts rows of `rows`, so at most HOT_SHARE - 1 groups pass the filter
+    keys = [key] if isinstance(key, str) else key
     total = groups.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"]
     is_hot = F.col("copies") * HOT_SHARE > F.lit(total)
-    side = groups.drop("copies")
     hot, cold = groups.filter(is_hot).drop("copies"), groups.filter(~is_hot).drop("copies")
-    if groups.filter(is_hot).take(1):
-        keys = hot.select(key)
-        in_place = rows.join(F.broadcast(hot), key)
-        return in_place.unionByName(rows.join(F.broadcast(keys), key, "left_anti").join(cold, key))
-    return rows.join(side, key)
+    if not groups.filter(is_hot).take(1):
+        return rows.join(cold, keys)
+    in_place = rows.join(F.broadcast(hot), keys)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return in_place.unionByName(others.join(cold, keys))

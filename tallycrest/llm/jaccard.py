@@ -3,20 +3,24 @@
 The join is the product of the document by n-gram incidence matrix with its transpose,
 restricted by bounds on size and taken in blocks:
 
-1. Documents with equal sets are one class from then on.
+1. Documents with equal sets are one class from then on, whatever their ids.
 2. Two sets that reach the wanted overlap share one of the first ``n - ceil(t n) + 1`` n-grams
    of each under any common order. The order is by hash, with n-grams of several classes last,
    so that a line or passage of many documents brings few of them together. Only these columns
    of the matrix are laid out.
 3. All classes in a column meet at the column's smallest class. Distinct (meeting class,
    class) pairs are few: near copies share most columns, so they meet in few places.
-4. At a meeting place, classes in order of size are cut into blocks of bounded weight. Blocks
+4. At a meeting place, classes in order of size are cut into blocks of bounded weight, from counts by
+   size, so that no task sorts a large place. Blocks
    whose sizes allow the overlap are multiplied, a stretch of columns at a time: first with
    the chosen columns only. Overlaps add up; a pair is dropped when its overlap there plus what
    the sizes still allow is too small, which ends nearly all pairs that share just a passage.
    What stays is brought together by groups, and multiplied over all columns in the same
    way. Of the links found, a spanning set leaves a task, never all pairs.
 5. Links are contracted to components by alternating star steps on stored tables.
+
+Keys that many rows share (a set of many copies, an n-gram of many texts, a size of many near copies, a
+hub of many links) are joined where their rows lie (``common.join_groups``).
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycrest.llm.common import small_batches
+from tallycrest.llm.common import join_groups, small_batches
 from tallycrest.session import materialize
 
 #: N-grams put last in the common order, at most; the order decides the cost, never the result.
@@ -38,8 +42,8 @@ COMMON_FROM = 3
 BLOCK_GRAMS = 1_500_000
 BLOCK_ROWS = 1024
 COLUMNS = 4096
-#: Ids sent to all tasks to select documents; above this many they are joined instead.
-MOST_SENT = 4_000_000
+#: Ids sent to all tasks to select documents (about 16 bytes each); above this many they are joined instead.
+MOST_SENT = 500_000
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -107,8 +111,8 @@ def _most_common(classes: DataFrame) -> np.ndarray:
         least = row["count"]
     if least is None:
         return np.zeros(0, np.uint64)
-    rows = counted.filter(F.col("count") >= least).select("gram").collect()
-    return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
+    column = counted.filter(F.col("count") >= least).select("gram").toArrow().column("gram")  # 8 bytes a gram
+    return np.sort(column.to_numpy().view(np.uint64))
 
 
 def _longs(grams: np.ndarray) -> np.ndarray:
@@ -121,26 +125,33 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def mark_of(grams: np.ndarray) -> bytes:
+    """Equal for equal sets."""
+    from hashlib import blake2b
+
+    return blake2b(grams.tobytes(), digest_size=16).digest()
+
+
 def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, mark (of the whole set) and the lowest n-grams, more than the prefix."""
+    """row (unique), doc_id, n, mark (of the whole set) and the lowest n-grams, more than the prefix."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from hashlib import blake2b
-
         for batch in batches:
             sizes, marks, low = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, words)
                 n = len(grams)
                 sizes.append(n)
-                marks.append(blake2b(grams.tobytes(), digest_size=16).digest())
+                marks.append(mark_of(grams))
                 low.append(_longs(grams[: known_length(n, percent)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), _lists(low)],
                 ["doc_id", "n", "mark", "low"],
             )
 
-    return docs.mapInArrow(profile, "doc_id long, n long, mark binary, low array<long>")
+    found = docs.mapInArrow(profile, "doc_id long, n long, mark binary, low array<long>")
+    # the numbers hold once they are stored
+    return materialize(found.withColumn("row", F.monotonically_increasing_id()), "jaccard-profiles")
 
 
 def _prefixes_from_low(profiles: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
@@ -169,53 +180,54 @@ def _prefixes_from_low(profiles: DataFrame, common: np.ndarray, percent: int) ->
                     out.append(_longs(rare) if len(rare) >= most else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in ("doc_id", "n")),
+                    *(batch.column(c) for c in ("row", "n")),
                     pa.array(out, pa.list_(pa.int64())),
                     pa.array(rares, pa.int32()),
                 ],
                 ["node", "n", "grams", "rare"],
             )
 
-    return profiles.select("doc_id", "n", "low").mapInArrow(
+    return profiles.select("row", "n", "low").mapInArrow(
         choose, "node long, n long, grams array<long>, rare int"
     )
 
 
-def _prefixes_from_text(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_common = _Common(common)
+def _sets(docs: DataFrame, nodes: DataFrame, words: int, percent: int = 0, common: np.ndarray | None = None) -> DataFrame:
+    """node, n, grams and rare of the classes ``nodes`` (node, doc_id, mark), read again from a document of each.
+
+    The whole sets, or with ``common`` their first n-grams in the common order. One of each class, however
+    often its document is repeated.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_common = _Common(np.zeros(0, np.uint64) if common is None else common)
         for batch in batches:
-            sizes, out, rares = [], [], []
+            sizes, out, rares, marks = [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, words)
                 bad = is_common(grams)
                 sizes.append(len(grams))
                 rares.append(int((~bad).sum()))
-                out.append(_longs(np.concatenate([grams[~bad], grams[bad]])[: known_length(len(grams), percent)]))
+                marks.append(mark_of(grams))
+                ordered = np.concatenate([grams[~bad], grams[bad]])
+                out.append(_longs(ordered if common is None else ordered[: known_length(len(grams), percent)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _lists(out), pa.array(rares, pa.int32())],
-                ["node", "n", "grams", "rare"],
+                [pa.array(marks, pa.binary()), pa.array(sizes, pa.int64()), _lists(out), pa.array(rares, pa.int32())],
+                ["mark", "n", "grams", "rare"],
             )
 
-    return docs.mapInArrow(choose, "node long, n long, grams array<long>, rare int")
-
-
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_longs(shingles(t, words)) for t in batch.column("text").to_pylist()]
-            rares = pa.array([len(x) for x in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets), rares], ["node", "grams", "rare"])
-
-    return docs.mapInArrow(whole, "node long, grams array<long>, rare int")
+    nodes = materialize(nodes, "jaccard-wanted")
+    given = _only(docs, nodes.select("doc_id").distinct(), "doc_id")
+    found = given.mapInArrow(read, "mark binary, n long, grams array<long>, rare int")
+    one = found.groupBy("mark").agg(F.first(F.struct("n", "grams", "rare")).alias("set"))
+    return nodes.select("node", "mark").join(one, "mark").select("node", "set.*")
 
 
-def _only(docs: DataFrame, nodes: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The documents whose ids are ``nodes`` (or, with ``left_anti``, are not): the ids are sent to
+def _only(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``key`` is in ``keys`` (or, with ``left_anti``, is not): the keys are sent to
     all tasks while their counted number is bounded, otherwise both sides are shuffled."""
-    ids = nodes.select(F.col("node").alias("doc_id"))
-    side = F.broadcast(ids) if ids.count() <= MOST_SENT else ids
-    return docs.join(side, "doc_id", how)
+    side = F.broadcast(keys) if keys.count() <= MOST_SENT else keys
+    return df.join(side, key, how)
 
 
 def linked(
@@ -364,23 +376,41 @@ def _product(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select(*columns).mapInArrow(multiply, "a long, b long")
 
 
-def _multiplied(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among the classes that share a ``place``. ``met``: place, node, n; ``sets``: node, grams, rare."""
-    by_size = Window.partitionBy("place").orderBy("n", "node")
+def _blocks(met: DataFrame, percent: int) -> DataFrame:
+    """place, node, n, block: the classes of a place by size, cut at about the bounds of a block.
+
+    Works on counts by place and size: a window sees one row for each size, and classes of one size that are too
+    many for a block are dealt by hash. A class too far in size from all others is left out.
+    """
+    sizes = met.groupBy("place", "n").agg(F.count(F.lit(1)).alias("copies"))
+    by_size = Window.partitionBy("place").orderBy("n")
+    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    n, copies = F.col("n"), F.col("copies")
     below, above = F.lag("n").over(by_size), F.lead("n").over(by_size)
-    # a class too far in size from both neighbours links with none
-    close = met.withColumn(
-        "close",
-        F.coalesce(100 * below >= percent * F.col("n"), F.lit(False))
-        | F.coalesce(100 * F.col("n") >= percent * above, F.lit(False)),
-    ).filter("close")
-    blocked = materialize(
-        close.withColumn("run", F.sum("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("nth", F.row_number().over(by_size))
-        .withColumn("block", F.expr(f"CAST(run DIV {BLOCK_GRAMS} + (nth - 1) DIV {BLOCK_ROWS} AS INT)"))
-        .select("place", "node", "n", "block"),
-        "jaccard-blocks",
+    close = (copies > 1) | F.coalesce(100 * below >= percent * n, F.lit(False)) | F.coalesce(
+        100 * n >= percent * above, F.lit(False)
     )
+    cut = (
+        sizes.withColumns({
+            "close": close,
+            "rows": F.coalesce(F.sum("copies").over(before), F.lit(0)),
+            "grams": F.coalesce(F.sum(copies * n).over(before), F.lit(0)),
+        })
+        .filter("close")
+        .select(
+            "place", "n", "copies",
+            F.expr(f"rows DIV {BLOCK_ROWS} + grams DIV {BLOCK_GRAMS}").alias("start"),
+            F.greatest(F.ceil(copies / BLOCK_ROWS), F.ceil(copies * n / BLOCK_GRAMS)).alias("parts"),
+        )
+    )
+    placed = join_groups(met, materialize(cut, "jaccard-sizes"), ["place", "n"])
+    block = (F.col("start") + F.pmod(F.xxhash64("node"), F.col("parts"))).cast("int")
+    return materialize(placed.select("place", "node", "n", block.alias("block")), "jaccard-blocks")
+
+
+def _multiplied(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the classes that share a ``place``. ``met`` (stored): place, node, n; ``sets``: node, grams, rare."""
+    blocked = _blocks(met, percent)
     blocks = blocked.groupBy("place", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     units = (
         blocks.select("place", F.col("block").alias("left"), "high")
@@ -413,18 +443,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(links.select(most.alias("u"), least.alias("v")).filter("u > v").distinct(), "links")
     if not edges.take(1):
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+    def with_smallest(pairs: DataFrame) -> DataFrame:
+        smallest = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("copies"))
+        return join_groups(pairs, materialize(smallest.withColumn("m", F.least("u", "m")), "links"), "u")
+
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        smallest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (
-            both.join(smallest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = with_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "links")
-        center = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(center, "u")
-        small = small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            center.select("u", F.col("m").alias("v"))
-        )
+        small = with_smallest(large)
+        centers = small.select("u", F.col("m").alias("v"))
+        small = small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(centers)
         after = materialize(small.filter("u > v").distinct(), "links")
         # done when every node hangs on one root and no root hangs on another
         roots = after.select(F.col("v").alias("u")).distinct()
@@ -433,62 +463,127 @@ def components(links: DataFrame) -> DataFrame:
         edges = after
 
 
-def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id: groups of documents joined by links of Jaccard >= percent/100.
+def _meetings(prefixes: DataFrame, percent: int) -> DataFrame:
+    """place, node, n: the classes that share an n-gram meet at the smallest of them.
 
-    A document's set holds its distinct ``words``-grams of lower-cased (A-Z) words; with fewer
-    words all of them as one. ``component_id`` is the smallest doc_id reachable by links. N-grams
-    are compared by 64-bit hashes, so two pass wrongly as equal with a chance of 2**-64.
-
-    Null texts and texts without words have an empty set and link with nothing. Rows that
-    repeat a doc_id with different texts may join these texts' groups. A row without doc_id is given with its size,
-    a null component, and links with nothing. Other columns are not read.
+    An n-gram that is not among the common ones has few classes; a common one may have very many, so
+    its place is an aggregate that joins the rows where they lie.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = materialize(_profiles(docs, words, percent), "jaccard-profiles")
-    usable = profiles.filter("n > 0 AND doc_id IS NOT NULL")
-    members = usable.groupBy("mark").agg(F.min("doc_id").alias("node"))
-    # one row for each class of equal sets; the others are few or are joined away
-    repeats = materialize(
-        usable.select("doc_id", "mark").join(members, "mark").filter("doc_id <> node")
-        .select(F.col("doc_id").alias("node")).distinct(),
-        "jaccard-repeats",
+    first = f"CAST(n - ({percent} * n + 99) DIV 100 + 1 AS INT)"  # prefix_length
+    uncommon = prefixes.select("node", "n", F.explode(F.expr(f"slice(grams, 1, least(rare, {first}))")).alias("gram"))
+    shared = materialize(
+        prefixes.filter(f"rare < {first}").select(
+            "node", "n", F.explode(F.expr(f"slice(grams, rare + 1, greatest({first} - rare, 0))")).alias("gram")
+        ),
+        "jaccard-shared",
     )
-    classes = _only(usable, repeats, "left_anti")
-    common = _most_common(classes)
-    chosen = materialize(_prefixes_from_low(classes, common, percent), "jaccard-prefixes")
-    short = chosen.filter("grams IS NULL").select("node").distinct()
-    others = materialize(_prefixes_from_text(_only(docs, short), common, words, percent), "jaccard-prefixes")
-    prefixes = chosen.filter("grams IS NOT NULL").unionByName(others)
-
-    first = f"n - ({percent} * n + 99) DIV 100 + 1"  # prefix_length
     column = Window.partitionBy("gram")
-    met = materialize(
-        prefixes.select("node", "n", F.explode(F.expr(f"slice(grams, 1, CAST({first} AS INT))")).alias("gram"))
-        .withColumn("place", F.min("node").over(column))
+    few = (
+        uncommon.withColumn("place", F.min("node").over(column))
         .withColumn("others", F.count(F.lit(1)).over(column))
         .filter("others > 1")
-        .groupBy("place", "node")
-        .agg(F.max("n").alias("n")),
-        "jaccard-meetings",
     )
-    likely = components(_multiplied(met, prefixes.select("node", "grams", "rare"), percent))
+    places = shared.groupBy("gram").agg(F.min("node").alias("place"), F.count(F.lit(1)).alias("copies"))
+    many = join_groups(shared, materialize(places.filter("copies > 1"), "jaccard-places"), "gram")
+    pairs = few.select("place", "node", "n").unionByName(many.select("place", "node", "n"))
+    return materialize(pairs.groupBy("place", "node").agg(F.max("n").alias("n")), "jaccard-meetings")
+
+
+def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """A stored table of one row for each row of ``docs``: doc_id, n, mark, component_id, and keep: true for one
+    row of each group, one with its smallest doc_id, and for rows in no group. See ``jaccard_groups``."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    profiles = _profiles(docs, words, percent)
+    usable = profiles.filter("n > 0 AND doc_id IS NOT NULL").select("row", "doc_id", "n", "mark")
+    # a class is known by the number of its row with the smallest id
+    classes = materialize(
+        usable.groupBy("mark").agg(
+            F.min_by("row", "doc_id").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")
+        ),
+        "jaccard-classes",
+    )
+    rows = materialize(join_groups(usable, classes, "mark"), "jaccard-rows")
+    repeats = rows.filter("row <> node").select("row")
+    alone = _only(profiles.filter("n > 0 AND doc_id IS NOT NULL").select("row", "n", "low"), repeats, "row", "left_anti")
+    common = _most_common(alone)
+    chosen = materialize(_prefixes_from_low(alone, common, percent), "jaccard-prefixes")
+    named = classes.select("node", F.col("least").alias("doc_id"), "mark")
+    short = named.join(chosen.filter("grams IS NULL").select("node"), "node", "left_semi")
+    others = materialize(_sets(docs, short, words, percent, common), "jaccard-prefixes")
+    prefixes = chosen.filter("grams IS NOT NULL").unionByName(others)
+
+    met = _meetings(prefixes, percent)
+    likely = materialize(components(_multiplied(met, prefixes.select("node", "grams", "rare"), percent)), "jaccard-likely")
     roots = likely.select(F.col("component").alias("place")).distinct()
     together = likely.select(F.col("component").alias("place"), "node").unionByName(
         roots.select("place", F.col("place").alias("node"))
     )
-    sizes = prefixes.groupBy("node").agg(F.max("n").alias("n"))
-    candidates = materialize(together.join(sizes, "node"), "jaccard-candidates")
-    sets = _sets(_only(docs, candidates.select("node").distinct()), words)
-    found = components(_multiplied(candidates, sets, percent))
-
-    classed = profiles.select("doc_id", "n", "mark").join(members, "mark", "left")
-    return classed.join(found, "node", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id"))
-        .otherwise(F.coalesce("component", "node"))
-        .alias("component_id"),
+    candidates = materialize(together.join(prefixes.select("node", "n"), "node"), "jaccard-candidates")
+    sets = _sets(docs, named.join(candidates.select("node").distinct(), "node", "left_semi"), words)
+    found = components(_multiplied(candidates, sets.select("node", "grams", "rare"), percent))
+
+    rooted = classes.select("node", "least", "copies").join(found, "node", "left")
+    rooted = materialize(rooted.withColumn("component", F.coalesce("component", "node")), "jaccard-rooted")
+    groups = rooted.groupBy("component").agg(
+        F.min("least").alias("component_id"), F.min_by("node", "least").alias("kept"), F.count(F.lit(1)).alias("copies")
+    )
+    placed = join_groups(rooted.select("node", "component"), materialize(groups, "jaccard-groups"), "component")
+    placed = placed.join(rooted.select("node", "copies"), "node").select("node", "component_id", "kept", "copies")
+    grouped = join_groups(rows, materialize(placed, "jaccard-placed"), "node").select(
+        "doc_id", "n", "mark", "component_id", (F.col("row") == F.col("kept")).alias("keep")
+    )
+    apart = profiles.filter("n = 0 OR doc_id IS NULL").select(
+        "doc_id", "n", "mark", F.col("doc_id").alias("component_id"), F.lit(True).alias("keep")
     )
+    return materialize(grouped.unionByName(apart), "jaccard-result")
+
+
+def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id: groups of documents joined by links of Jaccard >= percent/100.
+
+    A document's set holds its distinct ``words``-grams of lower-cased (A-Z) words; with fewer
+    words all of them as one. ``component_id`` is the smallest doc_id reachable by links. N-grams
+    are compared by 64-bit hashes, so two pass wrongly as equal with a chance of 2**-64, and whole sets by
+    128-bit ones.
+
+    Null texts and texts without words have an empty set and link with nothing. Rows are linked, not ids: two
+    texts under one doc_id are two documents, and repeated rows are given as often as they come. A row without
+    doc_id is given with its size, a null component, and links with nothing. Other columns are not read. Bounds the
+    session's Arrow batches (``small_batches``).
+    """
+    found = jaccard_rows(docs, words, percent)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each group of ``jaccard_groups``: one with its smallest doc_id.
+
+    Rows without an id, and texts without words, are in no group and stay. Of two texts under one doc_id
+    each goes by its own group, and of rows that repeat a doc_id with an equal set one stays at most.
+    """
+    found = jaccard_rows(docs, words, percent)
+    several = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    several = materialize(several, "jaccard-several")
+    gone = found.filter("NOT keep").select("doc_id").join(several, "doc_id", "left_anti")
+    rest = _only(docs, materialize(gone, "jaccard-gone"), "doc_id", "left_anti")
+    if not several.take(1):
+        return rest.select(*docs.columns)
+    # ids of several rows: rows are told apart by their sets
+    kept = found.filter("keep AND n > 0").join(several, "doc_id", "left_semi").select("doc_id", "mark")
+    repeated = _only(docs, several, "doc_id")
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
+            marks = pa.array([mark_of(x) if len(x) else None for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, marks], [*batch.schema.names, "_mark"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    told = repeated.select(*docs.columns).mapInArrow(marked, f"{fields}, _mark binary")
+    first = Window.partitionBy("doc_id", "_mark").orderBy("doc_id")
+    one = told.filter("_mark IS NOT NULL").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+    one = one.join(kept.withColumnRenamed("mark", "_mark"), ["doc_id", "_mark"], "left_semi")
+    without = told.filter("_mark IS NULL")
+    others = _only(rest, several, "doc_id", "left_anti")
+    return others.select(*docs.columns).unionByName(one.select(*docs.columns)).unionByName(without.select(*docs.columns))

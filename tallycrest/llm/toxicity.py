@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tallycrest.llm.common import small_batches
 
-#: Labelled documents that train a model, about: toxic, ordinary; characters read of each.
-TOXIC_SAMPLE, ORDINARY_SAMPLE, SAMPLE_CHARS = 3000, 6000, 20_000
+#: Labelled documents that train a model, about: toxic, ordinary. Each is read whole.
+TOXIC_SAMPLE, ORDINARY_SAMPLE = 3000, 6000
 #: Words of a window, compression level, bytes of the common content and of the toxic passages.
 WINDOW, LEVEL, COMMON_BYTES, TOXIC_BYTES = 4, 3, 65536, 16384
 #: A passage marks toxic text if it stands in so many different contexts, and so many times as
@@ -208,11 +208,12 @@ def _draw(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from about ``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` labelled texts chosen by hash.
+    """A model from about ``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` whole labelled texts chosen by hash.
 
-    None if either kind has no text. Labels are counted over all rows; the sample is the only
-    thing that reaches the driver, and its size does not depend on the corpus.
+    None if either kind has no text. Labels are counted over all rows. The sample, whose size does not
+    depend on the corpus, is fitted in one task; only the model reaches the driver.
     """
+    small_batches(docs.sparkSession)
     labels = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "toxic")
     n = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
@@ -222,21 +223,25 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
             _draw(F.col("doc_id")) < ORDINARY_SAMPLE / n[0]
         )
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # bounded by the sample sizes; of a longer text, a stretch from a place chosen by hash
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1)))
-    rows = (
-        docs.filter("text IS NOT NULL")
-        .select("doc_id", F.substr("text", (start + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
-        .join(F.broadcast(chosen), "doc_id")
-        .collect()
-    )
-    rows = sorted({(r["text"], r["toxic"]) for r in rows})
-    rng = np.random.default_rng(1)
-    rows = [rows[i] for i in rng.permutation(len(rows))]
-    toxic, ordinary = [t for t, y in rows if y == 1], [t for t, y in rows if y == 0]
-    if not toxic or not ordinary:
+    share = n[1] / (n[0] + n[1])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted({(t, y) for b in batches for t, y in zip(*(b.column(c).to_pylist() for c in ("text", "toxic")))})
+        rng = np.random.default_rng(1)
+        rows = [rows[i] for i in rng.permutation(len(rows))]
+        toxic, ordinary = [t for t, y in rows if y == 1], [t for t, y in rows if y == 0]
+        if toxic and ordinary:
+            model = fit(toxic, ordinary, share)
+            yield pa.RecordBatch.from_pydict({k: [v] for k, v in model._asdict().items()})
+
+    # bounded by the sample sizes
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = texts.select("text", "toxic").distinct().repartition(1).mapInArrow(
+        fitted, "ordinary binary, toxic binary, centre array<double>, weights array<double>, bias double, cut double"
+    ).first()
+    if found is None:
         return None
-    return fit(toxic, ordinary, n[1] / (n[0] + n[1]))
+    return Model(bytes(found["ordinary"]), bytes(found["toxic"]), *(found[c] for c in ("centre", "weights", "bias", "cut")))
 
 
 _scorers: dict[int, Scorer] = {}

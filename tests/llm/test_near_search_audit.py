@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tallycrest.llm import filter_audit, simhash, treap
+from tallycrest.llm import filter_audit, jaccard, simhash, treap
 from tallycrest.llm import queries as corpus
 from tallycrest.llm.common import join_groups
 
@@ -272,3 +272,45 @@ def test_audit_equals_plain_counts(spark):
 
 def test_new_queries_are_registered():
     assert {"op11_simhash", "op12_search", "op13_filter_audit"} <= corpus.QUERIES.keys()
+
+
+# near copies under repeated ids
+
+
+def test_two_texts_under_one_id_keep_their_links(spark):
+    """Row (5, A) is a copy of row 1; the other text of id 5 still links to 9."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (5, a), (5, b), (9, b + " more")]
+    got = jaccard.jaccard_rows(frame(spark, rows), 3, 90).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (5, 1), (5, 5), (9, 5)]
+    assert sorted(r["doc_id"] for r in got if r["keep"]) == [1, 5]
+    kept = jaccard.drop_near_copies(frame(spark, rows), 3, 90).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (5, b)]
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_repeated_rows_are_one_class(spark, monkeypatch, most):
+    """20,000 copies under one id and some near copies: products see one row of each text."""
+    monkeypatch.setattr(jaccard, "MOST_SENT", most)  # 0: ids are joined by a shuffle instead of sent
+    base = [f"w{i}" for i in range(50)]
+    near = [" ".join([*base[:-1], f"x{i}"]) for i in range(3)]
+    rows = [(7, " ".join(base))] * 20_000 + [(8 + i, t) for i, t in enumerate(near)] + [(20, None), (20, None), (21, "other")]
+    found = jaccard.jaccard_groups(frame(spark, rows), 3, 80).groupBy("doc_id", "n_shingles", "component_id").count().collect()
+    want = [(7, 48, 7, 20_000), (8, 48, 7, 1), (9, 48, 7, 1), (10, 48, 7, 1), (20, 0, 20, 2), (21, 1, 21, 1)]
+    assert sorted(tuple(r) for r in found) == want
+    kept = jaccard.drop_near_copies(frame(spark, rows), 3, 80)
+    assert kept.columns == frame(spark, rows).columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(7, " ".join(base)), (20, None), (20, None), (21, "other")]
+
+
+def test_a_place_of_many_sizes_and_one_hot_size(spark, monkeypatch):
+    """Blocks from counts by size: all classes of a place are placed, near-equal ones in few blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 10)
+    met = spark.createDataFrame([(0, i, 100) for i in range(95)] + [(0, 1000 + i, 101 + i) for i in range(20)] + [(0, 5000, 900)],
+                                "place long, node long, n long")
+    got = jaccard._blocks(met, 90).collect()
+    assert {r["node"] for r in got} == {r["node"] for r in met.collect()} - {5000}  # too far in size from all
+    sizes = {}
+    for r in got:
+        sizes.setdefault(r["block"], []).append(r["n"])
+    assert max(map(len, sizes.values())) <= 30 and len(sizes) >= 10
