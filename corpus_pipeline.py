@@ -34,14 +34,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies: one with the smallest id.
 
-    Rows without an id, or without words, are in no group and stay.
+    Rows without an id, or without words, are in no group and stay. Two texts under one id are told apart.
     """
-    groups = materialize(jaccard.jaccard_groups(docs, WORDS, PERCENT), "pipeline-groups")
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    side = F.broadcast(dropped) if dropped.count() <= jaccard.MOST_SENT else dropped
-    return docs.join(side, "doc_id", "left_anti").select(*docs.columns)
+    return _with_columns_aside(docs, lambda d: jaccard.drop_near_copies(d, WORDS, PERCENT))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
