@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +44,16 @@ def scratch_dir(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _remove_written() -> None:
     """Delete what ``materialize`` wrote, as far as its sessions still run."""
     for spark, path in _written:
         try:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _remove(spark, path)
         except Exception:  # the session has ended: its files stay, as after a crash
             return
 
@@ -66,3 +72,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     _written.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that ``materialize`` writes inside are deleted at the end, so that steps of an algorithm do not
+    fill the disk; the yielded function writes those that stay. What leaves the scope must read these only."""
+    start = len(_written)
+    kept: list[tuple[SparkSession, str]] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        stored = materialize(df, name)
+        kept.append(_written[-1])
+        return stored
+
+    try:
+        yield keep
+    finally:
+        inner = _written[start:]
+        _written[start:] = kept
+        for spark, path in inner:
+            if (spark, path) not in kept:
+                _remove(spark, path)
