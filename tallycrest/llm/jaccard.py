@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycrest.llm.common import join_groups, small_batches
-from tallycrest.session import materialize
+from tallycrest.session import materialize, scratch_scope
 
 #: N-grams put last in the common order, at most; the order decides the cost, never the result.
 MOST_COMMON = 1 << 20
@@ -494,6 +494,12 @@ def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     row of each group, one with its smallest doc_id, and for rows in no group. See ``jaccard_groups``."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with scratch_scope() as keep:
+        return keep(_grouped(docs, words, percent), "jaccard-result")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The rows of ``jaccard_rows``; reads stored tables that are deleted once the result is written."""
     profiles = _profiles(docs, words, percent)
     usable = profiles.filter("n > 0 AND doc_id IS NOT NULL").select("row", "doc_id", "n", "mark")
     # a class is known by the number of its row with the smallest id
@@ -536,7 +542,7 @@ def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     apart = profiles.filter("n = 0 OR doc_id IS NULL").select(
         "doc_id", "n", "mark", F.col("doc_id").alias("component_id"), F.lit(True).alias("keep")
     )
-    return materialize(grouped.unionByName(apart), "jaccard-result")
+    return grouped.unionByName(apart)
 
 
 def jaccard_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallycrest.llm.common import join_groups, small_batches
 from tallycrest.llm.jaccard import components
-from tallycrest.session import materialize
+from tallycrest.session import materialize, scratch_scope
 
 BITS = 64
 SEED = 42
@@ -235,7 +235,16 @@ def simhash_groups(docs: DataFrame, words: int = 4, limit: int = 4, stretches: i
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "point"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(docs.mapInArrow(prints, "doc_id long, point long"), "simhash-rows")
+    with scratch_scope() as keep:
+        rows = keep(docs.mapInArrow(prints, "doc_id long, point long"), "simhash-rows")
+        named = keep(_named(rows, limit, stretches), "simhash-named")
+    return join_groups(rows, named, "point").select(
+        "doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _named(rows: DataFrame, limit: int, stretches: int) -> DataFrame:
+    """point, copies and component_id of all fingerprints of ``rows`` (stored: doc_id, point)."""
     points = materialize(
         rows.groupBy("point").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least")), "simhash-points"
     )
@@ -244,8 +253,6 @@ def simhash_groups(docs: DataFrame, words: int = 4, limit: int = 4, stretches: i
     # a component's root may be a point of any id: its smallest id is counted once, before the rows are joined
     smallest = rooted.groupBy("component").agg(F.count(F.lit(1)).alias("copies"), F.min("least").alias("component_id"))
     smallest = materialize(smallest, "simhash-components")
-    named = join_groups(materialize(rooted.select("point", "copies", "component"), "simhash-rooted"), smallest, "component")
-    named = materialize(named.select("point", "copies", "component_id"), "simhash-named")
-    return join_groups(rows, named, "point").select(
-        "doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    pairs = materialize(rooted.select("point", "component"), "simhash-rooted")
+    named = join_groups(pairs, smallest, "component").join(points.select("point", "copies"), "point")
+    return named.select("point", "copies", "component_id")

@@ -1,14 +1,13 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
 The ordinary dictionary is trained on ordinary text; the toxic one has the same content and,
-nearest to the window, the passages that mark toxic text. A window of a few words compresses
-shorter with the toxic dictionary only by what it shares with those passages, and common text
+nearest to the window, the words that mark toxic text. A window of a few words compresses
+shorter with the toxic dictionary only by what it shares with those words, and common text
 cancels out. How many windows gain how much is calibrated on labelled text.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,7 +22,7 @@ from tallycrest.llm.common import small_batches
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 3000, 6000
 #: Words of a window, compression level, bytes of the common content and of the toxic passages.
 WINDOW, LEVEL, COMMON_BYTES, TOXIC_BYTES = 4, 3, 65536, 16384
-#: A passage marks toxic text if it stands in so many different contexts, and so many times as
+#: A word marks toxic text if it stands after so many different words, and so many times as
 #: often (by contexts) as in ordinary text. Contexts, because copies of a text repeat one context.
 CONTEXTS, RATIO = 8, 8.0
 #: Gains in bytes that are counted.
@@ -112,19 +111,23 @@ class Scorer:
         return np.stack(out, axis=1).astype(np.float64)
 
 
-def _contexts(texts: list[str]) -> Counter[bytes]:
-    """Words by the number of different words before them."""
-    number: dict[bytes, int] = {b"": 0}
-    pairs = []
+def _hashed(text: str) -> tuple[list[bytes], np.ndarray]:
+    import xxhash
+
+    words = line_of(text).split()
+    return words, np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, ascending, and the number of different words before each."""
+    seen = [np.zeros((0, 2), np.uint64)]
     for text in texts:
-        ids = [0, *(number.setdefault(word, len(number)) for word in line_of(text).split())]
-        own = np.array(ids, np.uint64)
-        pairs.append(np.unique((own[:-1] << np.uint64(32)) | own[1:]))
-    if not pairs:
-        return Counter()
-    seen = np.unique(np.concatenate(pairs)) & np.uint64(0xFFFFFFFF)
-    counts = np.bincount(seen.astype(np.int64), minlength=len(number)).tolist()
-    return Counter({word: counts[i] for word, i in number.items() if counts[i]})
+        own = _hashed(text)[1]
+        seen.append(np.unique(np.stack([own, np.r_[np.uint64(0), own[:-1]]], axis=1), axis=0) if len(own) else seen[0])
+    pairs = np.concatenate(seen)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    new = (np.diff(pairs, axis=0, prepend=pairs[:1] + np.uint64(1)) != 0).any(axis=1)
+    return np.unique(pairs[new, 0], return_counts=True)
 
 
 def _trained(samples: list[bytes], size: int) -> bytes:
@@ -138,14 +141,17 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 
 
 def _passages(toxic: list[str], ordinary: list[str]) -> bytes:
-    """What marks toxic text; the most frequent stand last, where matches are cheapest."""
-    marked, plain = _contexts(toxic), _contexts(ordinary)
-    all_marked, all_plain = max(1, sum(marked.values())), max(1, sum(plain.values()))
-    found = [
-        (n, word)
-        for word, n in marked.items()
-        if n >= CONTEXTS and (n / all_marked) / ((plain[word] + 1) / all_plain) >= RATIO
-    ]
+    """Words that mark toxic text; those of most contexts stand last, where matches are cheapest."""
+    (marked, often), (plain, there) = _contexts(toxic), _contexts(ordinary)
+    share = often / max(1, often.sum())
+    at = np.minimum(np.searchsorted(plain, marked), max(0, len(plain) - 1))
+    usual = np.where(plain[at] == marked, there[at], 0) if len(plain) else np.zeros(len(marked), np.int64)
+    chosen = (often >= CONTEXTS) & (share / ((usual + 1) / max(1, there.sum())) >= RATIO)
+    wanted = dict(zip(marked[chosen].tolist(), often[chosen].tolist(), strict=True))
+    found = set()
+    for text in toxic:  # hashes to words
+        words, hashes = _hashed(text)
+        found |= {(wanted[h], w) for w, h in zip(words, hashes.tolist(), strict=True) if h in wanted}
     return b"".join(b" " + word + b" " for _, word in sorted(found))[-TOXIC_BYTES:]
 
 
