@@ -1,11 +1,14 @@
 """Exact nearest neighbours and distance summaries, without pairing all rows.
 
 Points belong to the cell of their nearest pivot, as in the pivot methods for neighbour
-joins (Lu, Shen, Chen and Ooi, VLDB 2012). A point first searches its own cell; the
-distance found there then rules out most other cells by the triangle inequality and by
-the plane between two pivots, and the point is sent to the rest only. Equal vectors are
-one point, so a group of copies of any size costs one point. Cells are cut into blocks
-of bounded size, and a task holds one block of each side.
+joins (Lu, Shen, Chen and Ooi, VLDB 2012). Cells of more points than a block are split again
+by pivots of their own, level by level, so the leaves stay small however large or
+clustered the table is. A point first searches its own leaf; the distance found there then
+rules out most other cells by the triangle inequality and by the plane between two pivots,
+and the point is sent down to the rest only. Pivots below the first level are a table that
+meets the points by cell; nothing on the driver grows with the points. Equal vectors are
+one point, so a group of copies of any size costs one point. What meets at a leaf is cut
+into blocks of bounded size, and a task holds one block of each side.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from tallycrest.session import materialize
 
 BLOCK_ROWS = 8192
 MAX_PIVOTS = 1024
+#: Pivots of a cell that is split again, and how often that is done. (Each time parts at least the pivots.)
+FANOUT = 64
+MAX_DEPTH = 32
+#: Rows of a table by cell that are sent to all tasks; above this many it is joined by a shuffle.
+MOST_SENT = 100_000
 HOT_SHARE = 1000
 CHUNK = 512
 
@@ -71,82 +79,169 @@ def distinct_points(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def _assign_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Add the cell (the place of the nearest pivot, as text) and the distance to its pivot."""
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 d = np.sqrt(squared_distances(stacked(batch["features"]), pivots))
-                batch["cell"] = d.argmin(axis=1).astype("int32")
+                batch["cell"] = d.argmin(axis=1).astype(str)
                 batch["radius"] = d.min(axis=1)
                 yield batch
 
-    schema = f"{points.schema.simpleString()[7:-1]}, cell: int, radius: double"
+    schema = f"{points.schema.simpleString()[7:-1]}, cell: string, radius: double"
     return points.mapInPandas(assign, schema)
 
 
+def _sent(table: DataFrame) -> DataFrame:
+    """``table`` for a join by cell: sent to all tasks while its counted rows are few."""
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
+
+
+def _sliced(rows: DataFrame, pivots: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of each cell in slices of about ``block_rows``, and the cell's pivots for every slice."""
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("slices"))
+    sizes = materialize(sizes, "cell-slices")
+    side = _sent(sizes)
+    dealt = rows.join(side, "cell").withColumn("slice", F.pmod(F.xxhash64("point"), F.col("slices")).cast("int"))
+    copied = pivots.join(sizes, "cell").withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
+    return dealt.drop("slices"), copied.drop("slices")
+
+
+def _split_cells(cells: DataFrame, block_rows: int, fanout: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Leaves (point, features, cell, radius) of at most ``block_rows`` points, and for each round of splitting
+    the new cells: their parent ``cell``, ``child``, pivot vector and the smallest and largest distance to it."""
+    kind = cells.schema["point"].dataType.simpleString()
+    levels: list[DataFrame] = []
+    while len(levels) < MAX_DEPTH:
+        large = cells.groupBy("cell").count().filter(F.col("count") > block_rows).select("cell")
+        large = materialize(large, "large-cells")
+        if not large.take(1):
+            break
+        side = _sent(large)
+        inside = materialize(cells.join(side, "cell", "left_semi").select("point", "features", "cell"), "split-points")
+        by_hash = Window.partitionBy("cell").orderBy(F.xxhash64("point"), "point")
+        pivots = materialize(
+            inside.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= fanout)
+            .select("cell", "nth", F.col("features").alias("pivot")),
+            "split-pivots",
+        )
+        rows, copied = _sliced(inside, pivots, block_rows)
+
+        def assign(points: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+            if not len(points):
+                return pd.DataFrame({"point": [], "features": [], "cell": [], "radius": []})
+            around = around.sort_values("nth")
+            d = np.sqrt(squared_distances(stacked(points["features"]), stacked(around["pivot"])))
+            nearest = around["nth"].to_numpy()[d.argmin(axis=1)]
+            return pd.DataFrame({
+                "point": points["point"].to_numpy(), "features": points["features"].to_numpy(),
+                "cell": points["cell"].to_numpy() + "/" + nearest.astype(str), "radius": d.min(axis=1),
+            })
+
+        keys = ["cell", "slice"]
+        children = materialize(
+            rows.groupBy(*keys).cogroup(copied.groupBy(*keys))
+            .applyInPandas(assign, f"point {kind}, features array<double>, cell string, radius double"),
+            "split-cells",
+        )
+        child = F.concat_ws("/", "cell", F.col("nth").cast("string"))
+        radii = children.groupBy(F.col("cell").alias("child")).agg(F.min("radius").alias("low"), F.max("radius").alias("high"))
+        levels.append(materialize(pivots.withColumn("child", child).join(radii, "child"), "split-nodes"))
+        rest = cells.join(side, "cell", "left_anti").select("point", "features", "cell", "radius")
+        cells = materialize(rest.unionByName(children), "cells")
+    return cells, levels
+
+
 def _cell_radii(cells: DataFrame, pivots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest and largest distance from each pivot to a point of its cell (one row per pivot)."""
+    """Smallest and largest distance from each first pivot to a point of its cell (one row per pivot)."""
     low, high = np.full(pivots, np.inf), np.full(pivots, -np.inf)
     for cell, least, most in cells.groupBy("cell").agg(F.min("radius"), F.max("radius")).collect():
-        low[cell], high[cell] = least, most
+        low[int(cell)], high[int(cell)] = least, most
     return low, high
 
 
-def _send_to_cells(queries: DataFrame, pivots: np.ndarray, radii: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Copy each query to the other cells that may hold a point within its ``bound``."""
+def _within_reach(
+    vectors: np.ndarray, bound: np.ndarray, pivots: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> np.ndarray:
+    """Which cells (columns) may hold a point within the bound of each vector (rows)."""
+    squared = squared_distances(vectors, pivots)
+    d = np.sqrt(squared)
+    nearest = d.argmin(axis=1)
+    rows = np.arange(len(vectors))
+    reach = bound[:, None] * (1 + 1e-9) + 1e-9 * (1 + d)
+    gap = np.sqrt(squared_distances(pivots, pivots))[nearest]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = np.where(gap > 0, (squared - squared[rows, nearest][:, None]) / (2 * gap), -np.inf)
+    return (d - high <= reach) & (low - d <= reach) & (plane <= reach)
+
+
+def _send_to_cells(
+    queries: DataFrame, pivots: np.ndarray, radii: tuple[np.ndarray, np.ndarray], levels: list[DataFrame],
+    block_rows: int,
+) -> DataFrame:
+    """Copy each query to the other leaves that may hold a point within its ``bound``."""
     low, high = radii
-    between = np.sqrt(squared_distances(pivots, pivots))
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            vectors = stacked(batch["features"])
-            squared = squared_distances(vectors, pivots)
-            d = np.sqrt(squared)
-            home = batch["cell"].to_numpy()
-            rows = np.arange(len(batch))
-            bound = batch["bound"].to_numpy()[:, None] * (1 + 1e-9) + 1e-9 * (1 + d)
-            gap = between[home]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(gap > 0, (squared - squared[rows, home][:, None]) / (2 * gap), -np.inf)
-            needed = (d - high <= bound) & (low - d <= bound) & (plane <= bound)
-            needed[rows, home] = False
-            which, cell = np.nonzero(needed)
-            if len(which):
-                yield pd.DataFrame({
-                    "point": batch["point"].to_numpy()[which], "features": list(vectors[which]),
-                    "cell": cell.astype("int32"),
-                })
-
     kind = queries.schema["point"].dataType.simpleString()
-    return queries.mapInPandas(send, f"point {kind}, features array<double>, cell int")
+    schema = f"point {kind}, features array<double>, home string, bound double, cell string"
 
+    def sent(queries: pd.DataFrame, which: np.ndarray, cell: np.ndarray) -> pd.DataFrame:
+        picked = queries.iloc[which]
+        return picked[["point", "features", "home", "bound"]].assign(cell=cell)
 
-def _blocks(df: DataFrame, counts: dict[int, int], block_rows: int) -> Column:
-    """Number of blocks of the row's cell."""
-    sizes = [math.ceil(counts.get(c, 1) / block_rows) or 1 for c in range(max(counts, default=0) + 1)]
-    return F.array(*[F.lit(s) for s in sizes])[F.col("cell")]
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                needed = _within_reach(stacked(batch["features"]), batch["bound"].to_numpy(), pivots, low, high)
+                which, cell = np.nonzero(needed)
+                yield sent(batch, which, cell.astype(str))
+
+    def send_down(queries: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(nodes):
+            return queries.iloc[:0][["point", "features", "home", "bound", "cell"]]
+        limits = (nodes[c].to_numpy()[None, :] for c in ("low", "high"))
+        needed = _within_reach(stacked(queries["features"]), queries["bound"].to_numpy(), stacked(nodes["pivot"]), *limits)
+        which, child = np.nonzero(needed)
+        return sent(queries, which, nodes["child"].to_numpy()[child])
+
+    waiting = queries.withColumnRenamed("cell", "home").mapInPandas(send, schema)
+    away = None
+    for nodes in levels:
+        waiting = materialize(waiting, "sent-down")
+        split = _sent(materialize(nodes.select("cell").distinct(), "split-parents"))
+        at_leaf = waiting.join(split, "cell", "left_anti").select("point", "features", "home", "bound", "cell")
+        away = at_leaf if away is None else away.unionByName(at_leaf)
+        # a cell that is split further on stays in ``waiting`` until its round
+        going = waiting.join(split, "cell", "left_semi")
+        rows, copied = _sliced(going, nodes.select("cell", "child", "pivot", "low", "high"), block_rows)
+        keys = ["cell", "slice"]
+        waiting = rows.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInPandas(send_down, schema)
+    away = waiting if away is None else away.unionByName(waiting)
+    return away.filter(F.col("cell") != F.col("home")).select("point", "features", "cell")
 
 
 def _search(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """The k best points per query and block pair, from tiles of bounded size."""
-    q_counts = {r[0]: r[1] for r in queries.groupBy("cell").count().collect()}
-    c_counts = {r[0]: r[1] for r in candidates.groupBy("cell").count().collect()}
-    top = max([*q_counts, *c_counts], default=0)
-    q_counts.setdefault(top, 1), c_counts.setdefault(top, 1)
+    """The k best points per query and block pair, from tiles of bounded size. Both sides are stored tables."""
+    sizes = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("qblocks")).join(
+        candidates.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("cblocks")), "cell"
+    )
+    side = _sent(materialize(sizes, "cell-blocks"))
 
     # new column identities: both sides of the cogroup may come from one table
-    def spread(df: DataFrame, own: dict, other: dict, own_name: str, other_name: str) -> DataFrame:
-        return df.withColumn(
-            own_name, F.pmod(F.xxhash64("point"), _blocks(df, own, block_rows)).cast("int")
-        ).withColumn(other_name, F.explode(F.sequence(F.lit(0), _blocks(df, other, block_rows) - 1)))
+    def spread(df: DataFrame, own: str, other: str) -> DataFrame:
+        return (
+            df.join(side, "cell")
+            .withColumn(f"{own}block", F.pmod(F.xxhash64("point"), F.col(f"{own}blocks")).cast("int"))
+            .withColumn(f"{other}block", F.explode(F.expr(f"sequence(0, {other}blocks - 1)")))
+            .drop("qblocks", "cblocks")
+        )
 
     keys = ["cell", "qblock", "cblock"]
     kind = candidates.schema["point"].dataType.simpleString()
     ids_type = "object" if kind == "string" else "int64"
-    left = spread(queries.select("point", "features", "cell"), q_counts, c_counts, "qblock", "cblock")
+    left = spread(queries.select("point", "features", "cell"), "q", "c")
     renamed = candidates.select(*[F.col(c).alias(c) for c in ("point", "features", "cell")])
-    right = spread(renamed, c_counts, q_counts, "cblock", "qblock")
+    right = spread(renamed, "c", "q")
 
     def tile(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         found = {"point": [], "other": [], "squared": []}
@@ -193,6 +288,7 @@ def nearest_neighbours(
     wanted: Column | None = None,
     block_rows: int = BLOCK_ROWS,
     max_pivots: int = MAX_PIVOTS,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """The k nearest other rows of each row: ``key`` and ``neighbours``, an array of
     (squared, id, class) ascending; ties go to the smaller id.
@@ -230,14 +326,17 @@ def nearest_neighbours(
     if not pivot_rows:
         return in_crowd.withColumnRenamed("id", key)
     pivots = np.array([r[0] for r in pivot_rows], dtype="float64")
-    cells = materialize(_assign_cells(points.select("point", "features"), pivots), "cells")
+    top = materialize(_assign_cells(points.select("point", "features"), pivots), "cells")
+    cells, levels = _split_cells(top, block_rows, fanout)
     queries = cells.join(singles.select("point").distinct(), "point", "left_semi")
+    queries = materialize(queries.select("point", "features", "cell"), "queries")
     near_home = materialize(_search(queries, cells, k, block_rows), "near-home")
     reach = _best(near_home, k).groupBy("point").agg(
         F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("squared"))).alias("bound")
     )
     bounded = queries.join(reach, "point", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    away = materialize(_send_to_cells(bounded, pivots, _cell_radii(cells, len(pivots))), "away")
+    sent = _send_to_cells(bounded, pivots, _cell_radii(top, len(pivots)), levels, block_rows)
+    away = materialize(sent, "away")
     best = _best(near_home.unionByName(_search(away, cells, k, block_rows)), k)
     members = points.select(F.col("point").alias("other"), F.col("members").alias("others"))
     listed = (

@@ -96,3 +96,60 @@ def test_text_keys(spark):
     marked = spark.createDataFrame([(i, x, c, 1) for i, x, c in rows], "id string, v array<double>, predictions int, target_encoded int")
     wrong = {r["id"]: r["n_correct"] for r in nb.error_distance(marked, "id", "v").collect()}
     assert wrong == {i: sum(c == 1 for *_, c in rows) for i, _, c in rows if c == 0}
+
+
+def clustered(n, seed=8):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 100, (6, 3))
+    x = centres[rng.integers(6, size=n)] + rng.normal(0, 1, (n, 3))
+    return [(i, list(map(float, v)), int(rng.integers(2))) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("k,block,pivots,fanout", [(2, 16, 3, 4), (1, 8, 1, 2), (3, 25, 5, 64)])
+def test_cells_are_split_until_they_fit_a_block(spark, monkeypatch, k, block, pivots, fanout):
+    """Several levels of pivots, leaves of at most a block, and the neighbours of brute force."""
+    rows = clustered(400) + make(3, 5, 40)
+    rows = [(i, x, c) for i, (_, x, c) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, c int")
+    seen = []
+    split = nb._split_cells
+
+    def watched(cells, block_rows, fan):
+        leaves, levels = split(cells, block_rows, fan)
+        seen.append((max(r["count"] for r in leaves.groupBy("cell").count().collect()), len(levels)))
+        return leaves, levels
+
+    monkeypatch.setattr(nb, "_split_cells", watched)
+    monkeypatch.setattr(nb, "MOST_SENT", 0)  # joins by shuffle, as for many cells
+    found = nb.nearest_neighbours(df, "id", "v", "c", k, block_rows=block, max_pivots=pivots, fanout=fanout).collect()
+    want = brute(rows, k)
+    assert {r["id"]: [(n["id"], n["class"]) for n in r["neighbours"]] for r in found} == {
+        i: [n[1:] for n in ns] for i, ns in want.items()
+    }
+    (largest, levels), = seen
+    assert largest <= block and levels >= (1 if fanout > block else 2)
+
+
+def test_work_per_point_stays_flat_as_clusters_grow(spark, monkeypatch):
+    """Compared pairs per point, which a fixed number of pivots would double with the points."""
+
+    def pairs_per_point(n, depth):
+        monkeypatch.setattr(nb, "MAX_DEPTH", depth)
+        total = []
+        search = nb._search
+
+        def counted(queries, candidates, k, block_rows):
+            a = queries.groupBy("cell").count().withColumnRenamed("count", "a")
+            b = candidates.groupBy("cell").count().withColumnRenamed("count", "b")
+            total.append(a.join(b, "cell").selectExpr("coalesce(sum(a * b), 0) AS n").first()["n"])
+            return search(queries, candidates, k, block_rows)
+
+        with monkeypatch.context() as m:
+            m.setattr(nb, "_search", counted)
+            df = spark.createDataFrame(clustered(n), "id long, v array<double>, c int")
+            nb.nearest_neighbours(df, "id", "v", "c", 2, block_rows=64, max_pivots=6, fanout=8).count()
+        return sum(total) / n
+
+    few, many = pairs_per_point(2400, 32), pairs_per_point(4800, 32)
+    assert many < 1.3 * few
+    assert pairs_per_point(4800, 0) > 5 * many  # the first pivots alone
