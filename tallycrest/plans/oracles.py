@@ -365,6 +365,12 @@ FROM labels JOIN documents USING (doc_id)"""
 PARTS["outcomes"] = """
 SELECT *, CASE WHEN target_encoded = predictions THEN 'correct_' ELSE 'incorrect_' END || predictions AS outcome
 FROM predictions"""
+PARTS["score_predictions"] = """
+SELECT predictions.*, rfm_score, frequency_score, monetary_score
+FROM predictions LEFT JOIN (SELECT customer_id, rfm_score, frequency_score, monetary_score FROM scored) USING (customer_id)"""
+PARTS["score_outcomes"] = """
+SELECT *, CASE WHEN target_encoded = predictions THEN 'correct_' ELSE 'incorrect_' END || predictions AS outcome
+FROM score_predictions"""
 PARTS["spans"] = """
 SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders"""
 PARTS["cutoffs"] = """
@@ -412,6 +418,9 @@ PARTS["box_long"] = _long("sector_totals", ["recency", "frequency", "monetary"],
 PARTS["box_quartiles"] = """
 SELECT sector, metric, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2,
        quantile_cont(value, 0.75) AS q3 FROM box_long GROUP BY 1, 2"""
+PARTS["outcome_long"] = "SELECT * FROM (" + _long(
+    "score_outcomes", ["rfm_score", "frequency_score", "monetary_score"], "outcome") + ") WHERE value IS NOT NULL"
+PARTS["outcome_quartiles"] = PARTS["box_quartiles"].replace("sector", "outcome").replace("box_long", "outcome_long")
 PARTS["scored_rfm"] = "SELECT frequency, recency, monetary, qty, rfm_score FROM scored"
 
 SQL: dict[str, str] = {}
@@ -622,6 +631,9 @@ SELECT sector, metric, count(*) AS n, round(max(q1), 4) AS q25, round(max(q2), 4
   round(max(value) FILTER (WHERE value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS high_whisker,
   count(*) FILTER (WHERE NOT value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
 FROM box_long JOIN box_quartiles USING (sector, metric) GROUP BY 1, 2"""
+SQL["score_boxes_by_outcome"] = (
+    SQL["box_summary"].replace("sector", "outcome").replace("box_long", "outcome_long")
+    .replace("box_quartiles", "outcome_quartiles"))
 SQL["confusion_split"] = "SELECT customer_id, outcome FROM outcomes"
 SQL["confusion_prob_stats"] = """
 SELECT outcome, count(*) AS n, round(avg(probability), 6) AS mean, round(stddev_samp(probability), 6) AS std
@@ -660,7 +672,7 @@ SQL["t_test_bonferroni"] = " UNION ALL ".join(
         f"avg({c}) FILTER (WHERE target_encoded {op} predictions) AS m{i}, "
         f"var_samp({c}) FILTER (WHERE target_encoded {op} predictions) AS v{i}"
         for i, op in ((1, "<>"), (2, "=")))
-    + " FROM predictions)" for c in ("qty", "probability"))
+    + " FROM score_predictions)" for c in ("rfm_score", "frequency_score", "monetary_score", "qty"))
 SQL["mann_whitney"] = """
 SELECT metric, n1 AS size_1, n2 AS size_2, r1 - n1 * (n1 + 1) / 2.0 AS u,
   round((greatest(r1 - n1 * (n1 + 1) / 2.0, n1 * n2 - (r1 - n1 * (n1 + 1) / 2.0)) - n1 * n2 / 2.0 - 0.5)
@@ -681,8 +693,8 @@ FROM (SELECT metric, r1 - n1 * (n1 + 1) / 2.0 AS u,
   (greatest(r1 - n1 * (n1 + 1) / 2.0, n1 * n2 - (r1 - n1 * (n1 + 1) / 2.0)) - n1 * n2 / 2.0 - 0.5)
         / sqrt(n1 * n2 / 12.0 * ((n + 1) - ties / (n * (n - 1.0)))) AS z FROM mw_sums)""")
 SQL["t_test_p_values"] = (
-    "SELECT feature, n1, n2, round(t, 6) AS t, round(p, 6) AS p, round(least(1.0, 2 * p), 6) AS p_corrected, "
-    "least(1.0, 2 * p) < 0.05 AS significant FROM (SELECT *, 1 - 2 * "
+    "SELECT feature, n1, n2, round(t, 6) AS t, round(p, 6) AS p, round(least(1.0, 4 * p), 6) AS p_corrected, "
+    "least(1.0, 4 * p) < 0.05 AS significant FROM (SELECT *, 1 - 2 * "
     + _SIMPSON.format(
         density="exp(lgamma((f + 1) / 2.0) - lgamma(f / 2.0)) / sqrt(f * pi()) "
         "* (1 + (abs(t) * i / 4000.0) ** 2 / f) ** (-(f + 1) / 2.0)", upper="abs(t)")
@@ -708,7 +720,30 @@ WHERE year_id = t OR (year_id < t AND year_id >= 1998 AND lagged_quota_std <> 0
 SQL["write_overwrite_append"] = f"""
 SELECT * FROM ({SQL["customer_revenue"]}) UNION ALL SELECT * FROM ({SQL["customer_revenue"]})"""
 SQL["csv_round_trip"] = SQL["customer_revenue"]
-SQL["clear_table"] = f"SELECT * FROM ({SQL['customer_revenue']}) WHERE false"
+SQL["clear_table"] = f"""
+SELECT count(*) AS rows_before, max(customer_id) AS last_before, CAST(0 AS BIGINT) AS rows_after,
+       'customer_id bigint, eur double' AS columns_after FROM ({SQL["customer_revenue"]})"""
+SQL["training_table_stored"] = SQL["training_table"]
+SQL["inference_table_stored"] = SQL["inference_table"]
+SQL["purchase_diversity_merged"] = SQL["purchase_diversity"]
+SQL["csv_quarantine"] = f"""
+SELECT count(*) FILTER (WHERE NOT broken) AS n_good,
+       round(CAST(sum(CAST(round(eur, 2) AS DECIMAL(18,4))) FILTER (WHERE NOT broken) AS DOUBLE), 2) AS eur,
+       count(*) FILTER (WHERE broken) AS n_bad, count(*) FILTER (WHERE customer_id % 7 = 0) AS n_words,
+       CAST(0 AS BIGINT) AS n_without_reason
+FROM (SELECT *, customer_id % 7 = 0 OR customer_id % 11 = 0 AS broken FROM ({SQL["customer_revenue"]}))"""
+SQL["rfm_approx"] = """
+SELECT metric, prob, (SELECT count(*) FROM totals) AS n, true AS within
+FROM (SELECT 'frequency' AS metric, unnest([0.0, 0.2, 0.4, 0.6000000000000001, 0.8, 1.0]::DOUBLE[]) AS prob
+      UNION ALL SELECT m, unnest([0.0, 0.25, 0.5, 0.75, 1.0]::DOUBLE[]) FROM (VALUES ('recency'), ('monetary')) t(m))"""
+SQL["run_log_history"] = """
+SELECT TIMESTAMP '2002-01-01' + to_days(CAST(fold AS INTEGER)) AS training_date, round(a, 6) AS accuracy,
+       round(f, 6) AS f1_score, round(a - lag(a) OVER (ORDER BY fold), 6) AS change,
+       round(max(a) OVER (ORDER BY fold), 6) AS best_so_far
+FROM (SELECT customer_id % 5 AS fold, avg(CASE WHEN target_encoded = predictions THEN 1.0 ELSE 0.0 END) AS a,
+             coalesce(2.0::DOUBLE * count(*) FILTER (WHERE predictions = 1 AND target_encoded = 1)
+               / nullif(count(*) FILTER (WHERE predictions = 1) + count(*) FILTER (WHERE target_encoded = 1), 0), 0) AS f
+      FROM predictions GROUP BY 1)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import argmax_name, money_sum
-from tallycrest.operators import binning, distances, evaluate, explore, folds, neighbours, scaling
+from tallycrest.operators import binning, distances, evaluate, explore, folds, neighbours, scaling, sketches
 from tallycrest.operators import customers as cu
 from tallycrest.operators import quota_rules as rules
 from tallycrest.operators import reps
@@ -102,6 +102,15 @@ def purchase_diversity(v: TestViews) -> DataFrame:
     return cu.purchase_diversity(shipments(v, "customer_id", "egroup"))
 
 
+@query
+def purchase_diversity_merged(v: TestViews) -> DataFrame:
+    """Product groups per customer from states kept by customer and month."""
+    lines = shipments(v, "customer_id", "egroup").filter(F.col("customer_id").isNotNull())
+    monthly = lines.withColumn("month", F.trunc("order_date", "MM"))
+    states = v.stored("group-states", lambda: sketches.distinct_states(monthly, "egroup", ["customer_id", "month"]))
+    return sketches.merged_distinct(states, ["customer_id"], "purchase_diversity")
+
+
 @query
 def opportunity_by_account(v: TestViews) -> DataFrame:
     return cu.opportunity_by_account(v.opportunity())
@@ -390,6 +399,32 @@ def _rfm(v: TestViews) -> DataFrame:
     )
 
 
+@query
+def rfm_approx(v: TestViews) -> DataFrame:
+    """Edges of the score bins from states kept by month of the last order, held against the exact ranks:
+    ``within`` is true if the edge's rank is no further off than ``sketches.rank_error``."""
+    rows = v.stored("rfm-customers", lambda: _rfm(v).withColumn("month", F.trunc("order_date", "MM")))
+    columns = list(cu.RFM_BINS)
+    states = v.stored("rfm-states", lambda: sketches.quantile_states(rows, columns, ["month"]))
+    probs = {c: binning.bin_probs(q) for c, q in cu.RFM_BINS.items()}
+    edges = sketches.merged_quantiles(states, probs)
+    named = [
+        F.struct(F.lit(c).alias("metric"), F.lit(float(p)).alias("prob"), F.col(c)[i].alias("edge"))
+        for c, shares in probs.items() for i, p in enumerate(shares)
+    ]
+    wanted = edges.select(F.inline(F.array(*named)))
+    # one row for each edge: broadcast
+    values = rows.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in columns]).unpivot([], columns, "metric", "value")
+    counted = values.join(F.broadcast(wanted), "metric").groupBy("metric", "prob").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("value") < F.col("edge")).alias("below"),
+        F.count_if(F.col("value") <= F.col("edge")).alias("upto"),
+    )
+    error = sketches.rank_error()
+    within = (F.col("below") / F.col("n") - error <= F.col("prob")) & (F.col("upto") / F.col("n") + error >= F.col("prob"))
+    return counted.select("metric", "prob", "n", within.alias("within"))
+
+
 @query
 def outliers_z(v: TestViews) -> DataFrame:
     kept = scaling.drop_outliers_z(_rfm(v), ["frequency", "monetary"], 2.0)
@@ -605,20 +640,36 @@ def forecast_bands(v: TestViews) -> DataFrame:
     return rounded(evaluate.forecast_bands(_forecasts(v)), 6, "mean_error_below_70")
 
 
-TESTED = ["qty", "probability"]
+SCORES = ["rfm_score", "frequency_score", "monetary_score"]
+
+
+def _scored_predictions(v: TestViews) -> DataFrame:
+    """Predictions with the customer's three scores (null for those without shipments)."""
+    return v.predictions().join(rfm(v).select("customer_id", *SCORES), "customer_id", "left")
+
+
+@query
+def score_boxes_by_outcome(v: TestViews) -> DataFrame:
+    """Box tables of the scores, of rightly and wrongly predicted customers of each class."""
+    rows = evaluate.with_outcome(_scored_predictions(v)).select("outcome", *SCORES)
+    table = explore.box_summary(rows, SCORES, "outcome")
+    return rounded(table, 4, "q25", "q50", "q75", "low_whisker", "high_whisker")
+
+
+TESTED = [*SCORES, "qty"]
 RANKED = ["monetary", "frequency", "recency", "qty", "rfm_score"]
 
 
 @query
 def t_test_bonferroni(v: TestViews) -> DataFrame:
     wrong = F.col("predictions") != F.col("target_encoded")
-    return rounded(evaluate.t_statistics(v.predictions(), TESTED, wrong, ~wrong), 6, "t")
+    return rounded(evaluate.t_statistics(_scored_predictions(v), TESTED, wrong, ~wrong), 6, "t")
 
 
 @query
 def t_test_p_values(v: TestViews) -> DataFrame:
     wrong = F.col("predictions") != F.col("target_encoded")
-    return rounded(evaluate.t_test_bonferroni(v.predictions(), TESTED, wrong, ~wrong), 6, "t", "p", "p_corrected")
+    return rounded(evaluate.t_test_bonferroni(_scored_predictions(v), TESTED, wrong, ~wrong), 6, "t", "p", "p_corrected")
 
 
 @query
@@ -784,11 +835,86 @@ def csv_round_trip(v: TestViews) -> DataFrame:
 
 @query
 def clear_table(v: TestViews) -> DataFrame:
-    """A written table after its rows were removed: the schema stays."""
+    """A written table before and after its rows were removed: the columns stay."""
     path = f"{scratch_dir(v.spark)}/cleared-{uuid.uuid4().hex}"
     sinks.write_table(customer_revenue(v), path)
+    before = v.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_before"), F.max("customer_id").alias("last_before"))
+    before = v.stored("before-clearing", lambda: before)
     sinks.clear_table(v.spark, path)
-    return v.spark.read.parquet(path)
+    after = v.spark.read.parquet(path)
+    columns = ", ".join(f"{name} {kind}" for name, kind in after.dtypes)
+    counted = after.agg(F.count(F.lit(1)).alias("rows_after")).withColumn("columns_after", F.lit(columns))
+    return before.crossJoin(counted)  # one row each
+
+
+#: Partitions of the stored tables.
+LABEL_YEARS = (CURRENT_YEAR - 1, CURRENT_YEAR)
+
+
+def _kept_by_year(v: TestViews, table: DataFrame, name: str) -> DataFrame:
+    """A table kept by label year: both years written, then the last one alone again, and that one read."""
+    path = f"{scratch_dir(v.spark)}/{name}-{uuid.uuid4().hex}"
+    for year in (*LABEL_YEARS, CURRENT_YEAR):
+        sinks.write_partitions(table.withColumn("label_year", F.lit(year)), path, ["label_year"])
+    schema = ", ".join(f"{c} {kind}" for c, kind in [*table.dtypes, ("label_year", "int")])
+    return tables.read_partitions(v.spark, path, schema, label_year=CURRENT_YEAR)
+
+
+@query
+def training_table_stored(v: TestViews) -> DataFrame:
+    """The training table of the current year, from the table kept by year."""
+    return _kept_by_year(v, v.stored("training", lambda: training_table(v)), "training-by-year").drop("label_year")
+
+
+@query
+def inference_table_stored(v: TestViews) -> DataFrame:
+    """The rows to score of the current year, from the table kept by year."""
+    return _kept_by_year(v, v.stored("inference", lambda: inference_table(v)), "inference-by-year").drop("label_year")
+
+
+@query
+def csv_quarantine(v: TestViews) -> DataFrame:
+    """Revenue lines as a CSV in which some amounts are words and some lines lack a field: what is read, and what is
+    kept aside."""
+    folder = f"{scratch_dir(v.spark)}/lines-{uuid.uuid4().hex}"
+    key, eur = F.col("customer_id"), F.format_string("%.2f", "eur")
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", key, F.lit("unknown")))
+        .when(key % 11 == 0, key.cast("string"))
+        .otherwise(F.concat_ws(",", key, eur))
+    )
+    customer_revenue(v).select(line.alias("value")).write.text(f"{folder}/csv")
+    # the folder has no header line
+    good, bad = tables.read_csv_checked(v.spark, f"{folder}/csv", "customer_id bigint, eur double", header=False)
+    sinks.quarantine(bad, f"{folder}/bad", "does not fit customer_id, eur")
+    kept = v.spark.read.parquet(f"{folder}/bad")
+    kinds = kept.agg(
+        F.count(F.lit(1)).alias("n_bad"), F.count_if(F.col("line").contains("unknown")).alias("n_words"),
+        F.count_if(F.col("reason").isNull()).alias("n_without_reason"),
+    )
+    read = good.agg(F.count(F.lit(1)).alias("n_good"), money_sum("eur").alias("eur"))
+    return read.crossJoin(kinds).select("n_good", F.round("eur", 2).alias("eur"), "n_bad", "n_words", "n_without_reason")
+
+
+@query
+def run_log_history(v: TestViews) -> DataFrame:
+    """Five runs, one for each fold of the predictions, logged one after the other: accuracy over their dates."""
+    path = f"{scratch_dir(v.spark)}/history-{uuid.uuid4().hex}"
+    rows = v.predictions().withColumn("fold", F.col("customer_id") % 5)
+    right = F.when(F.col("target_encoded") == F.col("predictions"), 1.0).otherwise(0.0)
+    hit = F.count_if((F.col("predictions") == 1) & (F.col("target_encoded") == 1))
+    sizes = F.count_if(F.col("predictions") == 1) + F.count_if(F.col("target_encoded") == 1)
+    runs = rows.groupBy("fold").agg(
+        F.avg(right).alias("accuracy"),
+        evaluate.log_loss("target_encoded", "probability").alias("loss"),
+        F.coalesce(F.try_divide(hit * 2.0, sizes * 1.0), F.lit(0.0)).alias("f1_score"),
+    )
+    for run in runs.orderBy("fold").collect():  # one row for each fold
+        when = AS_OF + dt.timedelta(days=int(run["fold"]))
+        summary = v.spark.createDataFrame([run])
+        sinks.append_run_log(v.spark, path, models.run_log_entry(summary, models.MLP_LAYERS[0], 5, when))
+    history = sinks.run_history(sinks.read_run_log(v.spark, path))
+    return rounded(history, 6, "accuracy", "f1_score", "change", "best_so_far")
 
 
 @query

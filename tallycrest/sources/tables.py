@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycrest.functions.columns import money_sum
+from tallycrest.session import materialize
 
 # The columns each pipeline reads, and the CSV layouts.
 SALES_COLUMNS = [
@@ -32,6 +33,34 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: str, header: bool = True, name: str = "csv-lines"
+) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): the rows of a CSV that fit the declared schema, and the lines that do not, as text.
+
+    A line is bad if a field cannot be read as its type or the number of fields differs. Lines are parsed once
+    and stored, so both answers come from one reading.
+    """
+    lines = (
+        spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+        .schema(f"{schema}, {BAD_LINE} string").csv(path)
+    )
+    stored = materialize(lines, name)
+    bad = stored.filter(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
+    return stored.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE), bad
+
+
+def read_partitions(spark: SparkSession, path: str, schema: str | None = None, **partition: object) -> DataFrame:
+    """A table kept by partition; ``partition`` names the values wanted, and no other folders are read."""
+    table = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    for name, value in partition.items():
+        table = table.filter(F.col(name) == F.lit(value))
+    return table
+
+
 def jdbc_options(
     url: str,
     table: str,
