@@ -83,7 +83,7 @@ def test_top_k_of_odd_vectors(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(300)]
     vectors += [(400, [0.1] * 8), (401, [0.1] * 8), (402, []), (403, [0.5]), (404, None), (405, [None] * 8)]
-    vectors += [(406, [float("nan")] * 8), (407, [float("inf")] * 8), (None, [0.1] * 8), (408, [1e30] * 8), (100, [0.3] * 8)]
+    vectors += [(406, [float("nan")] * 8), (407, [float("inf")] * 8), (None, [0.1] * 8), (408, [2.0**40] * 8), (100, [0.3] * 8)]
     df = spark.createDataFrame([(*v, "x") for v in vectors], "vec_id long, embedding array<float>, score string")
     usable = topk.integer_vectors(df)
     known = [(r["id"], r["v"]) for r in usable.collect()]

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tallycrest.llm import filter_audit, jaccard, simhash, treap
+from tallycrest.llm import filter_audit, jaccard, simhash, topk, treap
 from tallycrest.llm import queries as corpus
 from tallycrest.llm.common import join_groups
 
@@ -314,3 +314,40 @@ def test_a_place_of_many_sizes_and_one_hot_size(spark, monkeypatch):
     for r in got:
         sizes.setdefault(r["block"], []).append(r["n"])
     assert max(map(len, sizes.values())) <= 30 and len(sizes) >= 10
+
+
+# exact scores of large components
+
+
+def test_top_k_of_large_components_is_exact(spark):
+    """Integers beyond 64 bits on the way decide order and ties; only a result that does not fit a long is an error."""
+    big = 2.0**21
+    vectors = [(50, [big]), (1, [big]), (2, [2 * big]), (3, [-1.0]), (4, [1e30, 1.0]), (100, [0.0, 2.0**-8]), (5, [0.0, 2.0**52 + 0.5])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    usable = topk.integer_vectors(df)
+    exact = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    assert {r["id"]: [int(x) for x in r["v"]] for r in usable.collect()} == exact
+    fitting = usable.filter("id <> 4")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(fitting.filter("id % 50 = 0"), fitting, 5).collect()]
+    want = []
+    for q in (50, 100):
+        scores = sorted((-sum(a * b for a, b in zip(exact[q], v, strict=False)), i) for i, v in exact.items() if i not in (q, 4))
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:5], 1)]
+    assert sorted(got) == want and (50, 1, 2, 2**59) in got and (50, 2, 1, 2**58) in got
+    # vector 4 takes part where its scores fit, and is an error where one that does not is among the best
+    other = topk.top_k(usable.filter("id = 100"), usable, 5).filter("vec_id = 4").collect()
+    assert [r["score"] for r in other] == [256]
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(usable.filter("id = 50"), usable, 5).collect()
+
+
+def test_top_k_of_many_dimensions_does_not_overflow():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(-(1 << 31), 1 << 31, (300, 512)).astype(np.float64)
+    assert topk.largest_sum(rows, rows) >= topk.SAFE
+    whole = topk.whole_numbers(rows, True)
+    shard = topk.Shard(np.arange(300), whole)
+    for q in (0, 7):
+        want = sorted((-sum(a * b for a, b in zip(whole[q], r, strict=True)), i) for i, r in enumerate(whole) if i != q)[:5]
+        at, score = shard.search(q, whole[q], 5, None)
+        assert [(-s, i) for i, s in zip(at.tolist(), score, strict=True)] == want
