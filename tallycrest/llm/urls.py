@@ -119,8 +119,8 @@ def suffix_statistics(pages: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
     """``pages`` with host, path, rule, verdict and ``block_score`` (null where a rule decides).
 
-    About ``sample`` URLs of each verdict, chosen by hash, train the trees; suffix statistics
-    are taken over all pages. If the rules give only one verdict, it is everyone's; without any
+    About ``sample`` different URLs of each verdict, chosen by hash, train the trees; c copies of a URL weigh
+    1 + ln c. Suffix statistics are taken over all pages. If the rules give only one verdict, it is everyone's; without any
     labelled URL all others are allowed. Null and odd URLs have empty host and path, no rule, and
     are scored like others. Repeated rows are judged each; columns of ``pages`` that clash with
     an added one are replaced.
@@ -128,26 +128,35 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: in
     added = ("host", "path", "rule", "listed", "verdict", "block_score", "suffix", "_x", *FEATURES)
     pages = match_rules(parts(pages.drop(*added)), rules)
     suffixes = materialize(suffix_statistics(pages.select("host", "listed")), "url-suffixes")
+    draw = F.pmod(F.xxhash64("url"), F.lit(1 << 30)).cast("double") / (1 << 30)
+    # copies of a URL are one row, so that none is a large share of the sample
+    known = (
+        pages.filter("listed IS NOT NULL").groupBy("url")
+        .agg(*[F.first(c).alias(c) for c in ("host", "path", "listed")], F.count(F.lit(1)).alias("copies"))
+        .withColumn("draw", draw)
+    )
     counts = {
-        r["listed"]: r["n"]
-        for r in pages.filter("listed IS NOT NULL").groupBy("listed").agg(F.count(F.lit(1)).alias("n")).collect()
+        r["listed"]: (r["n"], r["least"])
+        for r in known.groupBy("listed").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
     }
     if len(counts) < 2:
         only = next(iter(counts), "allow")
         return pages.withColumn("verdict", F.coalesce("listed", F.lit(only))).withColumn(
             "block_score", F.lit(None).cast("double")
         ).drop("listed")
-    draw = F.pmod(F.xxhash64("url"), F.lit(1 << 30)).cast("double") / (1 << 30)
-    share = F.lit(0.0)
-    for verdict, n in counts.items():
-        share = F.when(F.col("listed") == verdict, min(1.0, sample / n)).otherwise(share)
+    limit = F.lit(0.0)
+    for verdict, (n, least) in counts.items():  # at least the URL of the smallest draw
+        limit = F.when(F.col("listed") == verdict, max(sample / n, least)).otherwise(limit)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_x")
-    labelled = features(pages.filter("listed IS NOT NULL").filter(draw < share).select("url", "host", "path", "listed"), suffixes)
+    chosen = known.filter(F.col("draw") <= limit).select("url", "host", "path", "listed", "copies")
     train = materialize(
-        labelled.select(*FEATURES, (F.col("listed") == "block").cast("double").alias("label")), "url-sample"
+        features(chosen, suffixes).select(
+            *FEATURES, (F.col("listed") == "block").cast("double").alias("label"), (1 + F.log("copies")).alias("weight")
+        ),
+        "url-sample",
     )
     model: GBTClassificationModel = GBTClassifier(
-        featuresCol="_x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED
+        featuresCol="_x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED
     ).fit(assembler.transform(train))
     model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_p")
     scored = model.transform(assembler.transform(features(pages, suffixes)))

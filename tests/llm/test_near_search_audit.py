@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tallycrest.llm import filter_audit, jaccard, simhash, topk, treap
+from tallycrest.llm import filter_audit, jaccard, simhash, topk, treap, urls
 from tallycrest.llm import queries as corpus
 from tallycrest.llm.common import join_groups
 
@@ -351,3 +351,37 @@ def test_top_k_of_many_dimensions_does_not_overflow():
         want = sorted((-sum(a * b for a, b in zip(whole[q], r, strict=True)), i) for i, r in enumerate(whole) if i != q)[:5]
         at, score = shard.search(q, whole[q], 5, None)
         assert [(-s, i) for i, s in zip(at.tolist(), score, strict=True)] == want
+
+
+# URLs
+
+
+def test_hot_labelled_urls_train_with_the_others(spark):
+    """Two URLs of many copies are two rows of the sample, whatever its size."""
+    rows = ["http://a.com/x"] * 30 + ["http://b.net/es/1"] * 30 + ["http://c.org/es/2", "http://d.org/x"]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    for sample in (1, 50_000):
+        got = urls.judge(df, sample=sample).collect()
+        assert len(got) == 62 and {r["verdict"] for r in got} <= {"allow", "block"}
+    mixed = rows + [f"http://n{i}.net/es/{i}" for i in range(40)] + [f"http://n{i}.com/about-{i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(mixed)), "page_id long, url string")
+    got = {r["url"]: r["verdict"] for r in urls.judge(df, sample=20).collect()}
+    assert got["http://a.com/x"] == "allow" and got["http://b.net/es/1"] == "block"
+    assert got["http://c.org/es/2"] == "block"
+
+
+def test_lexical_features_equal_plain_ones(spark):
+    given = ["http://a.com/x/y?a=1&b=2", "h://B.Net/es/", "http://x9.org", "http://é.net/ü/%20?q=1#f", "://com//", None, "7://1.2.3.4/5"]
+    df = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    parsed = urls.match_rules(urls.parts(df), urls.RULES)
+    stats = urls.suffix_statistics(parsed.select("host", "listed"))
+    for r in urls.features(parsed, stats).collect():
+        url = r["url"] or ""
+        size = max(1, len(url))
+        assert r["url_length"] == size and r["host_length"] == len(r["host"]) and r["path_length"] == len(r["path"])
+        assert r["host_depth"] == r["host"].count(".") and r["path_depth"] == r["path"].count("/")
+        assert r["digit_ratio"] == pytest.approx(len(re.findall("[0-9]", url)) / size)
+        assert r["hyphens"] == r["host"].count("-")
+        counts = Counter(url)
+        entropy = -sum(n / len(url) * math.log2(n / len(url)) for n in counts.values())
+        assert r["entropy"] == pytest.approx(entropy, abs=1e-9)
