@@ -11,6 +11,7 @@ from tallycrest.operators import reps
 from tallycrest.operators.binning import one_hot
 from tallycrest.operators.ranking import attach_row
 from tallycrest.operators.scaling import minmax
+from tallycrest.session import materialize
 
 LAGS = {
     "eur": "lagged_eur", "amount": "lagged_quota", "monetary": "lagged_monetary", "frequency": "lagged_frequency",
@@ -40,8 +41,10 @@ def train_features(
     filled = reps.fill_by_rep_mean(base, ["eur", "monetary", "frequency"])
     lagged = reps.add_spread(reps.lag_year(filled, LAGS))
     features = lagged.drop("eur", "fact_entity", "sales_name", "leads", "opportunity_amount").fillna(0)
+    # scaling reads its input twice: for the ranges and for the rows
+    rows = materialize(one_hot(features, "master_sector", sectors).drop("master_sector"), "train-features")
     # a column of one value has no scale; its share counts as 0
-    return minmax(one_hot(features, "master_sector", sectors).drop("master_sector"), TRAIN_SCALED).fillna(0)
+    return minmax(rows, TRAIN_SCALED).fillna(0)
 
 
 def infer_features(
@@ -74,7 +77,7 @@ def infer_features(
         .withColumn("eur", F.abs("eur"))
     )
     with_backlog = known.join(reps.backlog_by_rep_month(ahead), reps.KEYS, "left")
-    scaled = minmax(with_backlog, list(INFER_SCALED), "_scaled")
+    scaled = minmax(materialize(with_backlog, "infer-features"), list(INFER_SCALED), "_scaled")
     named = scaled.withColumnsRenamed({f"{c}_scaled": name for c, name in INFER_SCALED.items()})
     flagged = one_hot(named, "master_sector", sectors)
     return flagged.drop("monetary", "frequency", "historical_mean", "spread", "partial_win_rate", "backlog").fillna(0)
