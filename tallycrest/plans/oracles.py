@@ -717,6 +717,20 @@ SQL["backtest_splits"] = """
 SELECT CAST(t AS INTEGER) AS test_year, CASE WHEN year_id = t THEN 'test' ELSE 'train' END AS role, sales_id, year_id, month
 FROM train, (VALUES (1999), (2000), (2001)) y(t)
 WHERE year_id = t OR (year_id < t AND year_id >= 1998 AND lagged_quota_std <> 0 AND lagged_eur_std <> 0)"""
+SQL["churn_report_checked"] = """
+SELECT CAST(target_encoded AS INTEGER) AS class, count(*) AS support, true AS shares FROM training GROUP BY 1"""
+SQL["score_customers_checked"] = """
+SELECT customer_id, CASE customer_type WHEN 'CP' THEN 'customer_cp' WHEN 'KA' THEN 'customer_ka' ELSE 'customer_aol' END
+         AS customer_type, round(qty) AS qty, label, true AS sure
+FROM features"""
+SQL["quota_backtest_checked"] = """
+SELECT CAST(year_id AS INTEGER) AS test_year, sales_id, year_id, month, round(amount, 2) AS y_true, true AS fits
+FROM train WHERE year_id IN (1999, 2000, 2001)"""
+SQL["quota_predictions_checked"] = """
+SELECT sales_id, year_id, month, round(amount, 2) AS current_year_quota, growth_potential,
+       CAST(CASE growth_potential WHEN 'High' THEN 1.4 WHEN 'Medium' THEN 1.2 ELSE 1.0 END AS DOUBLE) AS weight,
+       amount = 0 OR eur = 0 AS inactive_or_no_quota
+FROM infer"""
 SQL["write_overwrite_append"] = f"""
 SELECT * FROM ({SQL["customer_revenue"]}) UNION ALL SELECT * FROM ({SQL["customer_revenue"]})"""
 SQL["csv_round_trip"] = SQL["customer_revenue"]

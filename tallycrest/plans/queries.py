@@ -810,6 +810,46 @@ def quota_predictions(v: TestViews) -> DataFrame:
     return models.quota_predictions(models.load_pair(folder), models.fitting_frame(_infer(v), "quota-infer"))
 
 
+# --- what SQL can know of the models' results ---------------------------------------
+
+
+def _shares(*columns: str):
+    """True where all columns are from 0 to 1."""
+    return F.forall(F.array(*columns), lambda x: (x >= 0) & (x <= 1))
+
+
+@query
+def churn_report_checked(v: TestViews) -> DataFrame:
+    """The report's supports by class, and whether its metrics are shares."""
+    report = churn_gbt_report(v)
+    return report.select("class", "support", _shares("precision", "recall", "f1", "accuracy").alias("shares"))
+
+
+@query
+def score_customers_checked(v: TestViews) -> DataFrame:
+    """Scored customers without the model's numbers: units and types restored, a class and its probability given."""
+    sure = F.col("predictions").isin(0, 1) & F.col("probability").between(0.5, 1.0)
+    return score_customers(v).select("customer_id", "customer_type", F.round("qty").alias("qty"), "label", sure.alias("sure"))
+
+
+@query
+def quota_backtest_checked(v: TestViews) -> DataFrame:
+    """Back-test rows with the actual amounts, and whether the stated error follows from the prediction."""
+    actual, error = F.col("y_true"), F.col("percentage_error")
+    wanted = F.abs(F.try_divide(actual - F.col("y_pred"), actual)) * 100
+    fits = F.when(actual == 0, error.isNull() | (error == float("inf"))).otherwise(F.abs(error - wanted) <= 1e-9 * (1 + wanted))
+    return quota_backtest(v).select("test_year", *reps.KEYS, F.round("y_true", 2).alias("y_true"), fits.alias("fits"))
+
+
+@query
+def quota_predictions_checked(v: TestViews) -> DataFrame:
+    """Next year's rows with flags and weights, without the predicted amounts."""
+    return quota_predictions(v).select(
+        *reps.KEYS, F.round("current_year_quota", 2).alias("current_year_quota"), "growth_potential",
+        F.round("growth_adjustment_weight", 1).alias("weight"), "inactive_or_no_quota",
+    )
+
+
 # --- sinks -------------------------------------------------------------------------
 
 
