@@ -394,6 +394,28 @@ def test_contamination(spark, odd, empty):
     assert decontaminate.contamination(empty, benchmark).count() == 0
 
 
+def test_matcher_finds_nested_and_overlapping_blocks():
+    rng = np.random.default_rng(5)
+    for letters, most in (("ab", 16), ("abc", 40)):
+        items = [(str(i), " ".join(rng.choice(list(letters), int(rng.integers(0, most))))) for i in range(60)]
+        matcher = decontaminate.Matcher(items)
+        for _ in range(60):
+            text = " ".join(rng.choice([*letters, "zz"], int(rng.integers(0, 120)), p=[0.9 / len(letters)] * len(letters) + [0.1]))
+            n, hits, names = matcher.scan(text)
+            assert (n, decontaminate.covered(hits), names) == plain_hits(text, items)
+
+
+def test_a_large_benchmark_is_one_scan(spark):
+    words = [f"w{i}" for i in range(5000)]
+    rng = np.random.default_rng(6)
+    items = [(i, " ".join(rng.choice(words, 200))) for i in range(4000)]  # above the 2 MB of earlier automata
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(frame(spark, [(1, items[3999][1]), (2, "w1 " * 50)]), benchmark)
+    assert "Join" not in found._jdf.queryExecution().toString()
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in found.collect()}
+    assert got == {1: (200, ["3999"]), 2: (0, [])}
+
+
 # near copies
 
 
