@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycrest.session import materialize
@@ -44,25 +44,87 @@ NEAR = 80
 SPAN = "struct<start:long,rank:int,stop:long,kind:string>"
 
 
+#: Elements of an array that are added up one by one, and characters of a piece of a text.
+BLOCK, PIECE = 64, 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """For every element of an array of longs (0 or more) the merged elements before it, 0 for the first.
+
+    Blocks are merged first, then their totals in the same way, so the work for an element does not
+    grow with the array (but for the few totals of the last level).
+    """
+
+    def merged(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("long"), merge)
+
+    def before(part: Column) -> Column:
+        return F.transform(part, lambda _, i: merged(F.slice(part, 1, i)))
+
+    if not levels:
+        return before(values)
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * BLOCK + 1, BLOCK))
+
+    def joined(parts: Column) -> Column:
+        return _let(
+            F.transform(parts, merged),
+            lambda totals: F.flatten(
+                F.zip_with(
+                    parts,
+                    _running(totals, merge, levels - 1),
+                    lambda part, so_far: F.transform(before(part), lambda x: merge(so_far, x)),
+                )
+            ),
+        )
+
+    return _let(blocks, joined)
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, stop: Column) -> Column:
+    """Characters start to stop (exclusive, may be past the end) of a text in pieces; reads no other piece."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor(F.greatest(stop - 1, start) / PIECE).cast("int")
+    near = F.array_join(F.transform(F.sequence(first, last), lambda k: F.get(pieces, k)), "")
+    return F.substr(near, (start - first * PIECE + 1).cast("int"), (stop - start).cast("int"))
+
+
 def _found(text: Column, pattern: str) -> Column:
     """start, stop and string of every match, in code points."""
     strings = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    state = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<start:long,stop:long,string:string>>").alias("out"),
-    )
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        stop = start + F.length(part["string"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), part["string"].alias("string"))
-        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def placed(parts: Column) -> Column:
+        widths = F.transform(parts, lambda p: p["gap"] + F.length(p["string"]))
+        starts = _let(widths, lambda w: _running(w, lambda x, y: x + y))
+        return F.zip_with(
+            parts,
+            starts,
+            lambda p, at: F.struct(
+                (at + p["gap"]).alias("start"),
+                (at + p["gap"] + F.length(p["string"])).alias("stop"),
+                p["string"].alias("string"),
+            ),
+        )
 
-    parts = F.zip_with(
-        F.slice(gaps, 1, F.size(strings)), strings, lambda g, s: F.struct(g.alias("gap"), s.alias("string"))
+    parts = _let(
+        strings,
+        lambda found: F.zip_with(
+            F.slice(gaps, 1, F.size(found)),
+            found,
+            lambda g, s: F.struct(F.length(g).cast("long").alias("gap"), s.alias("string")),
+        ),
     )
-    return F.aggregate(parts, state, step, lambda acc: acc["out"])
+    return _let(parts, placed)
 
 
 def _digits(string: Column) -> Column:
@@ -110,55 +172,82 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}0-9@]+"), lambda w: w != "")
 
 
-def _free(text: Column, spans: Column, pattern: str) -> Column:
-    """start, stop, kind (null) of the matches that touch no span, without punctuation at their ends."""
+#: Where a mention comes from: a validated span; a run, or a word outside runs; a longer word.
+SEED, WHOLE, INNER = 0, 1, 2
+
+
+def _candidates(text: Column, pattern: str, level: int) -> Column:
+    """start, stop, kind (null) and level of the matches, without punctuation at their ends."""
     edge = r"[\p{Punct}]"
     named = F.filter(
         _found(text, pattern), lambda m: F.regexp_replace(m["string"], f"^{edge}++|{edge}++$", "").rlike("[0-9@]")
     )
-    trimmed = F.transform(
+    return F.transform(
         named,
         lambda m: F.struct(
             (m["start"] + F.length(F.regexp_extract(m["string"], f"^{edge}*+", 0))).alias("start"),
             (m["stop"] - F.length(F.regexp_extract(m["string"], f"{edge}*$", 0))).alias("stop"),
             F.lit(None).cast("string").alias("kind"),
+            F.lit(level).alias("level"),
         ),
     )
-    return F.filter(trimmed, lambda m: ~F.exists(spans, lambda s: (s["start"] < m["stop"]) & (m["start"] < s["stop"])))
-
 
-def _mentions(text: Column, spans: Column, whole: Column) -> Column:
-    """Seeds and other identifier-like strings: start, stop, string, kind (null: unknown), patterns.
 
-    ``whole``: runs, and words outside them. ``spans`` and ``whole`` are columns, or each word
-    would search the text again. The first word of a run has the run's context, and is no
-    mention of its own.
-    """
-    inner = F.filter(_free(text, spans, LONG), lambda m: ~F.exists(whole, lambda w: w["start"] == m["start"]))
+def _mentions(text: Column) -> Column:
+    """Seeds and identifier-like strings: start, stop, kind (null: unknown), level, string, patterns."""
     seeds = F.transform(
-        spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))
+        base_spans(text),
+        lambda s: F.struct(
+            s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"), F.lit(SEED).alias("level")
+        ),
     )
+    found = F.concat(seeds, _candidates(text, f"{RUN}|{TOKEN}", WHOLE), _candidates(text, LONG, INNER))
 
-    def described(m: Column) -> Column:
-        low = F.greatest(m["start"] - NEAR, F.lit(0).cast("long"))
-        before = _words(F.substr(text, (low + 1).cast("int"), (m["start"] - low).cast("int")))
-        after = _words(F.substr(text, (m["stop"] + 1).cast("int"), F.lit(NEAR)))
-        left = F.array_join(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2), " ")
-        last = F.coalesce(F.get(before, F.size(before) - 1), F.lit(""))
-        following = F.coalesce(F.get(after, F.lit(0)), F.lit(""))
-        patterns = F.array(
-            F.when(F.size(before) >= 2, F.concat(left, F.lit(" _"))),
-            F.when((last != "") & (following != ""), F.concat(last, F.lit(" _ "), following)),
-        )
+    def described(pieces: Column, m: Column) -> Column:
+        before = _words(_between(pieces, F.greatest(m["start"] - NEAR, F.lit(0).cast("long")), m["start"]))
+        after = _words(_between(pieces, m["stop"], m["stop"] + NEAR))
+        patterns = _let(F.struct(before.alias("before"), after.alias("after")), _patterns)
         return F.struct(
             m["start"].alias("start"),
             m["stop"].alias("stop"),
             m["kind"].alias("kind"),
-            F.substr(text, (m["start"] + 1).cast("int"), (m["stop"] - m["start"]).cast("int")).alias("string"),
-            F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"),
+            m["level"].alias("level"),
+            _between(pieces, m["start"], m["stop"]).alias("string"),
+            patterns.alias("patterns"),
         )
 
-    return F.transform(F.concat(seeds, whole, inner), described)
+    return _let(_pieces(text), lambda pieces: F.transform(found, lambda m: described(pieces, m)))
+
+
+def _patterns(words: Column) -> Column:
+    """Two words before; one word before and one after."""
+    before, after = words["before"], words["after"]
+    left = F.array_join(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2), " ")
+    last = F.coalesce(F.get(before, F.size(before) - 1), F.lit(""))
+    following = F.coalesce(F.get(after, F.lit(0)), F.lit(""))
+    patterns = F.array(
+        F.when(F.size(before) >= 2, F.concat(left, F.lit(" _"))),
+        F.when((last != "") & (following != ""), F.concat(last, F.lit(" _ "), following)),
+    )
+    return F.filter(patterns, lambda p: p.isNotNull())
+
+
+def _untouched(found: DataFrame) -> DataFrame:
+    """The seeds, and the other mentions that touch no seed of their text; a longer word that starts with a
+    whole mention has the run's context, and is no mention of its own."""
+    rows = Window.partitionBy("key")
+    seed = F.col("level") == SEED
+    reached = F.max(F.when(seed, F.col("stop"))).over(rows.orderBy("start"))
+    coming = F.min(F.when(seed, F.col("start"))).over(rows.orderBy(F.desc("start")))
+    free = (F.coalesce(reached, F.lit(0)) <= F.col("start")) & F.coalesce(coming >= F.col("stop"), F.lit(True))
+    whole = F.max(F.col("level") == WHOLE).over(Window.partitionBy("key", "start"))
+    return (
+        found.withColumn("free", seed | free)
+        .filter("free")
+        .withColumn("whole", whole)
+        .filter((F.col("level") != INNER) | ~F.col("whole"))
+        .drop("level", "free", "whole")
+    )
 
 
 def scored_patterns(edges: DataFrame) -> DataFrame:
@@ -207,27 +296,25 @@ def scored_patterns(edges: DataFrame) -> DataFrame:
 
 
 def _key() -> Column:
-    """A row by its id and text; repeated rows have the same spans."""
-    return F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
+    """A row by its id and a hash of its text; repeated rows have the same spans."""
+    own = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    return F.concat(F.hex(F.xxhash64(F.coalesce("text", F.lit("")))), own)
 
 
 def discovered(docs: DataFrame) -> DataFrame:
     """key and ``added`` spans of the documents in which bootstrapping finds any."""
     rows = docs.select("doc_id", "text").filter("text RLIKE '[0-9@]'").withColumn("key", _key())
-    found = materialize(
-        rows.withColumn("spans", base_spans(F.col("text")))
-        .withColumn("whole", _free(F.col("text"), F.col("spans"), f"{RUN}|{TOKEN}"))
-        .select("key", F.explode(_mentions(F.col("text"), F.col("spans"), F.col("whole"))).alias("m"))
-        .select("key", "m.*")
-        .distinct(),
-        "pii-mentions",
-    )
+    found = rows.select("key", F.explode(_mentions(F.col("text"))).alias("m")).select("key", "m.*").distinct()
+    found = materialize(_untouched(found), "pii-mentions")
     links = found.select("key", "start", "stop", "kind", "string", F.explode("patterns").alias("pattern"))
     good = scored_patterns(links.select("pattern", "string", "kind").distinct())
     hits = links.filter("kind IS NULL").drop("kind").join(good.select("pattern", "kind", "score"), "pattern")
     best = hits.groupBy("key", "start", "stop").agg(F.max(F.struct("score", "kind")).alias("best"))
+    # a word found inside a found run is part of it
+    earlier = Window.partitionBy("key").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    best = best.withColumn("reached", F.max("stop").over(earlier)).filter("reached IS NULL OR reached < stop")
     ranks = F.create_map(*[F.lit(x) for rank, kind in enumerate(KINDS) for x in (kind, rank)])
-    listed = best.groupBy("key").agg(
+    return best.groupBy("key").agg(
         F.collect_list(
             F.struct(
                 F.col("start"),
@@ -238,22 +325,15 @@ def discovered(docs: DataFrame) -> DataFrame:
         ).alias("added")
     )
 
-    def within(s: Column, o: Column) -> Column:
-        return (o["start"] <= s["start"]) & (s["stop"] <= o["stop"]) & (o["stop"] - o["start"] > s["stop"] - s["start"])
-
-    # a word found inside a found run is part of it
-    return listed.select(
-        "key", F.filter("added", lambda s: ~F.exists("added", lambda o: within(s, o))).alias("added")
-    )
-
 
 def find(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``base`` and ``spans``: arrays of (start, rank, stop, kind), by start and kind.
 
     Offsets are code points, stop exclusive. ``spans`` holds all base spans and the discovered
     ones, which overlap none of them. A null or empty text has no spans. Repeated rows get the
-    same spans; columns of ``docs`` that clash with an added one are replaced. Texts are not
-    shuffled unless discovered spans are too many for Spark to send to all tasks.
+    same spans (rows are told apart by id and a hash of the text); columns of ``docs`` that clash with
+    an added one are replaced. The work for a text grows with its length and its matches, not their
+    product. Texts are not shuffled unless discovered spans are too many for Spark to send to all tasks.
     """
     docs = docs.drop("base", "spans", "added", "key")
     new = materialize(discovered(docs), "pii-added")
@@ -280,22 +360,18 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     found = find(docs)
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substr(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        piece = F.when(
-            s["start"] >= acc["at"], F.concat(gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        ).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out")
+    def replaced(pieces: Column) -> Column:
+        stops = F.transform("spans", lambda s: s["stop"])
+        parts = F.zip_with(
+            "spans",
+            _let(stops, lambda x: _running(x, lambda a, b: F.greatest(a, b))),
+            lambda s, at: F.when(
+                s["start"] >= at,
+                F.concat(_between(pieces, at, s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")),
+            ).otherwise(F.lit("")),
         )
+        end = F.length("text").cast("long")
+        return F.concat(F.array_join(parts, ""), _between(pieces, F.array_max(stops), end))
 
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    parts = F.aggregate(
-        "spans",
-        state,
-        step,
-        lambda acc: F.concat(
-            F.array_join(acc["out"], ""), F.substr(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))
-        ),
-    )
-    return found.withColumn("text", F.when(F.size("spans") > 0, parts).otherwise(F.col("text"))).drop("base", "spans")
+    text = F.when(F.size("spans") > 0, _let(_pieces(F.col("text")), replaced)).otherwise(F.col("text"))
+    return found.withColumn("text", text).drop("base", "spans")

@@ -3,10 +3,13 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -348,6 +351,95 @@ def test_numbers_in_groups_and_short_ids_are_discovered(spark):
     assert got[60] == []
 
 
+def plain_bootstrap(rows):
+    """All spans of every row, by the rules of the module's docstrings."""
+    punct = r"[!-/:-@\[-`{-~]"
+    mentions = []  # row, start, stop, kind, string, patterns
+    for row, (_, text) in enumerate(rows):
+        seeds = plain_spans(text)
+
+        def free(pattern, text=text, seeds=seeds):
+            for m in regex.finditer(pattern, text):
+                start = m.start() + len(regex.match(f"{punct}*", m.group()).group())
+                stop = m.start() + len(regex.sub(f"{punct}+$", "", m.group()))
+                if start < stop and not any(a < stop and start < b for a, _, b, _ in seeds):
+                    if re.search("[0-9@]", text[start:stop]):
+                        yield start, stop, None
+
+        whole = list(free(f"{pii.RUN}|{pii.TOKEN}"))
+        inner = [m for m in free(pii.LONG) if m[0] not in {w[0] for w in whole}]
+        for start, stop, kind in [(a, b, k) for a, _, b, k in seeds] + whole + inner:
+            before = regex.findall(r"[\p{L}0-9@]+", text[max(0, start - pii.NEAR) : start].lower())
+            after = regex.findall(r"[\p{L}0-9@]+", text[stop : stop + pii.NEAR].lower())
+            patterns = [" ".join(before[-2:]) + " _"] if len(before) > 1 else []
+            patterns += [f"{before[-1]} _ {after[0]}"] if before and after else []
+            mentions.append((row, start, stop, kind, text[start:stop], patterns))
+    edges = {(p, m[4], m[3]) for m in mentions for p in m[5]}
+    every = Counter(p for p, _, _ in edges)
+    direct = Counter((p, k) for p, _, k in edges if k)
+    scores = {pk: (n / (every[pk[0]] + 2), n) for pk, n in direct.items()}
+    for _ in range(pii.ROUNDS - 1):
+        doubt, sure = defaultdict(lambda: 1.0), defaultdict(bool)
+        for p, x, kind in edges:
+            for k in pii.KINDS:
+                if kind is None and (p, k) in scores:
+                    score, n = scores[p, k]
+                    doubt[x, k] *= 1 - min(score, 0.999)
+                    sure[x, k] |= score >= pii.SCORE and n >= pii.SEEDS
+        gained, found = Counter(), Counter()
+        for p, x, kind in edges:
+            for k in pii.KINDS:
+                if kind is None and (x, k) in doubt:
+                    gained[p, k] += 1 - doubt[x, k]
+                    found[p, k] += sure[x, k]
+        scores = {
+            pk: ((direct[pk] + gained[pk]) / (every[pk[0]] + 2), direct[pk] + found[pk])
+            for pk in {*direct, *gained}
+            if direct[pk] + found[pk] > 0
+        }
+    good = {pk: score for pk, (score, n) in scores.items() if score >= pii.SCORE and n >= pii.SEEDS}
+    best = {}
+    for row, start, stop, kind, _, patterns in mentions:
+        for p in patterns:
+            for k in pii.KINDS:
+                if kind is None and (p, k) in good:
+                    best[row, start, stop] = max(best.get((row, start, stop), (0, "")), (good[p, k], k))
+    out = [plain_spans(text) for _, text in rows]
+    for (row, start, stop), (_, kind) in best.items():
+        if not any(r == row and a <= start and stop <= b and b - a > stop - start for r, a, b in best):
+            out[row].append((start, pii.KINDS.index(kind), stop, kind))
+    return [sorted(x) for x in out]
+
+
+def test_bootstrap_equals_plain_python(spark):
+    rng = np.random.default_rng(11)
+    leads = ["write to", "mail me at", "please call", "badge holder", "room number", "paid with"]
+    rows = []
+    for i in range(300):
+        parts = []
+        for _ in range(int(rng.integers(1, 6))):
+            value = [f"u{i}@mail.com", f"+49 30 {rng.integers(10**6, 10**7)}", f"a{i}(at)mail", f"{i} {i * 7} {i * 13}", f"X{i}"]
+            lead = int(rng.integers(0, 6))
+            own = value[int(rng.integers(0, 5))] if rng.random() < 0.2 else value[(0, 0, 1, 2, 4, 3)[lead]]
+            parts.append(f"{leads[lead]} {own}{rng.choice(['', ',', ' today', '. Now'])}")
+        rows.append((i, " ".join(parts)))
+    rows += [(7, rows[8][1]), (7, rows[7][1]), (None, rows[9][1])]  # one id with two texts, a repeated row, no id
+    want = plain_bootstrap(rows[:301] + rows[302:])  # repeated rows are one instance
+    want.insert(301, want[7])
+    got = pii.find(frame(spark, rows).withColumn("at", F.monotonically_increasing_id())).orderBy("at").collect()
+    assert [[tuple(s) for s in r["spans"]] for r in got] == want
+    assert sum(len(r["spans"]) - len(r["base"]) for r in got) > 20
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["ab 12 " * 50_000, "+49 30 1234567 x@y.zz " * 9_000]
+    began = time.monotonic()
+    got = pii.find(frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert time.monotonic() - began < 120  # a quadratic search takes an hour
+    assert got[0]["spans"] == [] and len(got[1]["spans"]) == 18_000
+    assert [tuple(s)[::2] for s in got[1]["spans"][-2:]] == [(22 * 8_999, 22 * 8_999 + 14), (22 * 8_999 + 15, 22 * 9_000 - 1)]
+
+
 def test_redaction(spark):
     got = pii.redact(frame(spark, [(1, "😀 x@y.zz, 1.2.3.4"), (2, None), (3, "+4041894974608795 z")])).orderBy("doc_id").collect()
     assert got[0]["text"] == "😀 <EMAIL>, <IP>" and got[1]["text"] is None
