@@ -1,6 +1,9 @@
 """Neighbour search and distances against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallycrest.operators import neighbours as nb
@@ -153,3 +156,46 @@ def test_work_per_point_stays_flat_as_clusters_grow(spark, monkeypatch):
     few, many = pairs_per_point(2400, 32), pairs_per_point(4800, 32)
     assert many < 1.3 * few
     assert pairs_per_point(4800, 0) > 5 * many  # the first pivots alone
+
+
+def test_a_worker_holds_bounded_arrays():
+    """Peak memory of a block pair, of finding cells and of copying queries to all of 1,024 cells."""
+    rng = np.random.default_rng(5)
+    block, pivots = rng.normal(size=(8192, 8)), rng.normal(size=(1024, 8))
+    few = block[:1000]
+    queries = pd.DataFrame({"point": range(1000), "features": list(few), "home": "0", "bound": np.inf})
+    low, high = np.zeros(1024), np.full(1024, np.inf)
+
+    def peak(work):
+        tracemalloc.start()
+        result = work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return result, most / 1e6
+
+    def copied():
+        sizes = [len(b) for b in nb._copies_by_cell(queries, pivots, np.arange(1024).astype(str).astype(object), low, high)]
+        return sum(sizes), max(sizes)
+
+    found, most = peak(lambda: list(nb.nearest_in_block(np.arange(1000), few, np.arange(8192), block, 1)))
+    assert sum(len(q) for q, _, _ in found) == 1000 and most < 30
+    (place, _), most = peak(lambda: nb.nearest_pivot(block, pivots))
+    assert len(place) == 8192 and most < 30
+    (total, largest), most = peak(copied)
+    assert total == 1000 * 1024 and largest * 8 <= nb.NUMBERS_AT_ONCE and most < 60
+
+
+@pytest.mark.parametrize("shift,scale", [(0.0, 1.0), (1e8, 1.0), (0.0, 1e200), (3.0, 1e-9)])
+def test_block_search_equals_plain_distances(shift, scale):
+    """Ties, far origins, overflow and equal ids: the places and the very numbers of plain sums."""
+    rng = np.random.default_rng(6)
+    for whole in (True, False):
+        draw = (lambda n: rng.integers(0, 3, (n, 3)) * 1.0) if whole else (lambda n: rng.normal(size=(n, 3)))
+        queries, vectors = draw(50) * scale + shift, draw(90) * scale + shift
+        own, ids = rng.integers(0, 60, 50), np.sort(rng.integers(0, 60, 90))
+        got = {(int(q), int(c), float(s)) for parts in nb.nearest_in_block(own, queries, ids, vectors, 3) for q, c, s in zip(*parts)}
+        d = nb.squared_distances(queries, vectors)
+        d[own[:, None] == ids[None, :]] = np.inf
+        best = np.argsort(d, axis=1, kind="stable")[:, :3]
+        want = {(q, int(c), float(d[q, c])) for q in range(50) for c in best[q] if np.isfinite(d[q, c])}
+        assert got == want
