@@ -187,3 +187,11 @@ def test_unreadable_backlog_dates_are_null(spark):
     rows = [("a", 1.0, "2020-01-02 00:00:00"), ("a", 2.0, "unknown"), ("a", 4.0, "2020-03-01"), ("b", 1.0, "31/12/2020")]
     got = cu.backlog_by_customer(spark.createDataFrame(rows[:2], kind), spark.createDataFrame(rows[2:], kind)).collect()
     assert {r["customer_id"]: (r["backlog"], r["backlog_date"]) for r in got} == {"a": (7.0, D(2020, 3, 1)), "b": (1.0, None)}
+
+
+def test_text_dated_backlog_joins_current_lines_to_their_orders_once(views, capsys):
+    from tallycrest.plans import queries as q
+
+    capsys.readouterr()
+    q.backlog_text_dates(views).explain()
+    assert capsys.readouterr().out.count("Join") == 1  # that of the historic lines
