@@ -176,3 +176,35 @@ def test_codes_that_mean_one_rep_are_one_row(spark):
         (7, 2020, 1): (30.0, 3.0), (8, 2020, 1): (10.0, 0.0)
     }
     assert by_key(reps.rep_month_sales(scores, late, mode="per_row"), "backlog")[7, 2020, 1] == (9.0,)
+
+
+@pytest.mark.parametrize("digits", [2, 4])
+def test_sums_of_whole_numbers_are_those_of_decimals(spark, digits):
+    from tallycrest.functions.columns import decimal_sum, decimal_units
+
+    values = [0.00005, 1.00005, -1.00005, 2.00015, 1.005, -2.675, 0.1, -0.1, -0.0, 1e-9, 99_999_999.99995, 1e8 + 0.00005,
+              9.9e13, -9.9e13, 1234567.89015, *[k / 20000 for k in range(-3000, 3000)]]
+    rows = spark.createDataFrame([(i % 5, x) for i, x in enumerate(values)] + [(9, None)], "g int, x double")
+    decimal = F.col("x").cast(f"decimal(18,{digits})")
+    units = rows.select(decimal_units("x", digits).alias("a"), (decimal * 10**digits).cast("long").alias("b"))
+    assert units.filter("NOT a <=> b").count() == 0
+    sums = rows.groupBy("g").agg(decimal_sum("x", digits).alias("a"), F.sum(decimal).cast("double").alias("b"))
+    assert sums.count() == 6 and sums.filter("NOT a <=> b").count() == 0
+
+
+def test_sums_past_a_long_are_whole(spark):
+    from tallycrest.functions.columns import money_sum
+
+    rows = spark.range(200_000).select(F.lit(9.9e13).alias("x"))
+    assert rows.agg(money_sum("x").alias("s")).first()["s"] == 9.9e13 * 200_000
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        spark.createDataFrame([(1e15,)], "x double").agg(money_sum("x").alias("s")).collect()
+
+
+def test_money_sums_hold_whole_numbers_and_scores_reduce_the_lines_once(spark, capsys):
+    lines = spark.createDataFrame([("1", D(2020, 1, 5), -10.0, "Shipment"), ("1", D(2020, 1, 9), 5.0, "Backlog")], SALE)
+    capsys.readouterr()
+    reps.rep_month_scores(lines, 2018).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out  # the bins and the result read the stored months
+    reps.backlog_by_rep_month(lines).explain()
+    assert "partial_sum(shiftright(" in capsys.readouterr().out
