@@ -152,3 +152,27 @@ def test_staged_search_equals_direct_fits(spark, views, kind):
     assert same
     scored = found.bestModel.transform(rows).select("prediction").collect()
     assert scored == direct.bestModel.transform(assembled).select("prediction").collect()
+
+
+def test_independent_fits_share_the_cluster(spark):
+    """The models of a report are fitted side by side, and keep their order."""
+    from threading import Barrier
+
+    met = Barrier(2, timeout=60)
+
+    class Model:
+        def __init__(self, fold):
+            self.fold = fold
+
+        def transform(self, df):
+            return df.withColumn("by", F.lit(self.fold))
+
+    class Estimator:
+        def fit(self, df):
+            met.wait()
+            return Model(({0, 1} - {r["fold"] for r in df.collect()}).pop())
+
+    rows = spark.createDataFrame([(i, i % 2) for i in range(6)], "id int, fold int")
+    predicted, last = models.out_of_fold(rows, Estimator(), 2)
+    assert {(r["id"], r["by"]) for r in predicted.collect()} == {(i, i % 2) for i in range(6)}
+    assert last.fold == 1
