@@ -176,3 +176,35 @@ def test_independent_fits_share_the_cluster(spark):
     predicted, last = models.out_of_fold(rows, Estimator(), 2)
     assert {(r["id"], r["by"]) for r in predicted.collect()} == {(i, i % 2) for i in range(6)}
     assert last.fold == 1
+
+
+def test_searches_of_the_pair_share_the_cluster(spark, monkeypatch):
+    """The models with and without backlog are searched side by side, with the results of single searches."""
+    from threading import Barrier, Lock
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    rows = spark.range(60, numPartitions=2).select(
+        (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"),
+        (F.col("id") % 13 + F.col("id") % 7).cast("double").alias("amount"), (F.col("id") % 2).cast("int").alias("fold"))
+    columns, settings = [["a", "b"], ["a"]], [{"maxIter": 1, "maxDepth": 2}, {"maxIter": 3, "maxDepth": 2}]
+    evaluator = RegressionEvaluator(labelCol="amount", metricName="rmse")
+    single = [models.grid_search(rows, own, models.quota_regressor(), settings, evaluator, 2) for own in columns]
+    met, seen, lock, fit = Barrier(2, timeout=60), set(), Lock(), models.GBTRegressor.fit
+
+    def fit_together(stage, df, *params):
+        size = df.first()["features"].size
+        with lock:
+            new = size not in seen
+            seen.add(size)
+        if new:
+            met.wait()
+        return fit(stage, df, *params)
+
+    monkeypatch.setattr(models.GBTRegressor, "fit", fit_together)
+    found = models.grid_search(rows, columns, models.quota_regressor(), settings, evaluator, 2)
+    assert seen == {1, 2}
+    for one, alone in zip(found, single):
+        assert one.avgMetrics == pytest.approx(alone.avgMetrics, abs=1e-12)
+        scored, wanted = (m.bestModel.transform(rows).select("prediction").collect() for m in (one, alone))
+        assert scored == wanted
